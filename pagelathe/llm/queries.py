@@ -3,16 +3,62 @@
 from __future__ import annotations
 
 from ..sources.tables import read_table
-from . import p1_main_body, p4_residue
+from . import p1_main_body, p2_overlap, p4_residue, p5_repeated_lines, p6_near_pages, p7_splits, p8_encoding, p9_mixing
 
 
 def p1_found(spark, folder):
     return p1_main_body.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
 
 
+def p2_found(spark, folder):
+    return p2_overlap.found(read_table(spark, folder, "train"), read_table(spark, folder, "test"))
+
+
+def p2_report(spark, folder):
+    return p2_overlap.report(read_table(spark, folder, "train"), read_table(spark, folder, "test"))
+
+
 def p4_found(spark, folder):
     return p4_residue.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
 
 
+def p5_found(spark, folder):
+    return p5_repeated_lines.found(read_table(spark, folder, "pages"))
+
+
+def p5_cleaned(spark, folder):
+    return p5_repeated_lines.without_repeated(read_table(spark, folder, "pages"))
+
+
+def p6_found(spark, folder):
+    return p6_near_pages.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+
+
+def p6_groups(spark, folder):
+    return p6_near_pages.groups(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+
+
+def p7_found(spark, folder):
+    return p7_splits.found(read_table(spark, folder, "pages"), read_table(spark, folder, "split_manifest"))
+
+
+def p7_assignment(spark, folder):
+    return p7_splits.new_splits(read_table(spark, folder, "pages"))
+
+
+def p8_ids(spark, folder):
+    return p8_encoding.encode(read_table(spark, folder, "documents"))
+
+
+def p9_selection(spark, folder):
+    targets = read_table(spark, folder, "mix_targets")
+    return p9_mixing.mix(p9_mixing.sizes_of(read_table(spark, folder, "documents")), targets).select("doc_id", "source", "copies")
+
+
+def p9_shares(spark, folder):
+    targets = read_table(spark, folder, "mix_targets")
+    return p9_mixing.shares(p9_mixing.mix(p9_mixing.sizes_of(read_table(spark, folder, "documents")), targets), targets)
+
+
 def queries() -> dict:
-    return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit() and callable(f)}
+    return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit() and name[2:3] in "_0" and callable(f)}
