@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import read_table
-from . import p1_main_body, p2_overlap, p4_residue, p5_repeated_lines, p6_near_pages, p7_splits, p8_encoding, p9_mixing
+from . import p1_main_body, p2_overlap, p3_clean_text, p4_residue, p5_repeated_lines, p6_near_pages, p7_splits, p8_encoding, p9_mixing
 
 
 def p1_found(spark, folder):
@@ -18,6 +18,14 @@ def p2_report(spark, folder):
     return p2_overlap.report(read_table(spark, folder, "train"), read_table(spark, folder, "test"))
 
 
+def p3_found(spark, folder):
+    return p3_clean_text.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+
+
+def p3_cleaned(spark, folder):
+    return p3_clean_text.cleaned(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+
+
 def p4_found(spark, folder):
     return p4_residue.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
 
