@@ -12,7 +12,7 @@ records that are trusted because they plainly are such pages.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -78,28 +78,34 @@ def body_lines(lines: list[tuple], scores: list[float]) -> list[int]:
 
 def fit_body(pages: list[tuple[str, str, list]], epochs: int = 12, rate: float = 0.05) -> PageModel:
     """Logistic regression on the lines of labelled pages (html, url, ranges)."""
-    rows, truth, seen = [], [], Counter()
+    names: dict[str, int] = {}
+    cells, starts, truth = array("i"), array("q", [0]), array("b")
     for html, url, ranges in pages:
-        lines = lines_of(walk(html or "", url or ""))
         inside = [(r["start"], r["end"]) for r in ranges if r["start"] is not None and r["end"] is not None]
-        for number, _, words, tags in lines:
-            # Tags may hold a name twice (a heading's words); each counts once.
-            row = {*(("w", a) for a in words), *(("t", a) for a in tags)}
-            rows.append(row)
-            seen.update(row)
+        for number, _, words, tags in lines_of(walk(html or "", url or "")):
+            # A tag may come twice (from the heading and the element's surroundings); it counts once.
+            row = {names.setdefault(k, len(names)) for k in ("w " + w for w in words)}
+            row.update([names.setdefault(k, len(names)) for k in tags])
+            cells.extend(sorted(row))
+            starts.append(len(cells))
             truth.append(any(a <= number <= b for a, b in inside))
     model = PageModel()
-    if not rows or not any(truth):
+    y = np.frombuffer(truth, np.int8).astype(float)
+    if not len(y) or not y.any():
         return model
-    place = {k: i for i, k in enumerate(sorted(k for k, n in seen.items() if n >= LEAST_LINES))}
-    index, starts = [], [0]
-    for row in rows:
-        index.extend(sorted(place[k] for k in row if k in place))
-        starts.append(len(index))
-    weights = _logistic(np.array(index), np.array(starts), np.array(truth, float), len(place), epochs, rate)
+    index, starts = np.frombuffer(cells, np.int32), np.frombuffer(starts, np.int64)
+    kept = np.bincount(index, minlength=len(names)) >= LEAST_LINES
+    place = np.cumsum(kept) - 1
+    inside = kept[index]
+    starts = np.concatenate(([0], np.cumsum(inside)))[starts]
+    weights = _logistic(place[index[inside]], starts, y, int(kept.sum()), epochs, rate)
     model.bias = float(weights[-1])
-    for (kind, name), i in place.items():
-        (model.words if kind == "w" else model.tags)[name] = float(weights[i])
+    for name, i in names.items():
+        if kept[i]:
+            if name.startswith("w "):
+                model.words[name[2:]] = float(weights[place[i]])
+            else:
+                model.tags[name] = float(weights[place[i]])
     return model
 
 
@@ -222,24 +228,28 @@ def fit_residue(model: PageModel, pages: list[tuple[str, str]], rounds: int = 8)
     unlabelled: their class is what expectation-maximization finds, starting
     from records with much content as probable negatives.
     """
-    words, owner, trusted, amounts, least = [], [], [], [], []
+    names: dict[str, int] = {}
+    cells, row = array("i"), array("i")
+    owner, trusted, amounts, least = [], [], [], []
     for at, (html, url) in enumerate(pages):
         lines = lines_of(walk(html or "", url or ""))
         scores = model.scores(lines)
         passages = passages_of(html, lines, scores)
         amounts.append(AMOUNTS.index(amount_of(lines, scores, lambda t, w: float(trusted_line(t, w)))))
         trusted.append(amounts[-1] < 2 and any(trusted_line(t, w) for t, w, _ in passages))
-        words += [w for _, w, _ in passages]
-        owner += [at] * len(passages)
+        for _, words, _ in passages:
+            cells.extend([names.setdefault(w, len(names)) for w in words])
+            row.extend([len(owner)] * len(words))
+            owner.append(at)
         least += [_least(s) for _, _, s in passages]
     sure, owner, amounts = np.array(trusted, bool), np.array(owner, np.int64), np.array(amounts, np.int64)
     if not sure.any() or sure.all():
         return
-    seen = Counter(w for ws in words for w in ws)
-    place = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= 2))}
-    cells = np.array([place[w] for ws in words for w in ws if w in place], dtype=np.int64)
-    row = np.array([i for i, ws in enumerate(words) for w in ws if w in place], dtype=np.int64)
-    belief, n, pages_n = np.where(sure, 1.0, np.where(amounts == 2, 0.001, 0.3)), len(place), len(sure)
+    cells, row = np.frombuffer(cells, np.int32), np.frombuffer(row, np.int32)
+    kept = np.bincount(cells, minlength=len(names)) >= 2
+    place = np.cumsum(kept) - 1
+    row, cells, n = row[kept[cells]], place[cells[kept[cells]]], int(kept.sum())
+    belief, pages_n = np.where(sure, 1.0, np.where(amounts == 2, 0.001, 0.3)), len(sure)
     for _ in range(rounds):
         each = belief[owner]
         yes = np.bincount(cells, each[row], n) + 0.1
@@ -254,7 +264,7 @@ def fit_residue(model: PageModel, pages: list[tuple[str, str]], rounds: int = 8)
         # Chrome that only error pages happen to carry must not outweigh much content.
         z[amounts == 2] = np.minimum(z[amounts == 2], -CLIP)
         belief = np.where(sure, 1.0, 1 / (1 + np.exp(-np.clip(z, -30, 30))))
-    model.residue = {w: float(odds[i]) for w, i in place.items()}
+    model.residue = {w: float(odds[place[i]]) for w, i in names.items() if kept[i]}
     model.residue_bias = float(prior)
     model.amounts = {a: float(size[i]) for i, a in enumerate(AMOUNTS)}
 

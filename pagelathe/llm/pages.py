@@ -63,14 +63,12 @@ def fit_page_model(
     newest: dict = {}
     for r in sorted(rows, key=lambda r: (r.page_id, r.scraped_at is not None, r.scraped_at and r.scraped_at.timestamp(), r.html)):
         newest[r.page_id, r.marked] = r
-    model = fit_body([(r.html, r.url, r.ranges) for (_, m), r in sorted(newest.items()) if m and r.status == "success"])
-    fit_residue(model, [(r.html, r.url) for (_, m), r in sorted(newest.items()) if not m])
+    kept = [newest[k] for k in sorted(newest)]
+    model = fit_body([(r.html, r.url, r.ranges) for r in kept if r.marked and r.status == "success"])
+    fit_residue(model, [(r.html, r.url) for r in kept if not r.marked])
     return model
 
 
-PageResult = Callable[[str, str, list, list, list], dict]
-
-
 def map_pages(pages: DataFrame, model: PageModel, fields: pa.Schema, result: Callable) -> DataFrame:
     """Apply `result` to every row of pages that has html; one row each, with the columns of `fields` added.
 
