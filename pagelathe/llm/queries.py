@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import read_table
-from . import p1_main_body, p2_overlap, p3_clean_text, p4_residue, p5_repeated_lines, p6_near_pages, p7_splits, p8_encoding, p9_mixing
+from . import p1_main_body, p10_spam, p2_overlap, p3_clean_text, p4_residue, p5_repeated_lines, p6_near_pages, p7_splits, p8_encoding, p9_mixing
 
 
 def p1_found(spark, folder):
@@ -68,5 +68,13 @@ def p9_shares(spark, folder):
     return p9_mixing.shares(p9_mixing.mix(p9_mixing.sizes_of(read_table(spark, folder, "documents")), targets), targets)
 
 
+def p10_found(spark, folder):
+    return p10_spam.found(read_table(spark, folder, "documents"))
+
+
+def p10_scores(spark, folder):
+    return p10_spam.scores(read_table(spark, folder, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit() and name[2:3] in "_0" and callable(f)}
