@@ -78,3 +78,21 @@ def p10_scores(spark, folder):
 
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit() and name[2:3] in "_0" and callable(f)}
+
+
+# Line and site of problem 5 are defined by rules that SQL can state, so its whole result can be compared.
+_P5 = r"""
+WITH cur AS (SELECT page_id, url, markdown, status, row_number() OVER (PARTITION BY page_id ORDER BY scraped_at DESC NULLS LAST) rn FROM (SELECT DISTINCT page_id, url, markdown, status, scraped_at FROM pages)),
+p AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '^www\.', '') AS site, markdown FROM cur WHERE rn = 1 AND status = 'success'),
+l AS (SELECT site, page_id, unnest(string_split(markdown, chr(10))) AS raw FROM p),
+n AS (SELECT site, page_id, CAST(regexp_extract(raw, '^\s*([0-9]+) \|', 1) AS INT) AS line_num,
+  array_to_string(regexp_extract_all(lower(regexp_replace(regexp_replace(raw, '^\s*[0-9]+ \|\s*', ''), '\]\([^)]*\)', ']', 'g')), '\p{L}+'), ' ') AS k FROM l WHERE regexp_matches(raw, '^\s*[0-9]+ \|')),
+f AS (SELECT * FROM n WHERE length(replace(k, ' ', '')) >= 10),
+s AS (SELECT site, count(*) AS pages FROM p GROUP BY site),
+r AS (SELECT f.site, k FROM f JOIN s USING (site) GROUP BY f.site, k, s.pages HAVING count(DISTINCT page_id) >= 4 AND count(DISTINCT page_id) >= 0.2 * s.pages)
+SELECT page_id, line_num FROM f JOIN r USING (site, k)
+"""
+
+
+def oracle_sql() -> dict:
+    return {"p5_found": _P5}
