@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import site_of
@@ -24,12 +24,10 @@ from . import shingles
 RUN, LEAST_SIMILARITY = 3, 0.6
 #: The rolling hash looks at so many words, and one of CUT hashes ends a chunk; chunks have at least LEAST_CHUNK words.
 WINDOW, CUT, LEAST_CHUNK = 2, 4, 2
-#: Shared part of the shorter record's words from which a pair is verified. A
+#: Shared part of the longer record's words from which a pair is verified. A
 #: pair of similarity 0.6 shares three quarters of its runs; edits that are
 #: spread evenly, one in twelve words, leave about a third of the chunks whole.
 LEAST_OVERLAP = 0.2
-#: The shorter record of such a pair has at least this share of the longer one's words.
-LEAST_RATIO = 0.5
 
 _NUMBERED = re.compile(r"^\s*(\d+) \| ?(.*)$")
 _RANGES = re.compile(r"\d+:\d+(?:,\d+:\d+)*")
@@ -48,27 +46,38 @@ def body_of(content: str, answer: str) -> str | None:
     return "\n".join(out)
 
 
-def chunks_of(hashes: np.ndarray) -> list[tuple[int, int]]:
-    """(digest, words) of the content-defined chunks of a sequence of word hashes; the same digest twice counts once."""
+def chunks_of(hashes: np.ndarray) -> np.ndarray:
+    """Digests of the content-defined chunks of a sequence of word hashes, each once.
+
+    The lowest byte of a digest is the chunk's length in words, at most 255; a
+    chunk that would be longer is cut there.
+    """
     n = len(hashes)
     if not n:
-        return []
-    rolling = np.zeros(n, np.uint64)
+        return np.empty(0, np.int64)
+    cut = np.zeros(n, bool)
     if n >= WINDOW:
-        rolling[WINDOW - 1 :] = shingles.run_hashes(hashes, WINDOW)
-    ends = np.flatnonzero(rolling % np.uint64(CUT) == np.uint64(1)) + 1
-    out, start = {}, 0
-    for end in [*ends.tolist(), n]:
-        if end - start < LEAST_CHUNK and end < n or end == start:
-            continue
-        digest = int(shingles.run_hashes(hashes[start:end], end - start)[0].astype(np.int64))
-        out[digest] = end - start
-        start = end
-    return list(out.items())
-
-
-_FIELDS = "page_id bigint, url string, words int, body bigint, runs array<bigint>, chunks array<struct<digest:bigint,words:int>>"
-_CHUNK = pa.list_(pa.struct([pa.field("digest", pa.int64()), pa.field("words", pa.int32())]))
+        cut[WINDOW - 1 :] = shingles.run_hashes(hashes, WINDOW) % np.uint64(CUT) == 1
+    starts, last = [0], 0
+    for end in (np.flatnonzero(cut) + 1).tolist():
+        if end - last >= LEAST_CHUNK and end < n:
+            while end - last > 255:
+                last += 255
+                starts.append(last)
+            starts.append(end)
+            last = end
+    while n - last > 255:
+        last += 255
+        starts.append(last)
+    first = np.array(starts)
+    length = np.diff(np.append(first, n))
+    # A word counts with its place in the chunk, so order matters and any chunk is one sum.
+    place = (np.arange(n) - np.repeat(first, length)).astype(np.uint64)
+    digest = shingles.mix(np.add.reduceat(shingles.mix(hashes + place * shingles.STEP), first))
+    return np.unique((digest & ~np.uint64(255)) | length.astype(np.uint64)).astype(np.int64)
+
+
+_FIELDS = "page_id bigint, url string, words int, body bigint, runs array<bigint>, chunks array<bigint>"
 
 
 def records(split: DataFrame) -> DataFrame:
@@ -89,14 +98,13 @@ def records(split: DataFrame) -> DataFrame:
                     continue
                 hashes = shingles.word_hashes(shingles.words_of(body))
                 runs = np.unique(shingles.run_hashes(hashes, RUN)).astype(np.int64)
-                whole = int(shingles.run_hashes(runs.astype(np.uint64), len(runs))[0].astype(np.int64)) if 0 < len(runs) else 0
-                rows.append((page, url, len(hashes), whole, runs, [{"digest": d, "words": n} for d, n in chunks_of(hashes)]))
+                rows.append((page, url, len(hashes), shingles.set_hash(runs), runs, chunks_of(hashes)))
             cols = list(zip(*rows)) or [[]] * 6
-            types = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64()), _CHUNK)
+            types = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             names = ("page_id", "url", "words", "body", "runs", "chunks")
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=list(names))
 
-    done = split.select("page_id", "url", "messages").mapInArrow(run, _FIELDS)
+    done = split.select(F.col("page_id").cast("bigint"), "url", "messages").mapInArrow(run, _FIELDS)
     return done.groupBy("page_id", "body").agg(*[F.first(c).alias(c) for c in ("words", "runs", "chunks")], F.min("url").alias("url"))
 
 
@@ -104,26 +112,22 @@ def overlaps(train: DataFrame, test: DataFrame, least: float = LEAST_OVERLAP) ->
     """(a, b, overlap): pairs of a training and a test record, by key, that share enough of their chunks.
 
     Both sides have key, words and chunks. Overlap is the sum of the lengths of
-    shared chunks over the words of the shorter record, which has at least
-    LEAST_RATIO of the longer one's words. Such a pair shares a certain length,
-    so it must share one of the chunks that are left when the most common ones
-    below that length are set aside: pairs are sought through the rest only.
-    Phrases that everything shares are thus counted but not joined on, and no
-    pair is lost. Records of equal bodies are one record on each side before
-    this is called.
+    shared chunks over the words of the longer record, so both records have at
+    least that part of theirs in common. A record's chunks are ordered from the
+    rarest to the most common; without the last of them, which together are
+    shorter than that part, a pair that overlaps enough still shares a chunk.
+    So only the others are joined on: phrases that everything shares are
+    counted, but pair nothing, and no pair is lost. Records of equal bodies are
+    one record on each side before this is called.
     """
-    flat = lambda df, side: df.select(F.lit(side).alias("side"), "key", "words", F.explode("chunks").alias("c")).select(
-        "side", "key", "words", F.col("c.digest").alias("digest"), F.col("c.words").alias("length")
-    )
+    flat = lambda df, side: df.select(F.lit(side).alias("side"), "key", "words", F.explode("chunks").alias("digest"))
     chunks = flat(train, 0).union(flat(test, 1))
     sides = chunks.groupBy("digest").agg(F.sum(1 - F.col("side")).alias("in_train"), F.sum("side").alias("in_test"))
-    common = chunks.join(sides.where("in_train > 0 and in_test > 0"), "digest")
-    # Only chunks that occur on both sides can be shared; of a record the rarest come first.
-    order = Window.partitionBy("side", "key").orderBy(F.col("in_train") * F.col("in_test"), "digest")
-    total = F.sum("length").over(Window.partitionBy("side", "key"))
-    run = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    ranked = common.withColumn("total", total).withColumn("behind", F.col("total") - F.coalesce(run, F.lit(0)))
-    prefix = ranked.where(F.col("behind") >= least * LEAST_RATIO * F.col("words"))
+    # Only chunks that occur on both sides can be shared.
+    common = chunks.join(sides.where("in_train > 0 and in_test > 0"), "digest").withColumn("length", _length("digest"))
+    order = Window.partitionBy("side", "key").orderBy((F.col("in_train") * F.col("in_test")).desc(), "digest")
+    behind = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    prefix = common.withColumn("behind", behind).where(F.col("behind") >= least * F.col("words"))
     near = (
         prefix.where("side = 0").select("digest", F.col("key").alias("a"))
         .join(prefix.where("side = 1").select("digest", F.col("key").alias("b")), "digest")
@@ -132,15 +136,20 @@ def overlaps(train: DataFrame, test: DataFrame, least: float = LEAST_OVERLAP) ->
     )
     left = train.select(F.col("key").alias("a"), F.col("words").alias("words_a"), F.col("chunks").alias("chunks_a"))
     right = test.select(F.col("key").alias("b"), F.col("words").alias("words_b"), F.col("chunks").alias("chunks_b"))
-    shared = F.aggregate(F.array_intersect("chunks_a", "chunks_b"), F.lit(0), lambda s, c: s + c["words"])
+    shared = F.aggregate(F.array_intersect("chunks_a", "chunks_b"), F.lit(0), lambda s, c: s + _length(c))
     return (
         near.join(left, "a")
         .join(right, "b")
-        .select("a", "b", (shared / F.least("words_a", "words_b")).alias("overlap"))
+        .where(F.least("words_a", "words_b") >= least * F.greatest("words_a", "words_b"))
+        .select("a", "b", (shared / F.greatest("words_a", "words_b")).alias("overlap"))
         .where(F.col("overlap") >= least)
     )
 
 
+def _length(digest: str | Column) -> Column:
+    return (F.col(digest) if isinstance(digest, str) else digest).bitwiseAND(F.lit(255)).cast("int")
+
+
 def pairs(train: DataFrame, test: DataFrame) -> DataFrame:
     """(train_page, test_page, train_url, test_url, overlap, similarity) of all pairs of at least LEAST_SIMILARITY.
 

@@ -74,8 +74,7 @@ def body_sets(pages: DataFrame, model: PageModel, length: int, trees: int = TREE
         minima = shingles.signature(runs, count)
         parts = minima.reshape(trees, length).astype(np.uint64)
         keys = shingles.mix((shingles.mix(parts + np.uint64(1)) * power).sum(axis=1, dtype=np.uint64) + np.arange(trees, dtype=np.uint64))
-        whole = int(shingles.run_hashes(runs, len(runs))[0].astype(np.int64)) if len(runs) < 5 else int(np.bitwise_xor.reduce(shingles.mix(runs)).astype(np.int64))
-        return {"body": whole, "runs": runs.astype(np.int64), "keys": keys.astype(np.int64), "signature": minima.astype("<u4").view("<u2")[::2].tobytes()}
+        return {"body": shingles.set_hash(runs), "runs": runs.astype(np.int64), "keys": keys.astype(np.int64), "signature": minima.astype("<u4").view("<u2")[::2].tobytes()}
 
     done = current_results(map_pages(pages, model, _FIELDS, result))
     return done.where("status = 'success' and runs is not null").select("page_id", "body", "runs", "keys", "signature")

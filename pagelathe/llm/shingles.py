@@ -12,7 +12,7 @@ _TARGET = re.compile(r"\]\([^)]*\)")
 #: Words that a Python worker remembers the hashes of; the memory is emptied when full.
 MEMORY = 200_000
 _hashes: dict[str, int] = {}
-_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_A, _C, STEP = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0x165667B19E3779F9, 0xC2B2AE3D27D4EB4F))
 
 
 def words_of(text: str) -> list[str]:
@@ -51,6 +51,11 @@ def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def set_hash(elements: np.ndarray) -> int:
+    """A signed 64-bit number for a set of hashes, in whatever order; 0 for an empty one."""
+    return int(np.bitwise_xor.reduce(mix(elements.astype(np.uint64))).astype(np.int64)) if len(elements) else 0
+
+
 def signature(runs: np.ndarray, count: int) -> np.ndarray:
     """`count` minima of independently hashed runs, as 32-bit numbers; `runs` must not be empty."""
     low = (runs & np.uint64(0xFFFFFFFF)).astype(np.uint64)
