@@ -9,6 +9,8 @@ from ..operators.html_walk import TEXT, is_link_only, span_of
 
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
 _TARGET = re.compile(r"\]\([^)]*\)")
+#: Lines of this length class and longer (2 ** 10 letters) are alike.
+LONGEST = 11
 #: Remembered lines of a Python worker; the memory is emptied when full.
 MEMORY = 20_000
 _seen: dict[str, tuple] = {}
@@ -25,7 +27,7 @@ def words_of(text: str) -> tuple[tuple[str, ...], int, str, bool]:
     kind = ("k" if is_link_only(text) else "l") if links else ""
     if len(_seen) >= MEMORY:
         _seen.clear()
-    known = _seen[text] = (words, len(plain).bit_length(), kind, plain[-1:] in ".!?…。”\"")
+    known = _seen[text] = (words, min(len(plain).bit_length(), LONGEST), kind, plain[-1:] in ".!?…。”\"")
     return known
 
 

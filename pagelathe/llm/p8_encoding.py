@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Where the rank file lies; a parameter of every function that reads it.
 RANK_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -146,7 +147,7 @@ def encode(documents: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.array(offsets, np.int32)), pa.array(np.array(ids, np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "ids"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>")
+    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def token_counts(documents: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
@@ -161,4 +162,4 @@ def token_counts(documents: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
                 [batch.column("doc_id"), batch.column("source"), pa.array(counts, pa.int64())], names=["doc_id", "source", "tokens"]
             )
 
-    return documents.select("doc_id", "source", "text").mapInArrow(run, "doc_id bigint, source string, tokens bigint")
+    return documents.select(F.col("doc_id").cast("bigint"), "source", "text").mapInArrow(run, "doc_id bigint, source string, tokens bigint")

@@ -66,7 +66,7 @@ def mix(sizes: DataFrame, targets: DataFrame, total: float | None = None, seed:
     used. The boundary document of a source is taken if that brings the source
     nearer to its size. Ties of the random odds are settled by doc_id.
     """
-    docs = sizes.where("source is not null and tokens > 0 and doc_id is not null").dropDuplicates(["doc_id"])
+    docs = sizes.where("source is not null and tokens > 0 and doc_id is not null").select("doc_id", "source", "tokens").dropDuplicates(["doc_id"])
     plan = source_plan(docs, targets, total).select("source", "max_repeats", "tokens", "goal", "copies")
     whole = F.floor(F.col("copies") + 1e-12).cast("int")
     plan = plan.withColumn("whole", whole).withColumn("chance", F.greatest(F.col("copies") - F.col("whole"), F.lit(0.0)))

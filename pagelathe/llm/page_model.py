@@ -189,6 +189,8 @@ BODY_WORDS, LINE_WORDS = 10, 5
 CHROME = -6.0
 #: What one passage can add to or take from a record's log odds.
 CLIP = 6.0
+#: A page whose every line has lower odds shows nothing that could be residue.
+DENIED = -2.0
 AMOUNTS = ("none", "little", "much")
 
 
@@ -273,14 +275,19 @@ def residue_record_odds(model: PageModel, html: str, lines: list[tuple], scores:
     """Log odds that the place of the main body holds nothing but residue.
 
     Pages with much real content are settled before their passages are scored.
+    A page without any text is no case, nor one that has no line which might be
+    residue at all; one with nothing but chrome is.
     """
-    if not model.residue:
+    if not model.residue or not lines and not noscript_lines(html):
         return -CLIP
     amount = amount_of(lines, scores, lambda t, w: model.residue_odds(w))
     if amount == "much":
         return -CLIP
+    passages = passages_of(html, lines, scores)
+    if max([model.residue_odds(w) for _, _, w, _ in lines] + [model.residue_odds(w) for _, w, _ in passages]) < DENIED:
+        return -CLIP
     odds = model.residue_bias + model.amounts[amount]
-    for _, words, score in passages_of(html, lines, scores):
+    for _, words, score in passages:
         odds += min(CLIP, max(_least(score), model.residue_odds(words)))
     return odds
 

@@ -104,7 +104,7 @@ def map_pages(pages: DataFrame, model: PageModel, fields: pa.Schema, result: Cal
     ddl = "page_id bigint, scraped_at timestamp, status string, residue boolean"
     for f in fields:
         ddl += f", {f.name} {_DDL[str(f.type)]}"
-    return pages.select("page_id", "scraped_at", "status", "url", "html").mapInArrow(run, ddl)
+    return pages.select(F.col("page_id").cast("bigint"), F.col("scraped_at").cast("timestamp"), "status", "url", "html").mapInArrow(run, ddl)
 
 
 _DDL = {
