@@ -58,19 +58,18 @@ def set_hash(elements: np.ndarray) -> int:
 
 def signature(runs: np.ndarray, count: int) -> np.ndarray:
     """`count` minima of independently hashed runs, as 32-bit numbers; `runs` must not be empty."""
-    low = (runs & np.uint64(0xFFFFFFFF)).astype(np.uint64)
-    high = (runs >> np.uint64(32)).astype(np.uint64)
-    # Multiply-shift over both halves; the factors are odd and fixed by their number.
-    k = mix(np.arange(1, 2 * count + 1, dtype=np.uint64) * _C)
-    f, g = k[:count, None] | np.uint64(1), k[count:, None] | np.uint64(1)
-    out = np.empty(count, np.uint32)
+    # Of a sum of both halves, each times an odd factor that is fixed by its
+    # number, the high bits decide, and they depend on every bit; 32-bit lanes are fast.
+    halves = np.ascontiguousarray(runs).view("<u4").reshape(-1, 2)
+    k = mix(np.arange(1, 2 * count + 1, dtype=np.uint64) * _C).astype(np.uint32) | np.uint32(1)
+    f, g = k[:count, None], k[count:, None]
     block = max(1, 2_000_000 // count)  # long texts in blocks, so memory stays bounded
     least = None
     for at in range(0, len(runs), block):
-        x = ((low[None, at : at + block] * f + high[None, at : at + block] * g) >> np.uint64(32)).min(axis=1)
+        part = np.ascontiguousarray(halves[at : at + block].T)
+        x = (part[0] * f + part[1] * g).min(axis=1)
         least = x if least is None else np.minimum(least, x)
-    out[:] = least
-    return out
+    return least
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
