@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import ranges as R
 from ..functions import text as T
+from ..functions import training
 from ..operators import analysis, features, items
-from ..sources.tables import read_table
+from ..sources.tables import read_table, use_checkpoints
 from .base import CA, MEASURED, current_annotations, current_pages, lines, measured, query, with_
 
 Z = ("text_length", "word_count", "link_ratio", "is_heading")
@@ -117,7 +118,9 @@ def page_features_85(spark, folder):
     pages = current_pages(spark, folder, "url", "html", "dataset").where("status = 'success' and html is not null")
     chosen = pages.join(labels, "page_id", "left_semi")
     named = pages.select("page_id", "dataset").join(labels, "page_id")
-    return features.feature_table(items.page_lines(chosen), named)
+    # Three parts of the table read the lines, so the walk is done once and kept.
+    use_checkpoints(spark)
+    return features.feature_table(items.page_lines(chosen).checkpoint(), named)
 
 
 @query()
@@ -135,3 +138,11 @@ def shuffled_feature(spark, folder):
 @query(with_(MEASURED) + " SELECT page_id, count(*) AS lines FROM st GROUP BY page_id")
 def page_line_counts(spark, folder):
     return lines(spark, folder).groupBy("page_id").agg(F.count("*").alias("lines"))
+
+
+@query("SELECT doc_id, CAST(regexp_extract(text, '[0-9]+', 0) AS BIGINT) * CASE doc_id % 3 WHEN 0 THEN 3600 WHEN 1 THEN 60 ELSE 1 END AS seconds FROM documents WHERE regexp_matches(text, '[0-9]') AND length(regexp_extract(text, '[0-9]+', 0)) < 10")
+def duration_seconds(spark, folder):
+    """The first number of a text, with a unit by the document, as a duration."""
+    docs = read_table(spark, folder, "documents").where("text rlike '[0-9]'").withColumn("n", F.regexp_extract("text", "[0-9]+", 0)).where(F.length("n") < 10)
+    unit = F.element_at(F.array(F.lit("h"), F.lit("m"), F.lit("s")), (F.pmod("doc_id", F.lit(3)) + 1).cast("int"))
+    return docs.select("doc_id", training.seconds(F.concat("n", unit)).alias("seconds"))

@@ -8,10 +8,11 @@ from ..functions import answers as A
 from ..functions import ranges as R
 from ..functions import scores as S
 from ..functions import text as T
-from ..operators import analysis, export, review, store, vote
+from ..operators import analysis, export, features, predictors, review, store, vote
+from ..operators.selection import selected_lines
 from ..sources.tables import read_table
 from ..streaming import scrape
-from .base import CA, CP, LINES, current_annotations, current_pages, lines, query, with_
+from .base import BLOCKS, CA, CP, LINES, MEASURED, current_annotations, current_pages, lines, measured, query, with_
 
 # Ranges as text, so that both engines give the same value.
 RT = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", F.coalesce(x["start"].cast("string"), F.lit("x")), F.coalesce(x["end"].cast("string"), F.lit("x")))), ",")
@@ -342,3 +343,42 @@ def keyword_containment(spark, folder):
     docs = current_pages(spark, folder, "html").where("status = 'success'").join(known, "page_id", "left_semi").select("page_id", T.keywords(F.col("html")).alias("kw"))
     rows = lines(spark, folder).select("page_id", "line_num", T.keywords(F.col("text")).alias("kw"))
     return analysis.keyword_lines(rows, docs).select("page_id", "line_num", F.round("share", 6).alias("share"))
+
+
+_NORM = r"array_to_string(list_filter(string_split(trim(regexp_replace(regexp_replace(lower(regexp_replace(text, '!?\[([^\]]*)\]\([^)]*\)', '\1', 'g')), '[^0-9A-Za-z_\s]', '', 'g'), ' +', ' ', 'g'), ' '), ' '), lambda w: w <> ''), ' ')"
+
+
+@query(
+    with_(LINES)
+    + f""",
+sw AS (SELECT page_id, line_num, {_NORM} AS words FROM tl),
+bg AS (SELECT *, greatest(coalesce(sum(CASE WHEN words <> '' THEN length(words) + 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY line_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - 1, 0) AS begins FROM sw),
+pg AS (SELECT page_id, string_agg(words, ' ' ORDER BY line_num) FILTER (WHERE words <> '') AS aw FROM sw GROUP BY page_id),
+se AS (SELECT page_id, line_num AS selection, string_split(words, ' ') AS w FROM sw WHERE line_num % 5 = 0 AND words <> ''),
+ht AS (SELECT page_id, selection, array_to_string(w[1:5], ' ') AS head, array_to_string(w[greatest(len(w) - 4, 1):len(w)], ' ') AS tail FROM se),
+fp AS (SELECT page_id, selection, tail, instr(aw, head) AS s, CASE WHEN head = tail THEN instr(aw, head) ELSE length(aw) - instr(reverse(aw), reverse(tail)) - length(tail) + 2 END AS f FROM ht JOIN pg USING (page_id)),
+ab AS (SELECT fp.page_id, selection, max(line_num) FILTER (WHERE begins <= s - 1) AS a, max(line_num) FILTER (WHERE begins <= f - 1 + length(tail)) AS b FROM fp JOIN bg USING (page_id) GROUP BY fp.page_id, selection, s, f, tail)
+SELECT page_id, selection, least(a, b) AS first_line, greatest(a, b) AS last_line FROM ab"""
+)
+def selection_lines(spark, folder):
+    """Every fifth line of a page, taken as a selected text, is found again."""
+    rows = lines(spark, folder)
+    picked = rows.where("line_num % 5 = 0").select("page_id", F.col("line_num").alias("selection"), F.col("text").alias("selected"))
+    return selected_lines(rows, picked)
+
+
+@query(
+    with_(MEASURED, BLOCKS, CA)
+    + f""",
+tr AS (SELECT page_id, {LN.format('ranges')} AS t FROM ca WHERE validated AND ranges IS NOT NULL),
+bt AS (SELECT page_id, block, sum(text_length) AS t FROM bl GROUP BY page_id, block),
+bb AS (SELECT page_id, block, t, row_number() OVER (PARTITION BY page_id ORDER BY t DESC, block) AS rn, sum(t) OVER (PARTITION BY page_id) AS total FROM bt),
+fo AS (SELECT 'long_lines' AS method, page_id, coalesce(list(line_num ORDER BY line_num) FILTER (WHERE text_length >= 40 AND link_ratio < 0.5), []) AS f FROM bl GROUP BY page_id
+ UNION ALL SELECT 'largest_block', bl.page_id, coalesce(list(bl.line_num ORDER BY bl.line_num) FILTER (WHERE bb.block IS NOT NULL), []) FROM bl LEFT JOIN bb ON bl.page_id = bb.page_id AND bl.block = bb.block AND bb.rn = 1 AND bb.t > 0.5 * bb.total GROUP BY bl.page_id),
+jm AS (SELECT method, page_id, f, t, len(list_intersect(f, t)) AS i FROM fo JOIN tr USING (page_id))
+SELECT method, page_id, round(CASE WHEN len(f) = 0 AND len(t) = 0 THEN 1.0 ELSE i / (len(f) + len(t) - i) END, 6) AS iou FROM jm"""
+)
+def method_comparison(spark, folder):
+    rows = features.with_content_region(features.with_blocks(measured(spark, folder), ("level",)))
+    truth = current_annotations(spark, folder).where("validated and ranges is not null").select("page_id", R.range_lines(F.col("ranges")).alias("truth"))
+    return predictors.compare(rows, truth).select("method", "page_id", F.round("iou", 6).alias("iou"))

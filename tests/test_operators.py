@@ -215,3 +215,33 @@ def test_permutation_keeps_values(spark):
     got = analysis.shuffled_within_pages(df, "v")
     assert rows(got.select("page_id", "v")) == rows(df.select("page_id", "v"))
     assert rows(got.select("line_num", "v")) != rows(df.select("line_num", "v"))
+
+
+def test_masked_labels(spark):
+    from pagelathe.functions.training import has_labels, masked_labels, seconds
+
+    df = spark.createDataFrame([([1, 8, 9, 3, 8, 9, 5, 6, 0, 4, 0],), ([1, 2],), ([],), ([8, 9],)], "ids array<int>").withColumn("l", masked_labels(F.col("ids"), [8, 9], 0))
+    got = [(r.l, r.h) for r in df.select("l", has_labels(F.col("l")).alias("h")).collect()]
+    assert got == [([-100] * 6 + [5, 6, 0, -100, -100], True), ([-100, -100], False), ([], False), ([-100, -100], False)]
+    d = spark.createDataFrame([("6h",), ("30m",), ("7s",), ("x",), ("5",)], "d string")
+    assert [r.s for r in d.select(seconds(F.col("d")).alias("s")).collect()] == [21600, 1800, 7, None, None]
+
+
+def test_selected_lines(spark):
+    from pagelathe.operators.selection import selected_lines
+
+    lines = spark.createDataFrame([(1, 1, "The [old mill](http://x) stands"), (1, 2, "---"), (1, 3, "by the wide river, north of town"), (1, 5, "and turns slowly every day"), (2, 1, "x")], "page_id bigint, line_num int, text string")
+    asked = [(1, "a", "old mill stands by the wide river"), (1, "b", "Turns, slowly"), (1, "c", "nothing of this"), (1, "d", "  "), (3, "e", "old")]
+    got = {(r.selection, r.first_line, r.last_line) for r in selected_lines(lines, spark.createDataFrame(asked, "page_id bigint, selection string, selected string")).collect()}
+    assert got == {("a", 1, 3), ("b", 5, 5)}
+
+
+def test_predictors_and_resuming(spark):
+    from pagelathe.operators import predictors
+
+    lines = spark.createDataFrame([(1, 1, 100, 0.0, 1), (1, 2, 5, 0.0, 0)], "page_id bigint, line_num int, text_length int, link_ratio double, content_region_ratio int")
+    truth = spark.createDataFrame([(1, [1])], "page_id bigint, truth array<int>")
+    assert {(r.method, r.iou) for r in predictors.compare(lines, truth).collect()} == {("long_lines", 1.0), ("largest_block", 1.0)}
+    todo = predictors.random_subsets(spark, 56, 20)
+    assert all(15 <= sum(r["mask"]) <= 45 and len(r["mask"]) == 56 for r in todo.collect())
+    assert predictors.remaining(todo, todo.where("trial < 15"), "trial").count() == 5
