@@ -244,6 +244,7 @@ def test_prose_is_not(prose_model):
 
 def test_misread_text_is_read_again():
     assert p10_spam.tokens_of("semblé Ã©tÃ©")[:2] == ["semblé", "été"]
+    assert p10_spam.tokens_of("ÑÃÐ°Ð´ ãÃ¯")[:2] == ["сад", "は"]  # with bytes that were lost
 
 
 def test_spam_table(spark, prose_model):
