@@ -8,6 +8,7 @@ from pagelathe.operators.components import connected_components
 from pagelathe.operators.current import latest
 from pagelathe.operators.html_walk import to_markdown
 from pagelathe.operators.ranking import bucketed_rank
+from pagelathe.operators.sampling import smallest_hashes
 from pagelathe.streaming import scrape
 
 RT = "array<struct<start:int,end:int>>"
@@ -30,6 +31,14 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_smallest_hashes(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    want = sorted((r.h, r.k) for r in df.withColumn("h", F.xxhash64("k", F.lit(3))).collect())[:100]
+    got = smallest_hashes(df.repartition(7), "k", 100, 3)
+    assert {r.k for r in got.collect()} == {k for _, k in want}
+    assert smallest_hashes(df.limit(5), "k", 100).count() == 5 and smallest_hashes(df.limit(0), "k", 9).count() == 0
+
+
 def test_bucketed_rank_is_a_rank(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"), F.xxhash64("id").alias("h"))
     got = bucketed_rank(df, ["k"], F.struct("h", "v"), F.shiftright("h", 58), F.lit(2)).collect()
