@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.current import latest
 from ..operators.html_walk import walk
+from ..operators.sampling import smallest_hashes
 from .lines import lines_of
 from .page_model import PageModel, body_lines, fit_body, fit_residue, is_residue_page
 
@@ -35,24 +36,14 @@ def fit_page_model(
     neither on order nor on partitions. Labelled pages have a current, manual
     and validated annotation with ranges. Only the samples reach the driver.
     """
-    rank = lambda seed: F.xxhash64("page_id", F.lit(seed))
-    marked = (
-        validated_annotations(annotations)
-        .where((F.col("source") == "manual") & (F.size("ranges") > 0))
-        .orderBy(rank(1), "page_id")
-        .limit(labelled)
-        .select("page_id", "ranges", F.lit(True).alias("marked"))
-    )
-    some = (
-        pages.where("html is not null and page_id is not null")
-        .select("page_id")
-        .distinct()
-        .orderBy(rank(2), "page_id")
-        .limit(unlabelled)
-        .select("page_id", F.lit(None).cast("array<struct<start:int,end:int>>").alias("ranges"), F.lit(False).alias("marked"))
-    )
+    ranges = "array<struct<start:int,end:int>>"
+    labels = validated_annotations(annotations).where((F.col("source") == "manual") & (F.size("ranges") > 0))
+    marked = smallest_hashes(labels.select("page_id", "ranges"), "page_id", labelled, 1).withColumn("marked", F.lit(True))
+    # A page's scrapes may fill several places of the sample; they are one page in the end.
+    some = smallest_hashes(pages.where("html is not null").select("page_id"), "page_id", unlabelled, 2).distinct()
+    some = some.select("page_id", F.lit(None).cast(ranges).alias("ranges"), F.lit(False).alias("marked"))
     wanted = F.broadcast(
-        marked.select("page_id", F.col("ranges").cast("array<struct<start:int,end:int>>").alias("ranges"), "marked").unionByName(some)
+        marked.select("page_id", F.col("ranges").cast(ranges).alias("ranges"), "marked").unionByName(some)
     )
     rows = (
         pages.where(F.col("html").isNotNull() & (F.length("html") <= SAMPLE_CHARS))

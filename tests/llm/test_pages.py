@@ -177,5 +177,5 @@ def test_clean_text_keeps_structure():
 
 
 def test_residue_kinds_spare_code_and_formulas():
-    items = [x for x in walk("<body><pre>&lt;b&gt;x&lt;/b&gt;</pre><p>\\( \\frac{a}{b} \\)</p><p>a &lt;b&gt;x&lt;/b&gt;</p></body>") if x[1] == "text"]
-    assert [p3_clean_text.residue_kinds(i) for i in items] == [[], [], ["html"]]
+    items = [x for x in walk("<body><pre>&lt;b&gt;x&lt;/b&gt;</pre><p>\\( \\frac{a}{b} \\)</p><p>a &lt;b&gt;x&lt;/b&gt;</p><p>use <code>&lt;b&gt;</code> here</p></body>") if x[1] == "text"]
+    assert [p3_clean_text.residue_kinds(i) for i in items] == [[], [], ["html"], [], []]
