@@ -67,8 +67,9 @@ def is_link_only(text: Column) -> Column:
     return (link_count(text) > 0) & (collapse(without_links(text)) == "")
 
 
-def char_count(text: Column, pattern: str) -> Column:
-    return F.length(F.regexp_replace(text, pattern.replace("[", "[^", 1) if pattern.startswith("[") else f"[^{pattern}]", ""))
+def char_count(text: Column, kind: str) -> Column:
+    """Characters of a Unicode class like \\p{L}."""
+    return F.length(F.regexp_replace(text, f"[^{kind}]", ""))
 
 
 def short_links(text: Column) -> Column:

@@ -9,23 +9,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ranking import bucketed_rank
 from ..operators.review import unannotated
 
 
-def schedule(arrivals: DataFrame, delay: float, key: str = "domain", at: str = "arrival") -> DataFrame:
+def schedule(arrivals: DataFrame, delay: float, key: str = "domain", at: str = "arrival", span: float = 3600.0) -> DataFrame:
     """`arrivals` with start: when each may begin, if those of one key keep `delay` seconds apart; times are numbers.
 
     start_i = max(arrival_i, start_{i-1} + delay) has the closed form
     max_j<=i (arrival_j - (j-1) delay) + (i-1) delay, a running maximum. Ties
-    of arrival keep the order of `seq`.
+    of arrival keep the order of `seq`. Ranks and maxima are taken in spans of
+    `span` seconds and carried over from one span to the next, so a busy key is
+    no single task.
     """
-    order = Window.partitionBy(key).orderBy(at, "seq")
-    place = F.row_number().over(order) - 1
-    return (
-        arrivals.withColumn("__place", place)
-        .withColumn("start", F.max(F.col(at) - F.col("__place") * delay).over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.col("__place") * delay)
-        .drop("__place")
-    )
+    bucket = F.floor(F.col(at) / span)
+    ranked = bucketed_rank(arrivals, [key], F.struct(at, "seq"), bucket).withColumn("__span", bucket)
+    early = ranked.withColumn("__early", F.col(at) - (F.col("rank") - 1) * delay)
+    before = Window.partitionBy(key).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = early.groupBy(key, "__span").agg(F.max("__early").alias("__most")).withColumn("__carried", F.max("__most").over(before)).drop("__most")
+    inside = Window.partitionBy(key, "__span").orderBy(at, "seq").rowsBetween(Window.unboundedPreceding, 0)
+    latest = F.greatest(F.max("__early").over(inside), F.col("__carried"))
+    return early.join(spans, [key, "__span"]).select(*arrivals.columns, (latest + (F.col("rank") - 1) * delay).alias("start"))
 
 
 def schedule_stream(arrivals: DataFrame, delay: float) -> DataFrame:

@@ -185,6 +185,15 @@ def test_schedule(spark):
     assert got == {1: 0.0, 2: 10.0, 3: 25.0, 4: 5.0, 5: 35.0}
 
 
+def test_schedule_over_spans(spark):
+    df = spark.range(400).select((F.col("id") % 2).cast("string").alias("domain"), (F.pmod(F.xxhash64("id"), F.lit(3000)) / 2).alias("arrival"), F.col("id").alias("seq"))
+    got = {r.seq: r.start for r in scrape.schedule(df, 7.0, span=50.0).collect()}
+    last = {}
+    for r in sorted(df.collect(), key=lambda r: (r.arrival, r.seq)):
+        last[r.domain] = max(r.arrival, last[r.domain] + 7.0) if r.domain in last else r.arrival
+        assert got[r.seq] == pytest.approx(last[r.domain])
+
+
 def test_schedule_stream_agrees_with_batch(spark, tmp_path):
     df = spark.createDataFrame([(f"d{i % 3}", float(i * 7 % 40), i) for i in range(30)], "domain string, arrival double, seq bigint")
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
