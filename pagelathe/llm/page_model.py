@@ -12,10 +12,11 @@ records that are trusted because they plainly are such pages.
 from __future__ import annotations
 
 import re
-from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from ..operators.html_tree import parse
 from ..operators.html_walk import walk
@@ -73,42 +74,104 @@ def body_lines(lines: list[tuple], scores: list[float]) -> list[int]:
     return [lines[i][0] for i in range(first, last + 1) if scores[i] > 0]
 
 
-# ---------------------------------------------------------------- body model
-
-
-def fit_body(pages: list[tuple[str, str, list]], epochs: int = 12, rate: float = 0.05) -> PageModel:
-    """Logistic regression on the lines of labelled pages (html, url, ranges)."""
-    names: dict[str, int] = {}
-    cells, starts, truth = array("i"), array("q", [0]), array("b")
-    for html, url, ranges in pages:
-        inside = [(r["start"], r["end"]) for r in ranges if r["start"] is not None and r["end"] is not None]
-        for number, _, words, tags in lines_of(walk(html or "", url or "")):
-            # A tag may come twice (from the heading and the element's surroundings); it counts once.
-            row = {names.setdefault(k, len(names)) for k in ("w " + w for w in words)}
-            row.update([names.setdefault(k, len(names)) for k in tags])
-            cells.extend(sorted(row))
-            starts.append(len(cells))
-            truth.append(any(a <= number <= b for a, b in inside))
+# ---------------------------------------------------------------- samples
+
+#: What a sampled page tells the driver: its different words and tags, and for each line which of them it
+#: has (`cells`, `sizes` many), whether it is a heading (1) or a notice for browsers without scripts (2), whether it
+#: alone shows an error or placeholder, how many words it has, and whether it is labelled as content.
+SAMPLE = pa.schema(
+    [
+        pa.field("tokens", pa.list_(pa.string())),
+        pa.field("cells", pa.list_(pa.int32())),
+        pa.field("sizes", pa.list_(pa.int32())),
+        pa.field("kinds", pa.list_(pa.int32())),
+        pa.field("plain", pa.list_(pa.bool_())),
+        pa.field("evidence", pa.list_(pa.int32())),
+        pa.field("truth", pa.list_(pa.bool_())),
+    ]
+)
+_WORD = "w "  # before words, so that they differ from tags
+
+
+def sample_page(html: str, url: str, ranges: list | None) -> dict[str, list]:
+    """The columns of SAMPLE of one page."""
+    inside = [(r["start"], r["end"]) for r in ranges or [] if r["start"] is not None and r["end"] is not None]
+    known: dict[str, int] = {}
+    out: dict[str, list] = {n: [] for n in SAMPLE.names[1:]}
+
+    def add(words, tags, kind: int, text: str, true: bool) -> None:
+        # A tag may come twice (from the heading and the element's surroundings); it counts once.
+        row = {known.setdefault(_WORD + w, len(known)) for w in words}
+        row.update([known.setdefault(t, len(known)) for t in tags])
+        out["cells"] += sorted(row)
+        out["sizes"].append(len(row))
+        out["kinds"].append(kind)
+        out["plain"].append(trusted_line(text, words))
+        out["evidence"].append(evidence_words(words))
+        out["truth"].append(true)
+
+    for number, item, words, tags in lines_of(walk(html or "", url or "")):
+        add(words, tags, int(item[3][:1] == "#"), item[2], any(a <= number <= b for a, b in inside))
+    for text in noscript_lines(html or ""):
+        add(words_of_text(text), (), 2, text, False)
+    return {"tokens": list(known), **out}
+
+
+class _Lines:
+    """The lines of a sample as arrays: for each its page and flags, for each of its cells its line and token."""
+
+    def __init__(self, sample: pa.Table):
+        flat = {n: sample[n].combine_chunks().flatten() for n in SAMPLE.names}
+        per_page = lambda n: np.asarray(pc.list_value_length(sample[n].combine_chunks()), np.int64)
+        coded = flat["tokens"].dictionary_encode()
+        self.names: list[str] = coded.dictionary.to_pylist()
+        self.page = np.repeat(np.arange(len(sample)), per_page("sizes"))
+        self.sizes = np.asarray(flat["sizes"], np.int64)
+        begin = np.concatenate(([0], np.cumsum(per_page("tokens"))[:-1])) if len(sample) else np.zeros(0, np.int64)
+        local = np.asarray(flat["cells"], np.int64) + np.repeat(begin, per_page("cells"))
+        self.token = np.asarray(coded.indices, np.int64)[local]
+        self.line = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.kinds, self.evidence = np.asarray(flat["kinds"]), np.asarray(flat["evidence"])
+        self.plain, self.truth = (np.asarray(flat[n].to_numpy(zero_copy_only=False), bool) for n in ("plain", "truth"))
+        self.is_word = np.array([n.startswith(_WORD) for n in self.names], bool)
+
+
+def fit_models(sample: pa.Table, labelled: np.ndarray, unlabelled: np.ndarray) -> PageModel:
+    """Both models from the pages of a sample; the two arrays tell which pages are for the body and the residue model."""
     model = PageModel()
-    y = np.frombuffer(truth, np.int8).astype(float)
-    if not len(y) or not y.any():
+    if not len(sample):
         return model
-    index, starts = np.frombuffer(cells, np.int32), np.frombuffer(starts, np.int64)
-    kept = np.bincount(index, minlength=len(names)) >= LEAST_LINES
-    place = np.cumsum(kept) - 1
-    inside = kept[index]
-    starts = np.concatenate(([0], np.cumsum(inside)))[starts]
-    weights = _logistic(place[index[inside]], starts, y, int(kept.sum()), epochs, rate)
-    model.bias = float(weights[-1])
-    for name, i in names.items():
-        if kept[i]:
-            if name.startswith("w "):
-                model.words[name[2:]] = float(weights[place[i]])
-            else:
-                model.tags[name] = float(weights[place[i]])
+    lines = _Lines(sample)
+    weights = _fit_body(model, lines, labelled[lines.page] & (lines.kinds < 2))
+    _fit_residue(model, lines, weights, unlabelled)
     return model
 
 
+# ---------------------------------------------------------------- body model
+
+
+def _fit_body(model: PageModel, lines: _Lines, chosen: np.ndarray, epochs: int = 12, rate: float = 0.05) -> np.ndarray:
+    """Logistic regression on the chosen lines; gives the weights of all tokens as well."""
+    weights = np.zeros(len(lines.names))
+    y = lines.truth[chosen].astype(float)
+    if not y.any():
+        return weights
+    index = lines.token[chosen[lines.line]]
+    kept = np.bincount(index, minlength=len(lines.names)) >= LEAST_LINES
+    place, inside = np.cumsum(kept) - 1, kept[index]
+    starts = np.concatenate(([0], np.cumsum(inside)))[np.concatenate(([0], np.cumsum(lines.sizes[chosen])))]
+    found = _logistic(place[index[inside]], starts, y, int(kept.sum()), epochs, rate)
+    model.bias = float(found[-1])
+    weights[kept] = found[:-1]
+    for i in np.flatnonzero(kept):
+        name = lines.names[i]
+        if lines.is_word[i]:
+            model.words[name[len(_WORD) :]] = float(weights[i])
+        else:
+            model.tags[name] = float(weights[i])
+    return weights
+
+
 def _logistic(index, starts, y, n, epochs, rate, l2=2e-5, batch=4096):
     """Minibatch Adam over sparse 0/1 rows; the last weight is the bias."""
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
@@ -222,36 +285,35 @@ def amount_of(lines: list[tuple], scores: list[float], odds) -> str:
     return "little" if total else "none"
 
 
-def fit_residue(model: PageModel, pages: list[tuple[str, str]], rounds: int = 8) -> None:
-    """Fit the residue model of `model`, which must have its body model, on a sample of (html, url).
+def _fit_residue(model: PageModel, lines: _Lines, weights: np.ndarray, unlabelled: np.ndarray, rounds: int = 8) -> None:
+    """Expectation-maximization over the pages that `unlabelled` marks.
 
     Trusted records hold no more than a little content and at least one line
     that alone shows an error, placeholder or filler. All other records are
     unlabelled: their class is what expectation-maximization finds, starting
     from records with much content as probable negatives.
     """
-    names: dict[str, int] = {}
-    cells, row = array("i"), array("i")
-    owner, trusted, amounts, least = [], [], [], []
-    for at, (html, url) in enumerate(pages):
-        lines = lines_of(walk(html or "", url or ""))
-        scores = model.scores(lines)
-        passages = passages_of(html, lines, scores)
-        amounts.append(AMOUNTS.index(amount_of(lines, scores, lambda t, w: float(trusted_line(t, w)))))
-        trusted.append(amounts[-1] < 2 and any(trusted_line(t, w) for t, w, _ in passages))
-        for _, words, _ in passages:
-            cells.extend([names.setdefault(w, len(names)) for w in words])
-            row.extend([len(owner)] * len(words))
-            owner.append(at)
-        least += [_least(s) for _, _, s in passages]
-    sure, owner, amounts = np.array(trusted, bool), np.array(owner, np.int64), np.array(amounts, np.int64)
+    own = unlabelled[lines.page]
+    scores = np.bincount(lines.line, weights[lines.token], len(lines.sizes)) + model.bias
+    scores[lines.kinds == 2] = 0.0
+    number = np.cumsum(unlabelled) - 1  # of a page among the unlabelled ones
+    pages_n = int(unlabelled.sum())
+    content = own & (scores > 0) & (lines.kinds == 0) & (lines.evidence >= LINE_WORDS) & ~lines.plain
+    total = np.bincount(number[lines.page[content]], lines.evidence[content], pages_n)
+    amounts = np.where(total >= BODY_WORDS, 2, np.where(total > 0, 1, 0))
+    passage = own & ((scores > CHROME) | (lines.kinds == 2))
+    owner = number[lines.page[passage]]
+    shown = np.bincount(owner, lines.plain[passage], pages_n) > 0
+    sure = shown & (amounts < 2)
     if not sure.any() or sure.all():
         return
-    cells, row = np.frombuffer(cells, np.int32), np.frombuffer(row, np.int32)
-    kept = np.bincount(cells, minlength=len(names)) >= 2
+    least = np.where(scores[passage] > 0, -CLIP, 0.0)
+    cell = passage[lines.line] & lines.is_word[lines.token]
+    cells, row = lines.token[cell], (np.cumsum(passage) - 1)[lines.line[cell]]
+    kept = np.bincount(cells, minlength=len(lines.names)) >= 2
     place = np.cumsum(kept) - 1
     row, cells, n = row[kept[cells]], place[cells[kept[cells]]], int(kept.sum())
-    belief, pages_n = np.where(sure, 1.0, np.where(amounts == 2, 0.001, 0.3)), len(sure)
+    belief = np.where(sure, 1.0, np.where(amounts == 2, 0.001, 0.3))
     for _ in range(rounds):
         each = belief[owner]
         yes = np.bincount(cells, each[row], n) + 0.1
@@ -266,7 +328,7 @@ def fit_residue(model: PageModel, pages: list[tuple[str, str]], rounds: int = 8)
         # Chrome that only error pages happen to carry must not outweigh much content.
         z[amounts == 2] = np.minimum(z[amounts == 2], -CLIP)
         belief = np.where(sure, 1.0, 1 / (1 + np.exp(-np.clip(z, -30, 30))))
-    model.residue = {w: float(odds[place[i]]) for w, i in names.items() if kept[i]}
+    model.residue = {lines.names[i][len(_WORD) :]: float(odds[place[i]]) for i in np.flatnonzero(kept)}
     model.residue_bias = float(prior)
     model.amounts = {a: float(size[i]) for i, a in enumerate(AMOUNTS)}
 
@@ -275,8 +337,8 @@ def residue_record_odds(model: PageModel, html: str, lines: list[tuple], scores:
     """Log odds that the place of the main body holds nothing but residue.
 
     Pages with much real content are settled before their passages are scored.
-    A page without any text is no case, nor one that has no line which might be
-    residue at all; one with nothing but chrome is.
+    A page without any text is no case, nor one with some words of which no line
+    might be residue; one with nothing but chrome is.
     """
     if not model.residue or not lines and not noscript_lines(html):
         return -CLIP
@@ -284,7 +346,9 @@ def residue_record_odds(model: PageModel, html: str, lines: list[tuple], scores:
     if amount == "much":
         return -CLIP
     passages = passages_of(html, lines, scores)
-    if max([model.residue_odds(w) for _, _, w, _ in lines] + [model.residue_odds(w) for _, w, _ in passages]) < DENIED:
+    if sum(evidence_words(w) for _, _, w, _ in lines) >= BODY_WORDS and max(
+        [model.residue_odds(w) for _, _, w, _ in lines] + [model.residue_odds(w) for _, w, _ in passages]
+    ) < DENIED:
         return -CLIP
     odds = model.residue_bias + model.amounts[amount]
     for _, words, score in passages:

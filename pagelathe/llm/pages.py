@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from ..operators.current import latest
 from ..operators.html_walk import walk
 from ..operators.sampling import smallest_hashes
 from .lines import lines_of
-from .page_model import PageModel, body_lines, fit_body, fit_residue, is_residue_page
+from .page_model import SAMPLE, PageModel, body_lines, fit_models, is_residue_page, sample_page
 
 #: Bounds of the samples that the models are fitted on, in pages: labelled ones
 #: for the body model, any for the residue model.
@@ -45,19 +46,35 @@ def fit_page_model(
     wanted = F.broadcast(
         marked.select("page_id", F.col("ranges").cast(ranges).alias("ranges"), "marked").unionByName(some)
     )
-    rows = (
+    own = [("page_id", pa.int64()), ("marked", pa.bool_()), ("status", pa.string()), ("at", pa.int64()), ("tie", pa.int64())]
+    schema = pa.schema([pa.field(*f) for f in own] + list(SAMPLE))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [sample_page(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("html", "url", "ranges")))]
+            arrays = [batch.column(n) for n, _ in own] + [pa.array([g[f.name] for g in got], f.type) for f in SAMPLE]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    ddl = "page_id bigint, marked boolean, status string, at bigint, tie bigint"
+    for f in SAMPLE:
+        ddl += f", {f.name} {_DDL[str(f.type)]}"
+    # The lines of the samples are made where the pages lie; the driver gets numbers and each page's words once.
+    sample = (
         pages.where(F.col("html").isNotNull() & (F.length("html") <= SAMPLE_CHARS))
-        .select("page_id", "scraped_at", "status", "url", "html")
+        .select(F.col("page_id").cast("bigint"), F.col("scraped_at").cast("timestamp"), "status", "url", "html")
         .join(wanted, "page_id")
-        .collect()
+        .select("page_id", "marked", "status", F.coalesce(F.unix_micros("scraped_at"), F.lit(-(2**63))).alias("at"), F.xxhash64("html").alias("tie"), "html", "url", "ranges")
+        .mapInArrow(run, ddl)
+        .toArrow()
     )
+    keys = sample.select(["page_id", "marked", "at", "tie"]).to_pylist()
     newest: dict = {}
-    for r in sorted(rows, key=lambda r: (r.page_id, r.scraped_at is not None, r.scraped_at and r.scraped_at.timestamp(), r.html)):
-        newest[r.page_id, r.marked] = r
-    kept = [newest[k] for k in sorted(newest)]
-    model = fit_body([(r.html, r.url, r.ranges) for r in kept if r.marked and r.status == "success"])
-    fit_residue(model, [(r.html, r.url) for r in kept if not r.marked])
-    return model
+    for i, k in sorted(enumerate(keys), key=lambda x: (x[1]["at"], x[1]["tie"])):
+        newest[k["marked"], k["page_id"]] = i
+    sample = sample.take(pa.array([newest[k] for k in sorted(newest)], pa.int64()))
+    labelled = np.array(sample["marked"].to_pylist(), bool)
+    good = np.array([s == "success" for s in sample["status"].to_pylist()], bool)
+    return fit_models(sample, labelled & good, ~labelled)
 
 
 def map_pages(pages: DataFrame, model: PageModel, fields: pa.Schema, result: Callable) -> DataFrame:
@@ -107,6 +124,7 @@ _DDL = {
     "list<item: int32>": "array<int>",
     "list<item: int64>": "array<bigint>",
     "list<item: string>": "array<string>",
+    "list<item: bool>": "array<boolean>",
 }
 
 
