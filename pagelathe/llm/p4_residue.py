@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..operators.current import latest
 from .page_model import PageModel
 from .pages import current_results, fit_page_model, map_pages
 
@@ -25,3 +27,10 @@ def found(pages: DataFrame, annotations: DataFrame, model: PageModel | None = No
     model = model or fit_page_model(pages, annotations)
     mapped = map_pages(pages, model, _NOTHING, lambda *_: {})
     return current_results(mapped).where("residue").select("page_id")
+
+
+def kept(pages: DataFrame, annotations: DataFrame, model: PageModel | None = None) -> DataFrame:
+    """(page_id, url) of the current successful pages with html that are no case, for the stages that follow."""
+    cases = found(pages, annotations, model)
+    rows = latest(pages.withColumn("has_html", F.col("html").isNotNull()), "page_id", "scraped_at", ["status", "url", "has_html"])
+    return rows.where("status = 'success' and has_html").select("page_id", "url").join(cases, "page_id", "left_anti")

@@ -10,6 +10,10 @@ def p1_found(spark, folder):
     return p1_main_body.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
 
 
+def p1_texts(spark, folder):
+    return p1_main_body.texts(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+
+
 def p2_found(spark, folder):
     return p2_overlap.found(read_table(spark, folder, "train"), read_table(spark, folder, "test"))
 
@@ -30,6 +34,10 @@ def p4_found(spark, folder):
     return p4_residue.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
 
 
+def p4_kept(spark, folder):
+    return p4_residue.kept(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+
+
 def p5_found(spark, folder):
     return p5_repeated_lines.found(read_table(spark, folder, "pages"))
 

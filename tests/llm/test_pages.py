@@ -74,6 +74,9 @@ def test_odd_rows(spark, model):
     assert {1, 2} <= residue and not residue & {3, 4, 5, 6, 7}
     body = {(r.page_id, r.line_num) for r in p1_main_body.found(rows, none, model).collect()}
     assert {(3, i) for i in range(1, 7)} | {(4, i) for i in range(1, 7)} <= body and not {p for p, _ in body} & {1, 2, 5, 6}
+    texts = {r.page_id: r.text for r in p1_main_body.texts(rows, none, model).collect()}
+    assert set(texts) == {3, 4, 7} and texts[3].startswith("# Why Kelba moved\nWhat surprised") and texts[3] == texts[4]
+    assert sorted(r.page_id for r in p4_residue.kept(rows, none, model).collect()) == [3, 4, 7]
     assert [tuple(r) for r in p6_near_pages.found(rows, none, model).collect()] == [(3, 4)]
     groups = {r.page_id: r.group_id for r in p6_near_pages.groups(rows, none, model).collect()}
     assert groups[3] == groups[4] == 3
