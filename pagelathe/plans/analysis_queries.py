@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..functions import training
 from ..operators import analysis, features, items
 from ..sources.tables import read_table, use_checkpoints
-from .base import CA, MEASURED, current_annotations, current_pages, lines, measured, query, with_
+from .base import CA, CP, MEASURED, current_annotations, current_pages, lines, measured, query, with_
 
 Z = ("text_length", "word_count", "link_ratio", "is_heading")
 
@@ -92,6 +92,22 @@ def html_render_light(spark, folder):
     return items.rendered(_html(spark, folder)).select("page_id", "light")
 
 
+_USER = "list_filter(messages, lambda m: m.role = 'user')[1].content"
+
+
+@query(
+    with_(CP)
+    + f"""
+SELECT DISTINCT t.page_id, {_USER} AS light FROM train t JOIN cp USING (page_id)
+WHERE messages IS NOT NULL AND t.url IS NOT NULL AND cp.status = 'success' AND cp.html IS NOT NULL"""
+)
+def light_of_train(spark, folder):
+    """The light view of the pages of the training rows against the content of those rows."""
+    rows = read_table(spark, folder, "train").where("messages is not null and url is not null").select("page_id", "url").distinct()
+    html = current_pages(spark, folder, "html").where("status = 'success' and html is not null").select("page_id", "html")
+    return items.rendered(rows.join(html, "page_id")).select("page_id", "light")
+
+
 @query(with_(MEASURED) + r", tw AS (SELECT page_id, line_num, text, md_prefix FROM tl) SELECT page_id, line_num, text, md_prefix FROM tw WHERE NOT regexp_matches(text, '^\[cookies\] - [0-9]+ lines?$')")
 def html_lines(spark, folder):
     """Lines of the walk against those read back from the stored markdown, whose list marks may stand in the text as well."""
