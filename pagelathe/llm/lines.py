@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from ..operators.html_tree import Node
 from ..operators.html_walk import TEXT, is_link_only, span_of
@@ -14,6 +15,7 @@ LONGEST = 11
 #: Remembered lines of a Python worker; the memory is emptied when full.
 MEMORY = 20_000
 _seen: dict[str, tuple] = {}
+_named: dict[tuple[str, str], tuple[str, ...]] = {}
 
 
 def words_of(text: str) -> tuple[tuple[str, ...], int, str, bool]:
@@ -23,7 +25,7 @@ def words_of(text: str) -> tuple[tuple[str, ...], int, str, bool]:
         return known
     links = "](" in text
     plain = _TARGET.sub("]", text) if links else text
-    words = tuple({"0" if w.isdigit() else w for w in _WORD.findall(plain.lower())})
+    words = tuple({"0" if w.isdigit() else w for w in set(_WORD.findall(plain.lower()))})
     kind = ("k" if is_link_only(text) else "l") if links else ""
     if len(_seen) >= MEMORY:
         _seen.clear()
@@ -31,15 +33,33 @@ def words_of(text: str) -> tuple[tuple[str, ...], int, str, bool]:
     return known
 
 
-def _names(node: Node, mark: str) -> list[str]:
+def _names(node: Node, mark: str) -> tuple[str, ...]:
     """Tokens of the id, classes and role; names that hold digits are taken for generated ones."""
-    out = []
+    out: tuple[str, ...] = ()
     for key in ("id", "class", "role"):
         if key in node.attrs:
-            out += [mark + ("opaque" if any(map(str.isdigit, v)) else v.lower()) for v in node.attrs[key].split()]
+            raw = node.attrs[key]
+            known = _named.get((mark, raw))
+            if known is None:
+                if len(_named) >= MEMORY:
+                    _named.clear()
+                known = _named[mark, raw] = tuple(
+                    [mark + ("opaque" if any(map(str.isdigit, v)) else v.lower()) for v in raw.split()]
+                )
+            out += known
     return out
 
 
+@lru_cache(10_000)
+def _form(kind: str, size: int, name: str) -> tuple[str, str, str]:
+    """Tokens for the kind, size and element of a line itself, of the one before and of the one behind."""
+    form = f"{kind}{size} {name}"
+    return "f:" + form, "b:" + form, "n:" + form
+
+
+_COMMON = frozenset("id class role href src".split())
+
+
 def _around(node: Node) -> tuple[str, ...]:
     """Tokens of an element and everything it stands in, below the body."""
     if node.ctx is not None:
@@ -50,7 +70,7 @@ def _around(node: Node) -> tuple[str, ...]:
         own = ["a:" + node.name]
         if node.attrs:
             own += _names(node, "a:")
-            own += ["a:@" + k for k in node.attrs if k not in ("id", "class", "role", "href", "src")]
+            own += ["a:@" + k for k in node.attrs if k not in _COMMON]
             if "style" in node.attrs:
                 own.append("a:style=" + "".join(node.attrs["style"].lower().split()))
         base = tuple(dict.fromkeys((*base, *own)))
@@ -70,15 +90,23 @@ def lines_of(items: list[tuple]) -> list[tuple]:
             lines.append((number, item, words_of(item[2])))
         number += span_of(item)
     title = next((i for i, x in enumerate(lines) if x[1][3] == "# "), None)
-    forms = []
-    for _, item, (_, size, kind, _) in lines:
-        mark = item[3]
-        kind = ("#" if mark[:1] == "#" else "-" if mark else "") + kind
-        forms.append(f"{kind}{size} {item[4].name}")
-    out, heading, titles, last = [], (), 0, len(lines) - 1
-    for i, (number, item, (words, size, kind, ends)) in enumerate(lines):
+    forms = [
+        _form(("#" if x[3][:1] == "#" else "-" if x[3] else "") + kind, size, x[4].name) for _, x, (_, size, kind, _) in lines
+    ]
+    out, heading, titles, n = [], (), 0, len(lines)
+    for i, (number, item, (words, _, kind, ends)) in enumerate(lines):
         mark, node = item[3], item[4]
-        tags = ["f:" + forms[i], "t:" + node.name, "p:" + node.parent.name, f"k:{mark}{kind}" if mark[:1] == "#" else "k:" + forms[i][:2]]
+        form = forms[i][0]
+        head = mark[:1] == "#"
+        tags = [
+            form,
+            "t:" + node.name,
+            "p:" + node.parent.name,
+            f"k:{mark}{kind}" if head else "k:" + form[2:4],
+            forms[i - 1][1] if i else "b:",
+            forms[i + 1][2] if i + 1 < n else "n:",
+            _TENTHS[10 * i // n],
+        ]
         if node.attrs:
             tags += _names(node, "o:")
         if ends:
@@ -86,16 +114,17 @@ def lines_of(items: list[tuple]) -> list[tuple]:
         if title is None:
             tags.append("untitled")
         else:
-            away = i - title
-            tags.append(f"h:{away.bit_length() if away >= 0 else -(-away).bit_length()}")
-        if mark[:1] == "#":
+            tags.append(_AWAY[(i - title).bit_length() if i >= title else -(title - i).bit_length()])
+        if head:
             titles += mark == "# "
-            heading = (f"xl:{len(mark)}", *("x:" + w for w in words)) if len(words) < 12 else (f"xl:{len(mark)}",)
-        tags.append(f"hs:{min(titles, 3)}")
-        tags.append("b:" + forms[i - 1] if i else "b:")
-        tags.append("n:" + forms[i + 1] if i < last else "n:")
-        tags.append(f"r:{10 * i // (last + 1)}")
+            heading = (f"xl:{len(mark)}", *["x:" + w for w in words]) if len(words) < 12 else (f"xl:{len(mark)}",)
+        tags.append(_TITLES[titles if titles < 3 else 3])
         tags += heading
         tags += _around(node)
         out.append((number, item, words, tags))
     return out
+
+
+_TENTHS = [f"r:{i}" for i in range(10)]
+_TITLES = [f"hs:{i}" for i in range(4)]
+_AWAY = {i: f"h:{i}" for i in range(-64, 65)}

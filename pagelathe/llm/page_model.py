@@ -12,6 +12,7 @@ records that are trusted because they plainly are such pages.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -93,28 +94,31 @@ SAMPLE = pa.schema(
 _WORD = "w "  # before words, so that they differ from tags
 
 
-def sample_page(html: str, url: str, ranges: list | None) -> dict[str, list]:
-    """The columns of SAMPLE of one page."""
+def sample_page(html: str, url: str, ranges: list | None, labelled: bool) -> dict[str, list | np.ndarray]:
+    """The columns of SAMPLE of one page; what only the residue model reads is left empty for labelled pages."""
     inside = [(r["start"], r["end"]) for r in ranges or [] if r["start"] is not None and r["end"] is not None]
     known: dict[str, int] = {}
-    out: dict[str, list] = {n: [] for n in SAMPLE.names[1:]}
-
-    def add(words, tags, kind: int, text: str, true: bool) -> None:
+    cells, sizes, kinds, plain, evidence, truth = array("i"), [], [], [], [], []
+    for number, item, words, tags in lines_of(walk(html or "", url or "")):
         # A tag may come twice (from the heading and the element's surroundings); it counts once.
         row = {known.setdefault(_WORD + w, len(known)) for w in words}
         row.update([known.setdefault(t, len(known)) for t in tags])
-        out["cells"] += sorted(row)
-        out["sizes"].append(len(row))
-        out["kinds"].append(kind)
-        out["plain"].append(trusted_line(text, words))
-        out["evidence"].append(evidence_words(words))
-        out["truth"].append(true)
-
-    for number, item, words, tags in lines_of(walk(html or "", url or "")):
-        add(words, tags, int(item[3][:1] == "#"), item[2], any(a <= number <= b for a, b in inside))
-    for text in noscript_lines(html or ""):
-        add(words_of_text(text), (), 2, text, False)
-    return {"tokens": list(known), **out}
+        cells.extend(sorted(row))
+        sizes.append(len(row))
+        kinds.append(int(item[3][:1] == "#"))
+        truth.append(labelled and any(a <= number <= b for a, b in inside))
+        plain.append(not labelled and trusted_line(item[2], words))
+        evidence.append(0 if labelled else evidence_words(words))
+    for text in [] if labelled else noscript_lines(html or ""):
+        words = words_of_text(text)
+        cells.extend(sorted(known.setdefault(_WORD + w, len(known)) for w in words))
+        sizes.append(len(words))
+        kinds.append(2)
+        truth.append(False)
+        plain.append(trusted_line(text, words))
+        evidence.append(evidence_words(words))
+    own = (list(known), np.array(cells, np.int32), sizes, kinds, plain, evidence, truth)
+    return dict(zip(SAMPLE.names, own))
 
 
 class _Lines:

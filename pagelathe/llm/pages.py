@@ -17,7 +17,7 @@ from .page_model import SAMPLE, PageModel, body_lines, fit_models, is_residue_pa
 
 #: Bounds of the samples that the models are fitted on, in pages: labelled ones
 #: for the body model, any for the residue model.
-LABELLED, UNLABELLED = 2500, 3000
+LABELLED, UNLABELLED = 2000, 2500
 #: Longer pages are left out of the samples, so that these are bounded in bytes too.
 SAMPLE_CHARS = 100_000
 
@@ -51,7 +51,7 @@ def fit_page_model(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [sample_page(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("html", "url", "ranges")))]
+            got = [sample_page(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("html", "url", "ranges", "marked")))]
             arrays = [batch.column(n) for n, _ in own] + [pa.array([g[f.name] for g in got], f.type) for f in SAMPLE]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
