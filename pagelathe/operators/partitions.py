@@ -1,0 +1,21 @@
+"""Enough partitions for work that costs far more than reading."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def few_partitions(table: DataFrame) -> int:
+    """The number of cores, if a table is read in fewer partitions than that, else 0.
+
+    A large table has many partitions and is left as it is read. `table` should
+    be a plain scan: its partitions are planned here, nothing runs.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return cores if table.rdd.getNumPartitions() < cores else 0
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A scan dealt out evenly over the cores, if it is read in fewer partitions than there are cores."""
+    cores = few_partitions(table)
+    return table.repartition(cores) if cores else table
