@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.current import latest
 from ..operators.html_walk import walk
+from ..operators.partitions import few_partitions, spread
 from ..operators.sampling import smallest_hashes
 from .lines import lines_of
 from .page_model import SAMPLE, PageModel, body_lines, fit_models, is_residue_page, sample_page
@@ -59,14 +60,14 @@ def fit_page_model(
     for f in SAMPLE:
         ddl += f", {f.name} {_DDL[str(f.type)]}"
     # The lines of the samples are made where the pages lie; the driver gets numbers and each page's words once.
-    sample = (
+    chosen = (
         pages.where(F.col("html").isNotNull() & (F.length("html") <= SAMPLE_CHARS))
         .select(F.col("page_id").cast("bigint"), F.col("scraped_at").cast("timestamp"), "status", "url", "html")
         .join(wanted, "page_id")
         .select("page_id", "marked", "status", F.coalesce(F.unix_micros("scraped_at"), F.lit(-(2**63))).alias("at"), F.xxhash64("html").alias("tie"), "html", "url", "ranges")
-        .mapInArrow(run, ddl)
-        .toArrow()
     )
+    cores = few_partitions(pages.select("page_id"))
+    sample = (chosen.repartition(cores) if cores else chosen).mapInArrow(run, ddl).toArrow()
     keys = sample.select(["page_id", "marked", "at", "tie"]).to_pylist()
     newest: dict = {}
     for i, k in sorted(enumerate(keys), key=lambda x: (x[1]["at"], x[1]["tie"])):
@@ -112,7 +113,8 @@ def map_pages(pages: DataFrame, model: PageModel, fields: pa.Schema, result: Cal
     ddl = "page_id bigint, scraped_at timestamp, status string, residue boolean"
     for f in fields:
         ddl += f", {f.name} {_DDL[str(f.type)]}"
-    return pages.select(F.col("page_id").cast("bigint"), F.col("scraped_at").cast("timestamp"), "status", "url", "html").mapInArrow(run, ddl)
+    rows = pages.select(F.col("page_id").cast("bigint"), F.col("scraped_at").cast("timestamp"), "status", "url", "html")
+    return spread(rows).mapInArrow(run, ddl)
 
 
 _DDL = {
