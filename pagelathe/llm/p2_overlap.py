@@ -1,9 +1,10 @@
 """Problem 2: records of the training split that recur in the test split.
 
-Content-defined chunks: a rolling hash over the words of a body cuts it where
-the hash says so, so equal passages give equal chunks whatever surrounds them.
-Records are joined by the digests of chunks, the lengths of the chunks they
-share are summed, and pairs that share enough are verified exactly.
+Records are joined exactly, through the rarer of the runs of words that both
+splits have, and verified by all their runs. How much of a pair's text recurs
+in whole passages is told by content-defined chunks: a rolling hash over the
+words of a body cuts it where the hash says so, so equal passages give equal
+chunks whatever surrounds them, and the lengths of the shared ones are summed.
 """
 
 from __future__ import annotations
@@ -24,10 +25,6 @@ from . import shingles
 RUN, LEAST_SIMILARITY = 3, 0.6
 #: The rolling hash looks at so many words, and one of CUT hashes ends a chunk; chunks have at least LEAST_CHUNK words.
 WINDOW, CUT, LEAST_CHUNK = 2, 4, 2
-#: Shared part of the longer record's words from which a pair is verified. A
-#: pair of similarity 0.6 shares three quarters of its runs; edits that are
-#: spread evenly, one in twelve words, leave about a third of the chunks whole.
-LEAST_OVERLAP = 0.2
 
 _NUMBERED = re.compile(r"^\s*(\d+) \| ?(.*)$")
 _RANGES = re.compile(r"\d+:\d+(?:,\d+:\d+)*")
@@ -77,11 +74,11 @@ def chunks_of(hashes: np.ndarray) -> np.ndarray:
     return np.unique((digest & ~np.uint64(255)) | length.astype(np.uint64)).astype(np.int64)
 
 
-_FIELDS = "page_id bigint, url string, words int, body bigint, runs array<bigint>, chunks array<bigint>"
+_FIELDS = "page_id bigint, url string, body bigint, runs array<bigint>, chunks array<bigint>"
 
 
 def records(split: DataFrame) -> DataFrame:
-    """(page_id, url, words, body, runs, chunks) of the records of a split that name lines of their own.
+    """(page_id, url, body, runs, chunks) of the records of a split that name lines of their own.
 
     Records with null messages, without user content or without an answer that
     names lines are left out. The last message of a role counts. Rows that
@@ -98,56 +95,55 @@ def records(split: DataFrame) -> DataFrame:
                     continue
                 hashes = shingles.word_hashes(shingles.words_of(body))
                 runs = np.unique(shingles.run_hashes(hashes, RUN)).astype(np.int64)
-                rows.append((page, url, len(hashes), shingles.set_hash(runs), runs, chunks_of(hashes)))
-            cols = list(zip(*rows)) or [[]] * 6
-            types = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            names = ("page_id", "url", "words", "body", "runs", "chunks")
+                rows.append((page, url, shingles.set_hash(runs), runs, chunks_of(hashes)))
+            cols = list(zip(*rows)) or [[]] * 5
+            types = (pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            names = ("page_id", "url", "body", "runs", "chunks")
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=list(names))
 
     done = split.select(F.col("page_id").cast("bigint"), "url", "messages").mapInArrow(run, _FIELDS)
-    return done.groupBy("page_id", "body").agg(*[F.first(c).alias(c) for c in ("words", "runs", "chunks")], F.min("url").alias("url"))
-
-
-def overlaps(train: DataFrame, test: DataFrame, least: float = LEAST_OVERLAP) -> DataFrame:
-    """(a, b, overlap): pairs of a training and a test record, by key, that share enough of their chunks.
-
-    Both sides have key, words and chunks. Overlap is the sum of the lengths of
-    shared chunks over the words of the longer record, so both records have at
-    least that part of theirs in common. A record's chunks are ordered from the
-    rarest to the most common; without the last of them, which together are
-    shorter than that part, a pair that overlaps enough still shares a chunk.
-    So only the others are joined on: phrases that everything shares are
-    counted, but pair nothing, and no pair is lost. Records of equal bodies are
-    one record on each side before this is called.
+    return done.groupBy("page_id", "body").agg(*[F.first(c).alias(c) for c in ("runs", "chunks")], F.min("url").alias("url"))
+
+
+def candidates(train: DataFrame, test: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """(a, b): pairs of a training and a test record, by key, among which are all of a similarity of at least `least`.
+
+    Both sides have key and runs. Of such a pair each record has at least the
+    part `least` of its runs in common with the other. A record's runs that
+    occur on both sides are ordered from the most common to the rarest, in one
+    order for all records: the rarest run that a pair shares stands no earlier
+    than the others it shares, so at that part of the record's runs or behind.
+    Only runs that stand there are joined on: phrases that everything shares
+    pair nothing, and no pair is lost. Nor does a run pair records that cannot
+    be similar enough if it is the rarest they share, for then they share no
+    more runs than stand up to it in either. Records of equal bodies are one record
+    on each side before this is called.
     """
-    flat = lambda df, side: df.select(F.lit(side).alias("side"), "key", "words", F.explode("chunks").alias("digest"))
-    chunks = flat(train, 0).union(flat(test, 1))
-    sides = chunks.groupBy("digest").agg(F.sum(1 - F.col("side")).alias("in_train"), F.sum("side").alias("in_test"))
-    # Only chunks that occur on both sides can be shared.
-    common = chunks.join(sides.where("in_train > 0 and in_test > 0"), "digest").withColumn("length", _length("digest"))
-    order = Window.partitionBy("side", "key").orderBy((F.col("in_train") * F.col("in_test")).desc(), "digest")
-    behind = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    prefix = common.withColumn("behind", behind).where(F.col("behind") >= least * F.col("words"))
-    near = (
-        prefix.where("side = 0").select("digest", F.col("key").alias("a"))
-        .join(prefix.where("side = 1").select("digest", F.col("key").alias("b")), "digest")
+    flat = lambda df, side: df.select(F.lit(side).alias("side"), "key", F.size("runs").alias("size"), F.explode("runs").alias("run"))
+    runs = flat(train, 0).union(flat(test, 1))
+    sides = runs.groupBy("run").agg(F.sum(1 - F.col("side")).alias("in_train"), F.sum("side").alias("in_test"))
+    # Only runs that occur on both sides can be shared.
+    common = runs.join(sides.where("in_train > 0 and in_test > 0"), "run")
+    order = Window.partitionBy("side", "key").orderBy((F.col("in_train") * F.col("in_test")).desc(), "run")
+    prefix = common.withColumn("place", F.row_number().over(order)).where(F.col("place") / F.col("size") >= least)
+    side = lambda n, x: prefix.where(F.col("side") == n).select("run", F.col("key").alias(x), F.col("size").alias(f"size_{x}"), F.col("place").alias(f"place_{x}"))
+    most = F.least("place_a", "place_b")
+    return (
+        side(0, "a").join(side(1, "b"), "run")
+        .where(most / (F.col("size_a") + F.col("size_b") - most) >= least)
         .select("a", "b")
         .distinct()
     )
-    left = train.select(F.col("key").alias("a"), F.col("words").alias("words_a"), F.col("chunks").alias("chunks_a"))
-    right = test.select(F.col("key").alias("b"), F.col("words").alias("words_b"), F.col("chunks").alias("chunks_b"))
-    shared = F.aggregate(F.array_intersect("chunks_a", "chunks_b"), F.lit(0), lambda s, c: s + _length(c))
-    return (
-        near.join(left, "a")
-        .join(right, "b")
-        .where(F.least("words_a", "words_b") >= least * F.greatest("words_a", "words_b"))
-        .select("a", "b", (shared / F.greatest("words_a", "words_b")).alias("overlap"))
-        .where(F.col("overlap") >= least)
-    )
 
 
-def _length(digest: str | Column) -> Column:
-    return (F.col(digest) if isinstance(digest, str) else digest).bitwiseAND(F.lit(255)).cast("int")
+def _overlap() -> Column:
+    """Lengths of the shared chunks over those of all different chunks of the record that has more."""
+    total = lambda chunks: F.aggregate(chunks, F.lit(0), lambda s, c: s + _length(c))
+    return total(F.array_intersect("chunks_a", "chunks_b")) / F.greatest(total(F.col("chunks_a")), total(F.col("chunks_b")))
+
+
+def _length(digest: Column) -> Column:
+    return digest.bitwiseAND(F.lit(255)).cast("int")
 
 
 def pairs(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -158,15 +154,17 @@ def pairs(train: DataFrame, test: DataFrame) -> DataFrame:
     """
     use_checkpoints(train.sparkSession)
     a, b = records(train).checkpoint(), records(test).checkpoint()
-    one = lambda df: df.where(F.size("runs") > 0).groupBy(F.col("body").alias("key")).agg(*[F.first(c).alias(c) for c in ("words", "runs", "chunks")])
+    one = lambda df: df.where(F.size("runs") > 0).groupBy(F.col("body").alias("key")).agg(*[F.first(c).alias(c) for c in ("runs", "chunks")])
     left, right = one(a), one(b)
-    near = overlaps(left, right)
+    side = lambda df, x: df.select(F.col("key").alias(x), F.col("runs").alias(f"runs_{x}"), F.col("chunks").alias(f"chunks_{x}"))
     common = F.size(F.array_intersect("runs_a", "runs_b"))
     close = (
-        near.join(left.select(F.col("key").alias("a"), F.col("runs").alias("runs_a")), "a")
-        .join(right.select(F.col("key").alias("b"), F.col("runs").alias("runs_b")), "b")
-        .select("a", "b", "overlap", (common / (F.size("runs_a") + F.size("runs_b") - common)).alias("similarity"))
+        candidates(left, right)
+        .join(side(left, "a"), "a")
+        .join(side(right, "b"), "b")
+        .withColumn("similarity", common / (F.size("runs_a") + F.size("runs_b") - common))
         .where(F.col("similarity") >= LEAST_SIMILARITY)
+        .select("a", "b", _overlap().alias("overlap"), "similarity")
     )
     return (
         close.join(a.select(F.col("body").alias("a"), F.col("page_id").alias("train_page"), F.col("url").alias("train_url")), "a")

@@ -114,6 +114,23 @@ def test_overlap_against_all_pairs(spark):
     assert got == want and want
 
 
+def test_overlap_of_repeated_texts(spark):
+    w, x = words(21, 60), words(22, 240)
+    evenly = [v if i % 12 else "other" for i, v in enumerate(x)]
+    train = [record(1, [" ".join(w * 12)]), record(2, [" ".join(x)])]
+    test = [record(11, [" ".join(w * 12)]), record(12, [" ".join(w)]), record(13, [" ".join(evenly)])]
+    a, b = spark.createDataFrame(train, RECORD), spark.createDataFrame(test, RECORD)
+    got = {(r.train_page, r.test_page): r.overlap for r in p2_overlap.pairs(a, b).collect()}
+
+    def close(s, t):
+        s, t = ({*zip(v, v[1:], v[2:])} for v in (s, t))
+        return len(s & t) >= 0.6 * len(s | t)
+
+    assert close(w * 12, w) and close(x, evenly) and not close(w, x)
+    assert set(got) == {(1, 11), (1, 12), (2, 13)}
+    assert got[1, 11] == 1.0 and got[1, 12] > 0.5
+
+
 def test_chunks_follow_the_content():
     h = shingles.word_hashes(words(5, 400))
     whole, cut = set(p2_overlap.chunks_of(h).tolist()), set(p2_overlap.chunks_of(h[37:]).tolist())
