@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,20 +19,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.partitions import spread
-from ..operators.sampling import smallest_hashes
+from ..sources.tables import use_checkpoints
 
-#: Texts that the model is fitted on (those with the smallest hashes of doc_id), and their longest length.
-SAMPLE, SAMPLE_CHARS = 6000, 20_000
+#: Words whose counts a Python worker sums up before it hands them on.
+MEMORY = 200_000
 #: Function words: the words that stand in most texts; the first COMMON of them may recur freely.
 FUNCTION_WORDS, COMMON = 300, 80
 #: A content word that comes again within so many tokens is a class of its own: prose seldom does that.
 NEAR = 12
 #: Tokens of a stretch; quantiles of the stretches of prose between which perplexity is normal.
 STRETCH, LOWEST, HIGHEST = 20, 0.0005, 0.995
+#: Perplexities are counted in steps of one bit over STEPS, so that their quantiles need no sorting of all texts.
+STEPS = 1000
 #: A page is flagged if more than half of its words stand outside prose. Up to SURE, sentences must be few as well
 #: (under half of the words), and from DOUBT on it is flagged too if there are next to none (under a fifth).
 HALF, SURE, DOUBT = 0.5, 0.75, 0.4
-#: A sample text is taken for prose if so many of its words stand in sentences of five words or more.
+#: A text is taken for prose if so many of its words stand in sentences of five words or more.
 PROSE_SHARE = 0.6
 #: Weights of the trigram, bigram, unigram and uniform parts.
 WEIGHTS = (0.6, 0.3, 0.09, 0.01)
@@ -137,9 +139,13 @@ class ProseModel:
 
     def costs(self, x: np.ndarray) -> np.ndarray:
         """Bits of every token after the two that mark the beginning."""
-        a, b, c = x[:-2], x[1:-1], x[2:]
+        return self.costs_of((x[:-2] * self.size + x[1:-1]) * self.size + x[2:])
+
+    def costs_of(self, keys: np.ndarray) -> np.ndarray:
+        """Bits of the last class of every trigram."""
         n = self.size
-        p = WEIGHTS[0] * _find(*self.tri, (a * n + b) * n + c) + WEIGHTS[1] * _find(*self.bi, b * n + c)
+        c = keys % n
+        p = WEIGHTS[0] * _find(*self.tri, keys) + WEIGHTS[1] * _find(*self.bi, keys % (n * n))
         return -np.log2(p + WEIGHTS[2] * self.one[c] + WEIGHTS[3] / n)
 
     def judge(self, text: str) -> tuple[float, float, bool]:
@@ -189,54 +195,143 @@ def class_sequence(tokens: list[str], words: dict[str, int], size: int) -> np.nd
     return np.array(out, np.int64)
 
 
-def _train(words: dict[str, int], size: int, sequences: list[np.ndarray]) -> ProseModel:
-    """Counts of class trigrams of all sequences, as probabilities."""
-    a = np.concatenate([s[:-2] for s in sequences])
-    b = np.concatenate([s[1:-1] for s in sequences])
-    c = np.concatenate([s[2:] for s in sequences])
+def _train(words: dict[str, int], size: int, keys: np.ndarray, counts: np.ndarray) -> ProseModel:
+    """Counts of class trigrams, as probabilities."""
+    keys, counts = keys[counts > 0], counts[counts > 0]
+
+    def conditional(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pasts, at = np.unique(keys // size, return_inverse=True)
+        return keys, counts / np.bincount(at, counts, len(pasts))[at]
+
+    ones = np.bincount(keys % size, counts, size)
+    one = (ones + 0.5) / (ones.sum() + 0.5 * size)
+    return ProseModel(words, size, conditional(keys, counts), conditional(*_sums(keys % (size * size), counts)), one)
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values in order, with the sum of their counts."""
+    found, at = np.unique(values, return_inverse=True)
+    return found, np.bincount(at, counts, len(found)).astype(np.int64)
+
+
+def _steps(bits: np.ndarray) -> np.ndarray:
+    return np.floor(bits * STEPS).astype(np.int64)
+
+
+def _quantile(steps: np.ndarray, counts: np.ndarray, part: float) -> int:
+    """The least step up to which `part` of all lie."""
+    return int(steps[np.searchsorted(np.cumsum(counts), part * counts.sum())])
+
+
+def _fit(words: dict[str, int], size: int, keys: np.ndarray, counts: np.ndarray, tally: Callable, rounds: int) -> ProseModel:
+    """The model of all prose texts, of which each is a sequence of places in `keys`, the class trigrams in order.
+
+    `tally(f)` gives the different values of `f(sequence)`, in order, with their counts over all texts.
+    """
+    def kept(x: np.ndarray, costs: np.ndarray, limit: int) -> bool:
+        return bool(_steps(costs[x].mean()) <= limit)
+
+    costs, limit = np.zeros(len(keys)), 0
+    for _ in range(rounds):
+        costs = _train(words, size, keys, counts).costs_of(keys)
+        limit = _quantile(*tally(lambda x: _steps(costs[x].mean(keepdims=True))), 0.95)
+        places, n = tally(lambda x: x if kept(x, costs, limit) else x[:0])
+        counts = np.zeros(len(keys), np.int64)
+        counts[places] = n
+    model = _train(words, size, keys, counts)
+    last = model.costs_of(keys)
+    steps, n = tally(lambda x: _steps(stretch_means(last[x])) if kept(x, costs, limit) else x[:0])
+    model.low, model.high = _quantile(steps, n, LOWEST) / STEPS, (_quantile(steps, n, HIGHEST) + 1) / STEPS
+    return model
+
+
+def _vocabulary(tokens: list[str]) -> set[str]:
+    return {x.lower() for x in tokens if x[0].isalpha() and "://" not in x}
+
+
+def _is_prose(tokens: list[str]) -> bool:
+    """Whether most words stand in sentences, without bare addresses."""
+    return bool(tokens) and prose_share(tokens) >= PROSE_SHARE and not any("://" in x and x[0] == "h" for x in tokens)
 
-    def conditional(history: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, n = np.unique(history * size + c, return_counts=True)
-        pasts, m = np.unique(history, return_counts=True)
-        return keys, n / m[np.searchsorted(pasts, keys // size)]
 
-    one = (np.bincount(c, minlength=size) + 0.5) / (len(c) + 0.5 * size)
-    return ProseModel(words, size, conditional(a * size + b), conditional(b), one)
+def _trigrams(x: np.ndarray, size: int) -> np.ndarray:
+    return (x[:-2] * size + x[1:-1]) * size + x[2:]
+
+
+def _size(words: dict[str, int]) -> int:
+    return len(words) + len(CLASSES) + 1
 
 
 def fit(texts: list[str], rounds: int = 3) -> ProseModel | None:
-    """The prose model of a sample; None if it holds no prose.
+    """The prose model of some texts; None if they hold no prose.
 
     Texts with most words in sentences and without bare addresses are taken for
     prose; after each round the twentieth with the highest perplexity, stuffed
     sentences among them, is set aside.
     """
     tokens = [tokens_of(t) for t in texts]
-    counts = Counter(w for t in tokens for w in {x.lower() for x in t if x[0].isalpha() and "://" not in x})
-    words = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:FUNCTION_WORDS])}
-    size = len(words) + len(CLASSES) + 1
-    prose = [
-        class_sequence(t, words, size) for t in tokens if t and prose_share(t) >= PROSE_SHARE and not any("://" in x and x[0] == "h" for x in t)
-    ]
+    known = Counter(w for t in tokens for w in _vocabulary(t))
+    words = {w: i for i, (w, _) in enumerate(sorted(known.items(), key=lambda x: (-x[1], x[0]))[:FUNCTION_WORDS])}
+    size = _size(words)
+    prose = [_trigrams(class_sequence(t, words, size), size) for t in tokens if _is_prose(t)]
     if not prose:
         return None
-    kept = prose
-    for _ in range(rounds):
-        model = _train(words, size, kept)
-        means = np.array([model.costs(x).mean() for x in prose])
-        limit = np.quantile(means, 0.95)
-        kept = [x for x, m in zip(prose, means) if m <= limit]
-    model = _train(words, size, kept)
-    stretches = np.concatenate([stretch_means(model.costs(x)) for x in kept])
-    model.low, model.high = float(np.quantile(stretches, LOWEST)), float(np.quantile(stretches, HIGHEST))
-    return model
+    keys, counts = np.unique(np.concatenate(prose), return_counts=True)
+    places = [np.searchsorted(keys, x) for x in prose]
+    return _fit(words, size, keys, counts, lambda f: np.unique(np.concatenate([f(x) for x in places]), return_counts=True), rounds)
+
+
+def _tally(rows: DataFrame, kind: type, f: Callable) -> tuple[np.ndarray, np.ndarray]:
+    """Values of `f` over all sequences of `rows`, with their counts; summed a batch, then over all, and only then collected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [f(np.frombuffer(x, kind).astype(np.int64)) for x in batch.column("x").to_pylist()]
+            values, n = np.unique(np.concatenate(got), return_counts=True) if got else (np.empty(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), pa.array(n, pa.int64())], names=["value", "n"])
+
+    done = rows.mapInArrow(run, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n")).toArrow()
+    values, n = (done[c].to_numpy() for c in ("value", "n"))
+    order = np.argsort(values)
+    return values[order], n[order]
 
 
-def fit_prose_model(documents: DataFrame, sample: int = SAMPLE) -> ProseModel | None:
-    """Fit on at most `sample` texts of at most SAMPLE_CHARS; only these reach the driver."""
-    texts = documents.where((F.length(F.trim("text")) > 0) & (F.length("text") <= SAMPLE_CHARS)).select("doc_id", "text")
-    rows = smallest_hashes(texts, "doc_id", sample).select("text").collect()
-    return fit([r.text for r in rows])
+def fit_prose_model(documents: DataFrame, rounds: int = 3) -> ProseModel | None:
+    """The model that `fit` gives for all texts, whole; only function words and counts of trigrams and of steps reach the driver."""
+    use_checkpoints(documents.sparkSession)
+    texts = spread(documents.select("text").where(F.length(F.trim("text")) > 0))
+
+    def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: Counter = Counter()
+        for batch in batches:
+            for t in batch.column("text").to_pylist():
+                known.update(_vocabulary(tokens_of(t)))
+                if len(known) >= MEMORY:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(known), pa.string()), pa.array(list(known.values()), pa.int64())], names=["word", "n"])
+                    known.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(known), pa.string()), pa.array(list(known.values()), pa.int64())], names=["word", "n"])
+
+    top = texts.mapInArrow(vocabulary, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    words = {r.word: i for i, r in enumerate(top.orderBy(F.desc("n"), "word").limit(FUNCTION_WORDS).collect())}
+    size = _size(words)
+
+    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prose = [class_sequence(t, words, size) for t in map(tokens_of, batch.column("text").to_pylist()) if _is_prose(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int16).tobytes() for x in prose], pa.binary())], names=["x"])
+
+    prose = texts.mapInArrow(sequences, "x binary").checkpoint()
+    keys, counts = _tally(prose, np.int16, lambda x: _trigrams(x, size))
+    if not len(keys):
+        return None
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [np.searchsorted(keys, _trigrams(np.frombuffer(x, np.int16).astype(np.int64), size)) for x in batch.column("x").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int32).tobytes() for x in got], pa.binary())], names=["x"])
+
+    rows = prose.mapInArrow(places, "x binary").checkpoint()
+    return _fit(words, size, keys, counts, lambda f: _tally(rows, np.int32, f), rounds)
 
 
 def scores(documents: DataFrame, model: ProseModel | None = None) -> DataFrame:

@@ -274,6 +274,16 @@ def test_spam_table(spark, prose_model):
     assert p10_spam.scores(few).where(F.col("odd_share") > 0).count() == 0  # no prose, no model
 
 
+def test_spam_model_is_of_all_texts(spark):
+    texts = [prose(i, 2) for i in range(6300)] + [prose(9000 + i, 120) for i in range(2)] + [None, "", "x y"]
+    assert len(texts[6300]) > 20_000
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(7)
+    got, want = p10_spam.fit_prose_model(df), p10_spam.fit([t for t in texts if t])
+    assert got.words == want.words and (got.low, got.high) == (want.low, want.high)
+    assert all((x == y).all() for x, y in zip((*got.tri, *got.bi, got.one), (*want.tri, *want.bi, want.one)))
+    assert p10_spam.fit_prose_model(df.where("length(text) > 20000")) is not None
+
+
 def test_spam_of_the_small_tables(spark):
     docs = read_table(spark, SMALL, "documents")
     got = p10_spam.found(docs).count()
