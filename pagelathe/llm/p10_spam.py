@@ -32,7 +32,8 @@ STRETCH, LOWEST, HIGHEST = 20, 0.0005, 0.995
 #: Perplexities are counted in steps of one bit over STEPS, so that their quantiles need no sorting of all texts.
 STEPS = 1000
 #: A page is flagged if more than half of its words stand outside prose. Up to SURE, sentences must be few as well
-#: (under half of the words), and from DOUBT on it is flagged too if there are next to none (under a fifth).
+#: (under half of the words, addresses included), and from DOUBT on it is flagged too if there are next to none (under a
+#: fifth).
 HALF, SURE, DOUBT = 0.5, 0.75, 0.4
 #: A text is taken for prose if so many of its words stand in sentences of five words or more.
 PROSE_SHARE = 0.6
@@ -90,10 +91,12 @@ def tokens_of(text: str) -> list[str]:
 
 
 def prose_share(tokens: list[str]) -> float:
-    """Part of the words that stand in sentences of at least five words."""
+    """Part of the words that stand in sentences of at least five words; an address is a word, but none of a sentence."""
     total = good = here = 0
     for t in tokens:
-        if t[0].isalnum() and not t.startswith("http"):
+        if t.startswith("http"):
+            total += 1
+        elif t[0].isalnum():
             here += 1
         elif t in ".!?。…":
             total += here
@@ -354,5 +357,8 @@ def scores(documents: DataFrame, model: ProseModel | None = None) -> DataFrame:
 
 
 def found(documents: DataFrame, model: ProseModel | None = None) -> DataFrame:
-    """(doc_id) of every document most of whose words stand outside prose; each once."""
+    """(doc_id) of every document most of whose words stand outside prose; each once.
+
+    Between DOUBT and SURE the part of words in sentences decides as well.
+    """
     return scores(documents, model).where("flagged").select("doc_id").distinct()

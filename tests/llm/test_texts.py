@@ -259,6 +259,13 @@ def test_prose_is_not(prose_model):
         assert not prose_model.judge(text)[2]
 
 
+def test_sentences_do_not_hide_a_list_of_links(prose_model):
+    texts = [prose(3, 2) + "\n".join(f"http://x{i}.y/z?id={i}" for i in range(k)) for k in range(20, 260)]
+    got = [(prose_model.judge(t)[1], prose_model.judge(t)[2]) for t in texts]
+    unsure = [flagged for share, flagged in got if 0.55 < share <= 0.75]
+    assert unsure and all(unsure)
+
+
 def test_misread_text_is_read_again():
     assert p10_spam.tokens_of("semblé Ã©tÃ©")[:2] == ["semblé", "été"]
     assert p10_spam.tokens_of("ÑÃÐ°Ð´ ãÃ¯")[:2] == ["сад", "は"]  # with bytes that were lost
