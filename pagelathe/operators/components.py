@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import use_checkpoints
+from .skew import spread_join
+
+#: Tasks that the edges of one node are dealt out over.
+PARTS = 4
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -14,7 +18,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Large-star and small-star steps alternate until no edge changes: the number
     of rounds grows with the logarithm of the number of nodes, and the number
     of edges never grows. Each round ends in a checkpoint, so lineage stays
-    short and a lost executor costs one round. Null ends and self-loops are
+    short and a lost executor costs one round. The edges of a hub, which every
+    round leaves, are dealt out over several tasks. Null ends and self-loops are
     ignored, except that a self-loop makes its node known. Raises RuntimeError
     if `most_rounds` rounds do not suffice.
     """
@@ -27,12 +32,12 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # Large star: every larger neighbour is tied to the smallest node around.
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = spread_join(both.where("b > a"), least, ["a"], ["b"], parts=PARTS).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # Small star: a node's smaller neighbours are tied to the smallest of them.
         down = large.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            down.join(low, "a")
+            spread_join(down, low, ["a"], ["b"], parts=PARTS)
             .select(F.explode(F.array(F.struct(F.col("a"), F.col("m")), F.struct(F.col("b").alias("a"), F.col("m")))).alias("e"))
             .select(F.col("e.a").alias("a"), F.col("e.m").alias("b"))
             .where("a <> b")

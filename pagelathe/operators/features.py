@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.ranges import overlaps
+from .skew import spread_join
 
 IN_LABELS = ("header", "nav", "main", "article", "footer", "aside", "form")
 
@@ -189,18 +190,19 @@ def corpus_idf(lines: DataFrame) -> DataFrame:
 def line_frequency(lines: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     """(page_id, line_num, line_frequency): share of the pages of `fit_on` (by default of `lines`) that hold the very text.
 
-    Empty texts have 0.
+    Texts are compared by a 64-bit hash, and a text on every page is dealt out
+    over several tasks. Empty texts have 0.
     """
     known = fit_on if fit_on is not None else lines
+    hashed = lambda rows: rows.select("page_id", *(["line_num"] if rows is lines else []), F.xxhash64(F.trim("text")).alias("key"), (F.trim("text") != "").alias("said"))
     pages = known.select("page_id").distinct().count()
-    counts = (
-        known.select("page_id", F.trim("text").alias("key")).where("key <> ''").distinct().groupBy("key").agg(F.count("*").alias("n"))
-    )
-    return (
-        lines.select("page_id", "line_num", F.trim("text").alias("key"))
-        .join(counts, "key", "left")
-        .select("page_id", "line_num", (F.coalesce("n", F.lit(0)) / F.lit(float(max(pages, 1)))).alias("line_frequency"))
-    )
+    once = hashed(known).where("said").select("page_id", "key").distinct()
+    counts = once.groupBy("key").agg(F.count("*").alias("n"))
+    # Where the lines are their own fit, most texts stand on one page; only the others are looked up.
+    least, alone = (1, 0) if fit_on is not None else (2, 1)
+    found = spread_join(hashed(lines), counts.where(F.col("n") >= least), ["key"], ["page_id", "line_num"], "left")
+    n = F.when(F.col("said"), F.coalesce("n", F.lit(alone))).otherwise(0)
+    return found.select("page_id", "line_num", (n / F.lit(float(max(pages, 1)))).alias("line_frequency"))
 
 
 # ---------------------------------------------------------------- whole table

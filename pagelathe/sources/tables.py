@@ -15,13 +15,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Make sure that checkpoint() has a folder.
+    """Make sure that checkpoint() has a folder: the shared one that spark.checkpoint.dir names.
 
-    The cluster names a shared one in spark.checkpoint.dir; only where that is
-    unset, as in tests, a local one is made.
+    Where it is unset, a local folder is made if the session runs on this
+    machine alone, as in tests; on a cluster a RuntimeError says what to set.
     """
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), f"checkpoints-{uuid.uuid4().hex}"))
+    if not shared:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = os.path.join(tempfile.gettempdir(), f"checkpoints-{uuid.uuid4().hex}")
+    context.setCheckpointDir(shared)
