@@ -51,10 +51,9 @@ def _names(node: Node, mark: str) -> tuple[str, ...]:
 
 
 @lru_cache(10_000)
-def _form(kind: str, size: int, name: str) -> tuple[str, str, str]:
-    """Tokens for the kind, size and element of a line itself, of the one before and of the one behind."""
-    form = f"{kind}{size} {name}"
-    return "f:" + form, "b:" + form, "n:" + form
+def _form(kind: str, size: int, name: str) -> str:
+    """Token for the kind, size and element of a line."""
+    return f"f:{kind}{size} {name}"
 
 
 _COMMON = frozenset("id class role href src".split())
@@ -82,7 +81,8 @@ def lines_of(items: list[tuple]) -> list[tuple]:
     """(line number, item, words, tags) of every line of text of a walked page.
 
     Tags name the element and what it stands in, its kind and size, its place
-    against the title, the words of the heading above, and its neighbours.
+    against the title, and the words of the heading above. The neighbours are
+    left to the scan for regions.
     """
     lines, number = [], 1
     for item in items:
@@ -96,15 +96,13 @@ def lines_of(items: list[tuple]) -> list[tuple]:
     out, heading, titles, n = [], (), 0, len(lines)
     for i, (number, item, (words, _, kind, ends)) in enumerate(lines):
         mark, node = item[3], item[4]
-        form = forms[i][0]
+        form = forms[i]
         head = mark[:1] == "#"
         tags = [
             form,
             "t:" + node.name,
             "p:" + node.parent.name,
             f"k:{mark}{kind}" if head else "k:" + form[2:4],
-            forms[i - 1][1] if i else "b:",
-            forms[i + 1][2] if i + 1 < n else "n:",
             _TENTHS[10 * i // n],
         ]
         if node.attrs:

@@ -9,19 +9,18 @@ no prose, and a page most of whose words stand in such stretches is flagged.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.partitions import spread
 from ..sources.tables import use_checkpoints
 
-#: Words whose counts a Python worker sums up before it hands them on.
+#: Words whose kinds a Python worker remembers, and different words that it counts before it hands the counts on.
 MEMORY = 200_000
 #: Function words: the words that stand in most texts; the first COMMON of them may recur freely.
 FUNCTION_WORDS, COMMON = 300, 80
@@ -90,22 +89,129 @@ def tokens_of(text: str) -> list[str]:
     return out
 
 
-def prose_share(tokens: list[str]) -> float:
-    """Part of the words that stand in sentences of at least five words; an address is a word, but none of a sentence."""
-    total = good = here = 0
-    for t in tokens:
+# What a token is apart from the function words: one byte with its class in the lower bits, whether it begins with a
+# letter or digit, and whether it is a content word (or unspaced run) that came before within NEAR tokens.
+CLASS_BITS, ALNUM, AGAIN = 63, 64, 128
+_ADDRESS, _WORD_IN_SENTENCE, _STOP, _BREAK, _HTTP, _REPEATABLE = 1, 2, 4, 8, 16, 32
+
+
+class _Kinds(dict):
+    """Number of every token met; by number its byte, its hash (0 if it is no word) and its part in sentences."""
+
+    def __init__(self):
+        super().__init__()
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.bytes, self.hashes, self.parts = bytearray(), [], bytearray()
+
+    def __missing__(self, t: str) -> int:
+        c, part, hashed, code = t[0], 0, 0, 0
+        if c.isalpha():
+            low = t.lower()
+            hashed = xxhash.xxh32_intdigest(low.encode("utf-8", "surrogatepass")) or 1
+            if c >= "぀":
+                code, part = CLASSES["unspaced"], _REPEATABLE
+            else:
+                code = CLASSES["URL" if "://" in t else "UP" if len(t) > 1 and t.isupper() else "Cap" if c.isupper() else "low"]
+                part = _REPEATABLE if len(low) > 3 and not low.startswith("http") else 0
+        elif c.isdigit():
+            code = CLASSES["NUM"]
+        elif c == "\n":
+            code = CLASSES["NL"]
+        elif t.startswith("]("):
+            code = CLASSES["LINK"]
+        else:
+            code = CLASSES.get(c, CLASSES["other"])
         if t.startswith("http"):
-            total += 1
-        elif t[0].isalnum():
-            here += 1
+            part |= _ADDRESS | (_HTTP if "://" in t else 0)
+        elif c.isalnum():
+            part |= _WORD_IN_SENTENCE
         elif t in ".!?。…":
-            total += here
-            good += here if here >= 5 else 0
-            here = 0
-        elif t[0] == "\n":
-            total += here
-            here = 0
-    return good / max(total + here, 1)
+            part |= _STOP
+        elif c == "\n":
+            part |= _BREAK
+        elif "://" in t and c == "h":
+            part |= _HTTP
+        self[t] = number = len(self)
+        self.bytes.append(code | (ALNUM if c.isalnum() else 0))
+        self.hashes.append(hashed)
+        self.parts.append(part)
+        return number
+
+
+_kinds = _Kinds()
+
+
+@dataclass
+class Tokens:
+    """The tokens of some texts, one text after the other: a byte and a hash each, and what the texts' sentences say."""
+
+    sizes: np.ndarray
+    bytes: np.ndarray
+    hashes: np.ndarray
+    in_sentences: np.ndarray  # by text: the part of its words that stand in sentences of at least five words
+    prose: np.ndarray  # by text: most words stand in sentences, and it has no bare address
+
+
+def read_texts(texts: list[str | None]) -> Tokens:
+    """Tokens of texts, each read once; null texts have none.
+
+    In sentences, an address is a word, but none of a sentence; a line break
+    ends what is no sentence.
+    """
+    split = [tokens_of(t) if t else [] for t in texts]
+    if len(_kinds) > MEMORY:
+        _kinds.clear()
+    numbers = np.array([n for tokens in split for n in map(_kinds.__getitem__, tokens)], np.int64)
+    sizes = np.array([len(t) for t in split], np.int64)
+    codes = np.frombuffer(_kinds.bytes, np.uint8)[numbers] if len(numbers) else np.zeros(0, np.uint8)
+    hashes = np.array(_kinds.hashes, np.uint32)[numbers] if len(numbers) else np.zeros(0, np.uint32)
+    parts = np.frombuffer(bytes(_kinds.parts), np.uint8)[numbers] if len(numbers) else np.zeros(0, np.uint8)
+    codes = codes | np.where(_recent(hashes, sizes) & (parts & _REPEATABLE > 0), np.uint8(AGAIN), np.uint8(0))
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    total = np.bincount(text, parts & (_WORD_IN_SENTENCE | _ADDRESS) > 0, len(sizes))
+    # A stretch of words ends at a stop, a line break or the end of its text; stops alone make it a sentence.
+    ends = parts & (_STOP | _BREAK) > 0
+    stretch = np.cumsum(ends) - ends + text
+    words = np.bincount(stretch, parts & _WORD_IN_SENTENCE > 0) if len(stretch) else np.zeros(0)
+    stops = (parts & _STOP) > 0
+    here = words[stretch[stops]]
+    good = np.bincount(text[stops], np.where(here >= 5, here, 0), len(sizes))
+    share = good / np.maximum(total, 1)
+    bare = np.bincount(text, parts & _HTTP > 0, len(sizes)) > 0
+    return Tokens(sizes, codes, hashes, share, (sizes > 0) & (share >= PROSE_SHARE) & ~bare)
+
+
+def _recent(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether a word stands among the NEAR tokens before it in its text."""
+    out = np.zeros(len(hashes), bool)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    for d in range(1, min(NEAR, len(hashes) - 1) + 1):
+        out[d:] |= (hashes[d:] == hashes[:-d]) & (text[d:] == text[:-d])
+    return out & (hashes > 0)
+
+
+def prose_share(text: str) -> float:
+    """Part of the words that stand in sentences of at least five words."""
+    return float(read_texts([text]).in_sentences[0])
+
+
+def class_sequence(codes: np.ndarray, hashes: np.ndarray, words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Numbers of function words and word classes of tokens; `words` are the function words' hashes in order, `places` their numbers."""
+    first = len(words)
+    kind = (codes & CLASS_BITS).astype(np.int64)
+    out = first + kind
+    again = codes & AGAIN > 0
+    if first:
+        at = np.minimum(np.searchsorted(words, hashes), first - 1)
+        known = (words[at] == hashes) & (hashes > 0)
+        place = places[at]
+        out = np.where(known, place, out)
+        again &= ~(known & (place < COMMON))
+    unspaced = kind == CLASSES["unspaced"]
+    return np.where(again, first + np.where(unspaced, CLASSES["again-unspaced"], CLASSES["again"]), out)
 
 
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -128,21 +234,17 @@ def stretch_means(costs: np.ndarray) -> np.ndarray:
 
 @dataclass
 class ProseModel:
-    words: dict[str, int]
-    size: int
+    words: np.ndarray  # hashes of the function words, in order
+    places: np.ndarray  # their numbers, the commonest first
     tri: tuple[np.ndarray, np.ndarray]
     bi: tuple[np.ndarray, np.ndarray]
     one: np.ndarray
     low: float = 0.0
     high: float = np.inf
 
-    def classes(self, tokens: list[str]) -> np.ndarray:
-        """Numbers of function words and word classes, after two that mark the beginning."""
-        return class_sequence(tokens, self.words, self.size)
-
-    def costs(self, x: np.ndarray) -> np.ndarray:
-        """Bits of every token after the two that mark the beginning."""
-        return self.costs_of((x[:-2] * self.size + x[1:-1]) * self.size + x[2:])
+    @property
+    def size(self) -> int:
+        return _size(self.words)
 
     def costs_of(self, keys: np.ndarray) -> np.ndarray:
         """Bits of the last class of every trigram."""
@@ -151,55 +253,28 @@ class ProseModel:
         p = WEIGHTS[0] * _find(*self.tri, keys) + WEIGHTS[1] * _find(*self.bi, keys % (n * n))
         return -np.log2(p + WEIGHTS[2] * self.one[c] + WEIGHTS[3] / n)
 
-    def judge(self, text: str) -> tuple[float, float, bool]:
+    def judge_tokens(self, codes: np.ndarray, hashes: np.ndarray, in_sentences: float) -> tuple[float, float, bool]:
         """(bits per token, part of the words in stretches that are no prose, flagged); (0, 0, False) without words."""
-        tokens = tokens_of(text)
-        is_word = np.array([t[0].isalnum() for t in tokens], bool)
+        is_word = codes & ALNUM > 0
         if not is_word.any():
             return 0.0, 0.0, False
-        costs = self.costs(self.classes(tokens))
+        costs = self.costs_of(_trigrams(class_sequence(codes, hashes, self.words, self.places), self.size))
         means = stretch_means(costs)
         odd = (means > self.high) | (means < self.low)
         share = float((odd & is_word).sum() / is_word.sum())
         flagged = share > SURE
         if DOUBT < share <= SURE:
-            flagged = prose_share(tokens) < (0.5 if share > HALF else 0.2)
+            flagged = bool(in_sentences < (0.5 if share > HALF else 0.2))
         return float(costs.mean()), share, flagged
 
-
-def class_sequence(tokens: list[str], words: dict[str, int], size: int) -> np.ndarray:
-    first = len(words)
-    out = [size - 1, size - 1]
-    last: dict[str, int] = {}
-    for i, t in enumerate(tokens):
-        c = t[0]
-        if c.isalpha():
-            low = t.lower()
-            k = words.get(low)
-            near = i - last.get(low, -NEAR - 1) <= NEAR
-            last[low] = i
-            if k is None or k >= COMMON:
-                if c >= "぀":
-                    k = first + CLASSES["again-unspaced"] if near else k if k is not None else first + CLASSES["unspaced"]
-                elif near and len(low) > 3 and not low.startswith("http"):
-                    k = first + CLASSES["again"]
-                elif k is None:
-                    kind = "URL" if "://" in t else "UP" if len(t) > 1 and t.isupper() else "Cap" if c.isupper() else "low"
-                    k = first + CLASSES[kind]
-        elif c.isdigit():
-            k = first + CLASSES["NUM"]
-        elif c == "\n":
-            k = first + CLASSES["NL"]
-        elif t.startswith("]("):
-            k = first + CLASSES["LINK"]
-        else:
-            k = first + CLASSES.get(c, CLASSES["other"])
-        out.append(k)
-    return np.array(out, np.int64)
+    def judge(self, text: str) -> tuple[float, float, bool]:
+        t = read_texts([text])
+        return self.judge_tokens(t.bytes, t.hashes, float(t.in_sentences[0]))
 
 
-def _train(words: dict[str, int], size: int, keys: np.ndarray, counts: np.ndarray) -> ProseModel:
+def _train(words: np.ndarray, places: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> ProseModel:
     """Counts of class trigrams, as probabilities."""
+    size = _size(words)
     keys, counts = keys[counts > 0], counts[counts > 0]
 
     def conditional(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +283,7 @@ def _train(words: dict[str, int], size: int, keys: np.ndarray, counts: np.ndarra
 
     ones = np.bincount(keys % size, counts, size)
     one = (ones + 0.5) / (ones.sum() + 0.5 * size)
-    return ProseModel(words, size, conditional(keys, counts), conditional(*_sums(keys % (size * size), counts)), one)
+    return ProseModel(words, places, conditional(keys, counts), conditional(*_sums(keys % (size * size), counts)), one)
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,7 +301,7 @@ def _quantile(steps: np.ndarray, counts: np.ndarray, part: float) -> int:
     return int(steps[np.searchsorted(np.cumsum(counts), part * counts.sum())])
 
 
-def _fit(words: dict[str, int], size: int, keys: np.ndarray, counts: np.ndarray, tally: Callable, rounds: int) -> ProseModel:
+def _fit(words: np.ndarray, places: np.ndarray, keys: np.ndarray, counts: np.ndarray, tally: Callable, rounds: int) -> ProseModel:
     """The model of all prose texts, of which each is a sequence of places in `keys`, the class trigrams in order.
 
     `tally(f)` gives the different values of `f(sequence)`, in order, with their counts over all texts.
@@ -236,33 +311,41 @@ def _fit(words: dict[str, int], size: int, keys: np.ndarray, counts: np.ndarray,
 
     costs, limit = np.zeros(len(keys)), 0
     for _ in range(rounds):
-        costs = _train(words, size, keys, counts).costs_of(keys)
+        costs = _train(words, places, keys, counts).costs_of(keys)
         limit = _quantile(*tally(lambda x: _steps(costs[x].mean(keepdims=True))), 0.95)
-        places, n = tally(lambda x: x if kept(x, costs, limit) else x[:0])
+        at, n = tally(lambda x: x if kept(x, costs, limit) else x[:0])
         counts = np.zeros(len(keys), np.int64)
-        counts[places] = n
-    model = _train(words, size, keys, counts)
+        counts[at] = n
+    model = _train(words, places, keys, counts)
     last = model.costs_of(keys)
     steps, n = tally(lambda x: _steps(stretch_means(last[x])) if kept(x, costs, limit) else x[:0])
     model.low, model.high = _quantile(steps, n, LOWEST) / STEPS, (_quantile(steps, n, HIGHEST) + 1) / STEPS
     return model
 
 
-def _vocabulary(tokens: list[str]) -> set[str]:
-    return {x.lower() for x in tokens if x[0].isalpha() and "://" not in x}
+def _trigrams(x: np.ndarray, size: int) -> np.ndarray:
+    """Class trigrams of a sequence, after two classes that mark the beginning."""
+    x = np.concatenate((np.full(2, size - 1), x))
+    return (x[:-2] * size + x[1:-1]) * size + x[2:]
 
 
-def _is_prose(tokens: list[str]) -> bool:
-    """Whether most words stand in sentences, without bare addresses."""
-    return bool(tokens) and prose_share(tokens) >= PROSE_SHARE and not any("://" in x and x[0] == "h" for x in tokens)
+def _size(words: np.ndarray) -> int:
+    return len(words) + len(CLASSES) + 1
 
 
-def _trigrams(x: np.ndarray, size: int) -> np.ndarray:
-    return (x[:-2] * size + x[1:-1]) * size + x[2:]
+def _vocabulary(sizes: np.ndarray, codes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words, addresses left out, with the number of texts that have them."""
+    kept = (hashes > 0) & (codes & CLASS_BITS != CLASSES["URL"])
+    text = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)[kept]
+    once = np.unique((text << np.uint64(32)) | hashes[kept].astype(np.uint64))
+    return np.unique((once & np.uint64(0xFFFFFFFF)).astype(np.int64), return_counts=True)
 
 
-def _size(words: dict[str, int]) -> int:
-    return len(words) + len(CLASSES) + 1
+def _function_words(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, places) of the FUNCTION_WORDS words of most texts; of equally common ones the smallest hashes."""
+    best = np.lexsort((hashes, -counts))[:FUNCTION_WORDS]
+    order = np.argsort(hashes[best])
+    return hashes[best][order].astype(np.uint32), order
 
 
 def fit(texts: list[str], rounds: int = 3) -> ProseModel | None:
@@ -272,69 +355,110 @@ def fit(texts: list[str], rounds: int = 3) -> ProseModel | None:
     prose; after each round the twentieth with the highest perplexity, stuffed
     sentences among them, is set aside.
     """
-    tokens = [tokens_of(t) for t in texts]
-    known = Counter(w for t in tokens for w in _vocabulary(t))
-    words = {w: i for i, (w, _) in enumerate(sorted(known.items(), key=lambda x: (-x[1], x[0]))[:FUNCTION_WORDS])}
-    size = _size(words)
-    prose = [_trigrams(class_sequence(t, words, size), size) for t in tokens if _is_prose(t)]
+    t = read_texts(texts)
+    words, places = _function_words(*_vocabulary(t.sizes, t.bytes, t.hashes))
+    size, ends = _size(words), np.cumsum(t.sizes)
+    prose = [
+        _trigrams(class_sequence(t.bytes[e - n : e], t.hashes[e - n : e], words, places), size) for e, n, good in zip(ends, t.sizes, t.prose) if good
+    ]
     if not prose:
         return None
     keys, counts = np.unique(np.concatenate(prose), return_counts=True)
-    places = [np.searchsorted(keys, x) for x in prose]
-    return _fit(words, size, keys, counts, lambda f: np.unique(np.concatenate([f(x) for x in places]), return_counts=True), rounds)
+    rows = [np.searchsorted(keys, x) for x in prose]
+    return _fit(words, places, keys, counts, lambda f: np.unique(np.concatenate([f(x) for x in rows]), return_counts=True), rounds)
+
+
+_READ = "doc_id bigint, codes binary, hashes binary, in_sentences double, prose boolean"
+
 
+def tokens_table(documents: DataFrame) -> DataFrame:
+    """(doc_id, codes, hashes, in_sentences, prose) for every row: its tokens as five bytes each, whatever the function words are.
 
-def _tally(rows: DataFrame, kind: type, f: Callable) -> tuple[np.ndarray, np.ndarray]:
-    """Values of `f` over all sequences of `rows`, with their counts; summed a batch, then over all, and only then collected."""
+    Texts are cut into tokens once; all that follows works on these numbers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [f(np.frombuffer(x, kind).astype(np.int64)) for x in batch.column("x").to_pylist()]
-            values, n = np.unique(np.concatenate(got), return_counts=True) if got else (np.empty(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), pa.array(n, pa.int64())], names=["value", "n"])
+            t = read_texts(batch.column("text").to_pylist())
+            ends = np.cumsum(t.sizes)
+            own = lambda x: pa.array([x[e - n : e].tobytes() for e, n in zip(ends, t.sizes)], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), own(t.bytes), own(t.hashes), pa.array(t.in_sentences), pa.array(t.prose)], names=["doc_id", "codes", "hashes", "in_sentences", "prose"]
+            )
+
+    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _READ)
 
-    done = rows.mapInArrow(run, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n")).toArrow()
+
+def _arrays(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for codes, hashes in zip(batch.column("codes").to_pylist(), batch.column("hashes").to_pylist()):
+        yield np.frombuffer(codes, np.uint8), np.frombuffer(hashes, np.uint32)
+
+
+def _counted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The driver's part of a count by value: rows (value, n) summed up, in the order of the values."""
+    done = rows.groupBy("value").agg(F.sum("n").alias("n")).toArrow()
     values, n = (done[c].to_numpy() for c in ("value", "n"))
     order = np.argsort(values)
     return values[order], n[order]
 
 
-def fit_prose_model(documents: DataFrame, rounds: int = 3) -> ProseModel | None:
-    """The model that `fit` gives for all texts, whole; only function words and counts of trigrams and of steps reach the driver."""
-    use_checkpoints(documents.sparkSession)
-    texts = spread(documents.select("text").where(F.length(F.trim("text")) > 0))
+def _value_batch(values: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), pa.array(n, pa.int64())], names=["value", "n"])
+
+
+def fit_tokens(read: DataFrame, rounds: int = 3) -> ProseModel | None:
+    """The model that `fit` gives for all texts of a tokens_table, which should be kept.
+
+    Only the function words and counts of trigrams and of steps reach the driver.
+    """
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Counter = Counter()
         for batch in batches:
-            for t in batch.column("text").to_pylist():
-                known.update(_vocabulary(tokens_of(t)))
-                if len(known) >= MEMORY:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(known), pa.string()), pa.array(list(known.values()), pa.int64())], names=["word", "n"])
-                    known.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(list(known), pa.string()), pa.array(list(known.values()), pa.int64())], names=["word", "n"])
-
-    top = texts.mapInArrow(vocabulary, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    words = {r.word: i for i, r in enumerate(top.orderBy(F.desc("n"), "word").limit(FUNCTION_WORDS).collect())}
+            pairs = list(_arrays(batch))
+            if pairs:
+                codes, hashes = (np.concatenate(x) for x in zip(*pairs))
+                yield _value_batch(*_vocabulary(np.array([len(c) for c, _ in pairs]), codes, hashes))
+
+    counts = read.mapInArrow(vocabulary, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "value").limit(FUNCTION_WORDS).toArrow()
+    words, places = _function_words(np.asarray(top["value"], np.int64), np.asarray(top["n"], np.int64))
     size = _size(words)
+    prose = read.where("prose").select("codes", "hashes")
 
-    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prose = [class_sequence(t, words, size) for t in map(tokens_of, batch.column("text").to_pylist()) if _is_prose(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int16).tobytes() for x in prose], pa.binary())], names=["x"])
+            got = [_trigrams(class_sequence(c, h, words, places), size) for c, h in _arrays(batch)]
+            if got:
+                yield _value_batch(*np.unique(np.concatenate(got), return_counts=True))
 
-    prose = texts.mapInArrow(sequences, "x binary").checkpoint()
-    keys, counts = _tally(prose, np.int16, lambda x: _trigrams(x, size))
+    keys, n = _counted(prose.mapInArrow(trigrams, "value bigint, n bigint"))
     if not len(keys):
         return None
+    shared = read.sparkSession.sparkContext.broadcast(keys)
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def in_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [np.searchsorted(keys, _trigrams(np.frombuffer(x, np.int16).astype(np.int64), size)) for x in batch.column("x").to_pylist()]
+            got = [np.searchsorted(shared.value, _trigrams(class_sequence(c, h, words, places), size)) for c, h in _arrays(batch)]
             yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int32).tobytes() for x in got], pa.binary())], names=["x"])
 
-    rows = prose.mapInArrow(places, "x binary").checkpoint()
-    return _fit(words, size, keys, counts, lambda f: _tally(rows, np.int32, f), rounds)
+    rows = prose.mapInArrow(in_places, "x binary").checkpoint()
+
+    def tally(f: Callable) -> tuple[np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                got = [f(np.frombuffer(x, np.int32).astype(np.int64)) for x in batch.column("x").to_pylist()]
+                if got:
+                    yield _value_batch(*np.unique(np.concatenate(got), return_counts=True))
+
+        return _counted(rows.mapInArrow(run, "value bigint, n bigint"))
+
+    return _fit(words, places, keys, n, tally, rounds)
+
+
+def fit_prose_model(documents: DataFrame, rounds: int = 3) -> ProseModel | None:
+    """The model that `fit` gives for all texts, whole."""
+    use_checkpoints(documents.sparkSession)
+    return fit_tokens(tokens_table(documents).checkpoint(), rounds)
 
 
 def scores(documents: DataFrame, model: ProseModel | None = None) -> DataFrame:
@@ -343,17 +467,24 @@ def scores(documents: DataFrame, model: ProseModel | None = None) -> DataFrame:
     Null, empty and blank texts have 0 and 0 and are not flagged; without a
     model (no prose at all) every row has. Repeated rows are scored each.
     """
-    model = model or fit_prose_model(documents)
+    read = tokens_table(documents)
+    if model is None:
+        use_checkpoints(documents.sparkSession)
+        read = read.checkpoint()
+        model = fit_tokens(read)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for batch in batches:
-            got = [model.judge(t) if t and model is not None else (0.0, 0.0, False) for t in batch.column("text").to_pylist()]
+            told = batch.column("in_sentences").to_pylist()
+            got = [known.judge_tokens(c, h, s) if known is not None else (0.0, 0.0, False) for (c, h), s in zip(_arrays(batch), told)]
             bits, share, flags = ([g[i] for g in got] for i in range(3))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(bits, pa.float64()), pa.array(share, pa.float64()), pa.array(flags, pa.bool_())], names=["doc_id", "bits", "odd_share", "flagged"]
             )
 
-    return spread(documents.select(F.col("doc_id").cast("bigint"), "text")).mapInArrow(run, "doc_id bigint, bits double, odd_share double, flagged boolean")
+    return read.mapInArrow(run, "doc_id bigint, bits double, odd_share double, flagged boolean")
 
 
 def found(documents: DataFrame, model: ProseModel | None = None) -> DataFrame:

@@ -1,40 +1,49 @@
 """Problem 1: the main body of pages without good annotations.
 
 Maximum-scoring subsequence: the words and tags of a line score with weights
-learned from labelled pages, and one linear scan finds the contiguous region
-with the largest sum; lines inside it that score below 0 themselves (dates,
-advertisements, share prompts) are left out.
+learned from labelled pages, and one linear scan finds the contiguous regions
+with the largest total. The body of a page has dates, advertisements or share
+prompts inside, so it is several regions, and a region costs something; the
+regions alone decide.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .page_model import PageModel, body_lines
-from .pages import body_result, current_results, fit_page_model, map_pages, validated_annotations
+from .pages import page_results, validated_annotations
 
 _LINES = pa.schema([pa.field("lines", pa.list_(pa.int32()))])
 _TEXT = pa.schema([pa.field("lines", pa.list_(pa.int32())), pa.field("text", pa.string())])
 
 
-def _text_result(html, items, lines, scores, residue) -> dict:
-    if residue:
-        return {"lines": None, "text": None}
-    kept = body_lines(lines, scores)
-    own = set(kept)
-    return {"lines": kept, "text": "\n".join([i[3] + i[2] for n, i, _, _ in lines if n in own])}
+def _lines(model: PageModel) -> Callable:
+    return lambda html, items, lines, scores: {"lines": body_lines(lines, scores, model.cost)}
+
+
+def _texts(model: PageModel) -> Callable:
+    def result(html, items, lines, scores) -> dict:
+        kept = body_lines(lines, scores, model.cost)
+        own = set(kept)
+        return {"lines": kept, "text": "\n".join([i[3] + i[2] for n, i, _, _ in lines if n in own])}
+
+    return result
 
 
-def main_bodies(pages: DataFrame, model: PageModel) -> DataFrame:
-    """(page_id, lines) of every page whose current row is a success with html.
+def main_bodies(pages: DataFrame, annotations: DataFrame, model: PageModel | None = None) -> DataFrame:
+    """(page_id, residue, lines) of every page whose current row is a success.
 
-    `lines` are the ascending line numbers of the main body; null for pages
-    that hold only residue, empty for pages without a scoring region (an empty
-    html among them). The html is read once and never shuffled.
+    `lines` are the ascending line numbers of the main body, whether or not the
+    page holds only residue; null without html, empty for pages without a
+    region (an empty html among them). The html is read once, beside the
+    labelled sample, and never shuffled.
     """
-    done = current_results(map_pages(pages, model, _LINES, body_result))
+    done = page_results(pages, annotations, model, _LINES, _lines)
     return done.where("status = 'success'").select("page_id", "residue", "lines")
 
 
@@ -44,10 +53,9 @@ def found(pages: DataFrame, annotations: DataFrame, model: PageModel | None = No
     Repeated rows count once; pages with null html, of another status, or with
     residue in place of content give no rows. An empty pages table gives none.
     """
-    model = model or fit_page_model(pages, annotations)
     known = validated_annotations(annotations).select("page_id")
     return (
-        main_bodies(pages, model)
+        main_bodies(pages, annotations, model)
         .where(~F.col("residue"))
         .join(known, "page_id", "left_anti")
         .select("page_id", F.explode("lines").alias("line_num"))
@@ -59,6 +67,5 @@ def texts(pages: DataFrame, annotations: DataFrame, model: PageModel | None = No
 
     Pages that hold only residue or have null html are left out; a page without a body has an empty text.
     """
-    model = model or fit_page_model(pages, annotations)
-    done = current_results(map_pages(pages, model, _TEXT, _text_result))
+    done = page_results(pages, annotations, model, _TEXT, _texts)
     return done.where("status = 'success' and not residue and text is not null").select("page_id", "lines", "text")

@@ -14,12 +14,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import site_of
+from ..operators.skew import spread_join
 from ..sources.tables import use_checkpoints
 from . import shingles
+from .rare_runs import candidates
 
 #: Words of a run, and the share of runs that a pair must have in common.
 RUN, LEAST_SIMILARITY = 3, 0.6
@@ -105,37 +107,6 @@ def records(split: DataFrame) -> DataFrame:
     return done.groupBy("page_id", "body").agg(*[F.first(c).alias(c) for c in ("runs", "chunks")], F.min("url").alias("url"))
 
 
-def candidates(train: DataFrame, test: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """(a, b): pairs of a training and a test record, by key, among which are all of a similarity of at least `least`.
-
-    Both sides have key and runs. Of such a pair each record has at least the
-    part `least` of its runs in common with the other. A record's runs that
-    occur on both sides are ordered from the most common to the rarest, in one
-    order for all records: the rarest run that a pair shares stands no earlier
-    than the others it shares, so at that part of the record's runs or behind.
-    Only runs that stand there are joined on: phrases that everything shares
-    pair nothing, and no pair is lost. Nor does a run pair records that cannot
-    be similar enough if it is the rarest they share, for then they share no
-    more runs than stand up to it in either. Records of equal bodies are one record
-    on each side before this is called.
-    """
-    flat = lambda df, side: df.select(F.lit(side).alias("side"), "key", F.size("runs").alias("size"), F.explode("runs").alias("run"))
-    runs = flat(train, 0).union(flat(test, 1))
-    sides = runs.groupBy("run").agg(F.sum(1 - F.col("side")).alias("in_train"), F.sum("side").alias("in_test"))
-    # Only runs that occur on both sides can be shared.
-    common = runs.join(sides.where("in_train > 0 and in_test > 0"), "run")
-    order = Window.partitionBy("side", "key").orderBy((F.col("in_train") * F.col("in_test")).desc(), "run")
-    prefix = common.withColumn("place", F.row_number().over(order)).where(F.col("place") / F.col("size") >= least)
-    side = lambda n, x: prefix.where(F.col("side") == n).select("run", F.col("key").alias(x), F.col("size").alias(f"size_{x}"), F.col("place").alias(f"place_{x}"))
-    most = F.least("place_a", "place_b")
-    return (
-        side(0, "a").join(side(1, "b"), "run")
-        .where(most / (F.col("size_a") + F.col("size_b") - most) >= least)
-        .select("a", "b")
-        .distinct()
-    )
-
-
 def _overlap() -> Column:
     """Lengths of the shared chunks over those of all different chunks of the record that has more."""
     total = lambda chunks: F.aggregate(chunks, F.lit(0), lambda s, c: s + _length(c))
@@ -146,11 +117,10 @@ def _length(digest: Column) -> Column:
     return digest.bitwiseAND(F.lit(255)).cast("int")
 
 
-def pairs(train: DataFrame, test: DataFrame) -> DataFrame:
-    """(train_page, test_page, train_url, test_url, overlap, similarity) of all pairs of at least LEAST_SIMILARITY.
+def class_pairs(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(close, a, b): pairs of bodies (a, b, overlap, similarity) of at least LEAST_SIMILARITY, and the records of both splits.
 
-    Records of equal bodies are one class on each side while pairs are sought,
-    and are put back at the end.
+    Records of equal bodies are one class on each side while pairs are sought.
     """
     use_checkpoints(train.sparkSession)
     a, b = records(train).checkpoint(), records(test).checkpoint()
@@ -159,18 +129,26 @@ def pairs(train: DataFrame, test: DataFrame) -> DataFrame:
     side = lambda df, x: df.select(F.col("key").alias(x), F.col("runs").alias(f"runs_{x}"), F.col("chunks").alias(f"chunks_{x}"))
     common = F.size(F.array_intersect("runs_a", "runs_b"))
     close = (
-        candidates(left, right)
+        candidates(left, right, LEAST_SIMILARITY)
         .join(side(left, "a"), "a")
         .join(side(right, "b"), "b")
         .withColumn("similarity", common / (F.size("runs_a") + F.size("runs_b") - common))
         .where(F.col("similarity") >= LEAST_SIMILARITY)
         .select("a", "b", _overlap().alias("overlap"), "similarity")
     )
-    return (
-        close.join(a.select(F.col("body").alias("a"), F.col("page_id").alias("train_page"), F.col("url").alias("train_url")), "a")
-        .join(b.select(F.col("body").alias("b"), F.col("page_id").alias("test_page"), F.col("url").alias("test_url")), "b")
-        .select("train_page", "test_page", "train_url", "test_url", "overlap", "similarity")
-    )
+    return close.checkpoint(), a, b
+
+
+def pairs(train: DataFrame, test: DataFrame) -> DataFrame:
+    """(train_page, test_page, train_url, test_url, overlap, similarity) of all pairs of at least LEAST_SIMILARITY.
+
+    The records of equal bodies are put back at the end, those of a large class
+    dealt out over several tasks.
+    """
+    close, a, b = class_pairs(train, test)
+    own = lambda df, x, name: df.select(F.col("body").alias(x), F.col("page_id").alias(f"{name}_page"), F.col("url").alias(f"{name}_url"))
+    half = spread_join(own(a, "a", "train"), close, ["a"], ["train_page"])
+    return spread_join(half, own(b, "b", "test"), ["b"], ["train_page"]).select("train_page", "test_page", "train_url", "test_url", "overlap", "similarity")
 
 
 def found(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -183,7 +161,18 @@ def found(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def report(train: DataFrame, test: DataFrame) -> DataFrame:
-    """(split, site, pairs, records): how many pairs and how many records of a split and site take part; a null url has a null site."""
-    both = pairs(train, test)
-    side = lambda name: both.select(F.lit(name).alias("split"), site_of(f"{name}_url").alias("site"), F.col(f"{name}_page").alias("page"))
-    return side("train").union(side("test")).groupBy("split", "site").agg(F.count("*").alias("pairs"), F.countDistinct("page").alias("records"))
+    """(split, site, pairs, records): how many pairs and how many records of a split and site take part; a null url has a null site.
+
+    Pairs are counted from the sizes of the classes of equal bodies and never listed.
+    """
+    close, a, b = class_pairs(train, test)
+
+    def side(name: str, mine: DataFrame, own: str, others: DataFrame, other: str) -> DataFrame:
+        sizes = others.groupBy(F.col("body").alias(other)).agg(F.count("*").alias("n"))
+        partners = close.join(sizes, other).groupBy(F.col(own).alias("body")).agg(F.sum("n").alias("n"))
+        met = spread_join(mine.select("body", "page_id", site_of("url").alias("site")), partners, ["body"], ["page_id"])
+        # A page may have several bodies; it is one record of the split.
+        once = met.groupBy("site", "page_id").agg(F.sum("n").alias("n"))
+        return once.groupBy("site").agg(F.sum("n").alias("pairs"), F.count("*").alias("records")).select(F.lit(name).alias("split"), "site", "pairs", "records")
+
+    return side("train", a, "a", b, "b").union(side("test", b, "b", a, "a"))

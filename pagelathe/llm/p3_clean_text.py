@@ -1,9 +1,11 @@
 """Problem 3: clean text of pages, and the lines that still carry markup.
 
 Composite text density: every element's characters per tag, adjusted for
-links, is computed; the densities of an element's children are summed, and the
-subtree with the largest sum is the text of the page. The least density on the
-way from there to the body is the threshold that links in it must reach.
+links, is computed, and the densities of an element's children are summed. The
+least density on the way from the subtree with the largest sum to the body is
+the threshold: in every element that reaches it, the subtree with the largest
+sum belongs to the clean text. The density tells what a page's text is, not
+which lines carry markup; these are sought by their signs on the whole page.
 """
 
 from __future__ import annotations
@@ -17,10 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.html_tree import Node
-from ..operators.html_walk import INLINE, SKIPPED, TEXT, is_link_only, is_text_unit, span_of
+from ..operators.html_walk import INLINE, SKIPPED, TEXT, is_text_unit, span_of
 from .markup import SIGNS, is_formula, kinds_in, plain
 from .page_model import PageModel
-from .pages import current_results, fit_page_model, map_pages
+from .pages import page_results
 
 
 _TYPED_HEADING = re.compile(r"#{1,6}(?=\s)")
@@ -114,41 +116,60 @@ def densities(body: Node) -> dict[int, _Density]:
     return out
 
 
-def densest(body: Node) -> tuple[set[int], float, dict[int, _Density]]:
-    """(ids of the elements kept, threshold, densities): the subtree of the largest sum and its dense parts.
+def dense_elements(body: Node) -> set[int]:
+    """Ids of the elements that belong to the text: the subtrees of the largest sums in all elements that reach the threshold.
 
-    Of equal sums the first element in the document counts.
+    Of equal sums the first element in the document counts. An element that
+    stays below the threshold is not entered, except the body itself.
     """
     d = densities(body)
-    best, order, stack = body, [], [body]
+    inner = lambda node: [c for c in node.children if type(c) is Node and id(c) in d]
+    order, stack = [], [body]
     while stack:
         node = stack.pop()
         order.append(node)
-        if d[id(node)].total > d[id(best)].total:
-            best = node
-        stack += [c for c in reversed(node.children) if type(c) is Node and id(c) in d]
-    threshold, up = d[id(best)].density, best
+        stack += reversed(inner(node))
+    best: dict[int, Node] = {}
+    for node in reversed(order):
+        most = node
+        for child in inner(node):
+            if d[id(best[id(child)])].total > d[id(most)].total:
+                most = best[id(child)]
+        best[id(node)] = most
+    threshold, up = d[id(best[id(body)])].density, best[id(body)]
     while up is not None and id(up) in d:
         threshold = min(threshold, d[id(up)].density)
         up = up.parent
     kept: set[int] = set()
-    stack = [best]
+    stack = [body]
     while stack:
         node = stack.pop()
-        kept.add(id(node))
-        stack += [c for c in node.children if type(c) is Node and id(c) in d]
-    return kept, threshold, d
-
+        if node is not body and d[id(node)].density < threshold or id(node) in kept:
+            continue
+        inside = [best[id(node)]]
+        while inside:
+            at = inside.pop()
+            if id(at) not in kept:
+                kept.add(id(at))
+                inside += inner(at)
+        stack += inner(node)
+    return kept
+
+
+def marked_lines(items: list[tuple]) -> list[int]:
+    """Numbers of the lines of a walked page, in the body or outside, whose visible text carries markup."""
+    out, number = [], 1
+    for item in items:
+        if item[1] == TEXT and residue_kinds(item):
+            out.append(number)
+        number += span_of(item)
+    return out
 
-def examine(items: list[tuple]) -> list[tuple[int, tuple, bool, list[str]]]:
-    """(line number, item, in the text, kinds of markup left) of every line of a walked page.
 
-    A line is in the text if it stands in the densest subtree and is not a line
-    of links only below the threshold; short lines of lists and tables belong
-    to it whatever their density. Markup is sought in all lines.
-    """
-    out: list[tuple[int, tuple, bool, list[str]]] = []
-    number, kept, threshold, d = 1, None, 0.0, {}
+def text_lines(items: list[tuple]) -> list[tuple[int, tuple]]:
+    """(line number, item) of the lines of a walked page that stand in dense elements."""
+    out: list[tuple[int, tuple]] = []
+    number, kept = 1, None
     for item in items:
         if item[1] == TEXT:
             node = item[4]
@@ -156,9 +177,9 @@ def examine(items: list[tuple]) -> list[tuple[int, tuple, bool, list[str]]]:
                 body = node
                 while body.parent is not None and body.name != "body":
                     body = body.parent
-                kept, threshold, d = densest(body)
-            dense = id(node) in kept and (d[id(node)].density >= threshold or not is_link_only(item[2]))
-            out.append((number, item, dense, residue_kinds(item)))
+                kept = dense_elements(body)
+            if id(node) in kept:
+                out.append((number, item))
         number += span_of(item)
     return out
 
@@ -170,10 +191,8 @@ def clean(items: list[tuple]) -> list[tuple[str, str]]:
     text gives no lines.
     """
     out = []
-    for _, item, dense, kinds in examine(items):
-        if not dense:
-            continue
-        node, mark, text = item[4], item[3], line_text(item)
+    for _, item in text_lines(items):
+        node, mark, text, kinds = item[4], item[3], line_text(item), residue_kinds(item)
         if in_code(node):
             # Code keeps its lines, unlike the numbered view.
             out.append(("code", _code(node)))
@@ -218,14 +237,12 @@ _FOUND = pa.schema([pa.field("lines", pa.list_(pa.int32()))])
 _CLEAN = pa.schema([pa.field("text", pa.string()), pa.field("lines", pa.list_(pa.int32()))])
 
 
-def _result(text: bool) -> Callable:
-    def result(html, items, lines, scores, residue) -> dict:
-        out = {"lines": None if residue else [number for number, _, _, kinds in examine(items) if kinds]}
-        if text:
-            out["text"] = None if residue else as_markdown(clean(items))
-        return out
+def _found(_: PageModel) -> Callable:
+    return lambda html, items, lines, scores: {"lines": marked_lines(items)}
+
 
-    return result
+def _cleaned(_: PageModel) -> Callable:
+    return lambda html, items, lines, scores: {"lines": marked_lines(items), "text": as_markdown(clean(items))}
 
 
 def found(pages: DataFrame, annotations: DataFrame, model: PageModel | None = None) -> DataFrame:
@@ -233,8 +250,7 @@ def found(pages: DataFrame, annotations: DataFrame, model: PageModel | None = No
 
     Pages that are cases of problem 4, or have null html, give no rows.
     """
-    model = model or fit_page_model(pages, annotations)
-    done = current_results(map_pages(pages, model, _FOUND, _result(False)))
+    done = page_results(pages, annotations, model, _FOUND, _found)
     return done.where("status = 'success' and not residue").select("page_id", F.explode("lines").alias("line_num"))
 
 
@@ -243,6 +259,5 @@ def cleaned(pages: DataFrame, annotations: DataFrame, model: PageModel | None =
 
     Pages that are cases of problem 4 are left out. A page without text has an empty text.
     """
-    model = model or fit_page_model(pages, annotations)
-    done = current_results(map_pages(pages, model, _CLEAN, _result(True)))
+    done = page_results(pages, annotations, model, _CLEAN, _cleaned)
     return done.where("status = 'success' and not residue and text is not null").select("page_id", "text", "lines")

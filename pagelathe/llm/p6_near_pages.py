@@ -1,14 +1,17 @@
 """Problem 6: pages whose main bodies differ only by small edits.
 
-MinHash LSH forest: every body has a signature that is cut into trees; a tree
+MinHash LSH forest: every body has a signature that is cut into trees. A tree
 sorts the bodies by its part of the signature, so bodies that share a prefix
-lie together. Prefixes start long and are shortened until pairs at the
-similarity in question are found with the target recall. Candidates are then
-verified on their whole sets of word runs.
+lie together, and how long a prefix two bodies share in some tree says how
+early they meet. Pairs with the longest prefixes are verified first, on their
+whole sets of word runs; prefixes are then shortened until the pairs found so
+far tell that the target recall is reached. Where a short prefix is shared by
+very many bodies, those are paired exactly by their rare runs instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import comb
 
 import numpy as np
@@ -17,24 +20,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
+from ..operators.skew import spread_join
 from ..sources.tables import use_checkpoints
 from . import shingles
 from .page_model import PageModel, body_lines
-from .pages import current_results, fit_page_model, map_pages
+from .pages import page_results
+from .rare_runs import candidates
 
 #: Words of a run, and the share of runs that a pair must have in common.
 RUN, LEAST_SIMILARITY = 3, 0.6
 #: Trees of the forest, the longest prefix in minima, and the recall that shortening must reach.
-TREES, LONGEST, RECALL = 40, 6, 0.995
+TREES, LONGEST, RECALL = 40, 5, 0.9999
+#: A prefix that more bodies share is too common to pair them; they are paired by their rare runs.
+MOST_IN_BUCKET = 100
 #: A candidate is set aside without its sets being read if so few minima agree
 #: that a pair of the least similarity would do so once in a hundred million.
 DOUBT = 1e-8
 
 
-def prefix_length(similarity: float, trees: int = TREES, longest: int = LONGEST, recall: float = RECALL) -> int:
-    """The longest prefix at which a pair of this similarity meets in some tree with the wanted probability."""
+def chance(similarity: float, length: int, trees: int = TREES) -> float:
+    """Probability that a pair of this similarity shares a prefix of this length in some tree."""
+    return 1 - (1 - similarity**length) ** trees
+
+
+def shortest_prefix(similarity: float, trees: int = TREES, longest: int = LONGEST, recall: float = RECALL) -> int:
+    """The longest prefix at which even a pair of just this similarity meets with the wanted probability."""
     length = longest
-    while length > 1 and 1 - (1 - similarity**length) ** trees < recall:
+    while length > 1 and chance(similarity, length, trees) < recall:
         length -= 1
     return length
 
@@ -49,54 +61,98 @@ def least_agreement(similarity: float, count: int, doubt: float = DOUBT) -> int:
     return count
 
 
-_FIELDS = pa.schema([pa.field("body", pa.int64()), pa.field("runs", pa.list_(pa.int64())), pa.field("keys", pa.list_(pa.int64())), pa.field("signature", pa.binary())])
-
+_FIELDS = pa.schema([pa.field("body", pa.int64()), pa.field("runs", pa.list_(pa.int64())), pa.field("labels", pa.binary()), pa.field("signature", pa.binary())])
 
-def body_sets(pages: DataFrame, model: PageModel, length: int, trees: int = TREES) -> DataFrame:
-    """(page_id, body, runs, keys, signature) of the current successful pages with a main body that is no residue.
 
-    `keys` has one number per tree: the first `length` minima of its part of the
-    signature. Bodies of fewer than RUN words have no runs and are left out:
-    they are similar to nothing.
-    """
-    count = trees * length
-    power = shingles.mix(np.arange(1, length + 1, dtype=np.uint64)) | np.uint64(1)
+def _body_sets(model: PageModel) -> Callable:
+    none = {"body": None, "runs": None, "labels": None, "signature": None}
 
-    def result(html, items, lines, scores, residue) -> dict:
-        none = {"body": None, "runs": None, "keys": None, "signature": None}
-        if residue:
-            return none
-        kept = set(body_lines(lines, scores))
+    def result(html, items, lines, scores) -> dict:
+        kept = set(body_lines(lines, scores, model.cost))
         text = "\n".join([item[3] + item[2] for number, item, _, _ in lines if number in kept])
         runs = np.unique(shingles.run_hashes(shingles.word_hashes(shingles.words_of(text)), RUN))
         if not len(runs):
             return none
-        minima = shingles.signature(runs, count)
-        parts = minima.reshape(trees, length).astype(np.uint64)
-        keys = shingles.mix((shingles.mix(parts + np.uint64(1)) * power).sum(axis=1, dtype=np.uint64) + np.arange(trees, dtype=np.uint64))
-        return {"body": shingles.set_hash(runs), "runs": runs.astype(np.int64), "keys": keys.astype(np.int64), "signature": minima.astype("<u4").view("<u2")[::2].tobytes()}
+        minima = shingles.signature(runs, TREES * LONGEST)
+        return {
+            "body": shingles.set_hash(runs),
+            "runs": runs.astype(np.int64),
+            "labels": minima.astype("<u4").tobytes(),
+            "signature": minima.astype("<u4").view("<u2")[::2].tobytes(),
+        }
+
+    return result
 
-    done = current_results(map_pages(pages, model, _FIELDS, result))
-    return done.where("status = 'success' and runs is not null").select("page_id", "body", "runs", "keys", "signature")
 
+def body_sets(pages: DataFrame, annotations: DataFrame, model: PageModel | None) -> DataFrame:
+    """(page_id, body, runs, labels, signature) of the current successful pages with a main body that is no residue.
 
-def near_pairs(sets: DataFrame, least: float, agree: int) -> DataFrame:
-    """(a, b, similarity), a < b, of the keys of `sets` (key, runs, keys, signature) that are at least so similar.
+    `labels` are the minima of all trees, LONGEST each. Bodies of fewer than RUN
+    words have no runs and are left out: they are similar to nothing.
+    """
+    done = page_results(pages, annotations, model, _FIELDS, _body_sets)
+    return done.where("status = 'success' and not residue and runs is not null").select("page_id", *_FIELDS.names)
+
+
+_ENTRY = pa.schema([pa.field("key", pa.int64()), pa.field("node", pa.int64()), pa.field("rest", pa.int64())])
 
-    Pairs meet by an equi-join on the trees' keys; no group of bodies is ever
-    gathered, and bodies that are equal must be one row, so a third of all
-    pages with one body is one row.
+
+def forest(sets: DataFrame, shortest: int) -> DataFrame:
+    """(key, node, rest): for every body and tree the node at depth `shortest`, and the minima below it as one number.
+
+    `sets` has key and labels.
     """
-    flat = sets.select("key", F.explode("keys").alias("tree_key"))
-    met = (
-        flat.select(F.col("key").alias("a"), "tree_key")
-        .join(flat.select(F.col("key").alias("b"), "tree_key"), "tree_key")
+    power = shingles.mix(np.arange(1, shortest + 1, dtype=np.uint64)) | np.uint64(1)
+    below = LONGEST - shortest
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            labels = np.frombuffer(b"".join(batch.column("labels").to_pylist()), "<u4").reshape(n, TREES, LONGEST)
+            top = labels[:, :, :shortest].astype(np.uint64)
+            node = shingles.mix((shingles.mix(top + np.uint64(1)) * power).sum(axis=2, dtype=np.uint64) + np.arange(TREES, dtype=np.uint64))
+            # Sixty-four bits are shared out between the minima below the node, the first ones in the highest bits.
+            rest = np.zeros((n, TREES), np.uint64)
+            width = 64 // max(below, 1)
+            for i in range(below):
+                part = labels[:, :, shortest + i].astype(np.uint64) & np.uint64((1 << min(width, 32)) - 1)
+                rest |= part << np.uint64(64 - width * (i + 1))
+            keys = np.repeat(np.asarray(batch.column("key"), np.int64), TREES)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node.ravel().astype(np.int64)), pa.array(rest.ravel().astype(np.int64))], schema=_ENTRY)
+
+    return sets.select("key", "labels").mapInArrow(run, "key bigint, node bigint, rest bigint")
+
+
+def meetings(sets: DataFrame, shortest: int, most: int = MOST_IN_BUCKET) -> tuple[DataFrame, DataFrame]:
+    """(pairs, busy): pairs (a, b, depth), a < b, that share a node of at most `most` bodies, and the keys in larger nodes.
+
+    `depth` is the longest prefix that a pair shares in some tree.
+    """
+    entries = forest(sets, shortest)
+    sizes = entries.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").checkpoint()
+    shared = entries.join(sizes.where(F.col("n") <= most).select("node"), "node", "left_semi").checkpoint()
+    busy = spread_join(entries, sizes.where(F.col("n") > most).select("node"), ["node"], ["key"], "left_semi").select("key").distinct()
+    below, width = LONGEST - shortest, 64 // max(LONGEST - shortest, 1)
+    depth = F.lit(shortest)
+    for i in range(below):
+        same = F.shiftrightunsigned(F.col("ra").bitwiseXOR(F.col("rb")), 64 - width * (i + 1)) == 0
+        depth = F.when(same, shortest + i + 1).otherwise(depth) if i == 0 else F.when(same & (depth == shortest + i), shortest + i + 1).otherwise(depth)
+    pairs = (
+        shared.select(F.col("key").alias("a"), "node", F.col("rest").alias("ra"))
+        .join(shared.select(F.col("key").alias("b"), "node", F.col("rest").alias("rb")), "node")
         .where("a < b")
-        .select("a", "b")
-        .distinct()
+        .groupBy("a", "b")
+        .agg(F.max(depth).alias("depth"))
     )
+    return pairs, busy
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float, agree: int) -> DataFrame:
+    """(a, b, similarity) of the pairs (a, b) whose whole sets are at least so similar."""
     signed = lambda name: sets.select(F.col("key").alias(name), F.col("signature").alias(f"s{name}"))
-    likely = met.join(signed("a"), "a").join(signed("b"), "b").mapInArrow(_agreeing(agree), "a bigint, b bigint")
+    likely = pairs.select("a", "b").join(signed("a"), "a").join(signed("b"), "b").mapInArrow(_agreeing(agree), "a bigint, b bigint")
     own = lambda name: sets.select(F.col("key").alias(name), F.col("runs").alias(f"r{name}"))
     common = F.size(F.array_intersect("ra", "rb"))
     return (
@@ -120,30 +176,65 @@ def _agreeing(agree: int):
     return run
 
 
-def similar_bodies(pages: DataFrame, model: PageModel, least: float = LEAST_SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(classes, pairs): classes (page_id, key) of equal bodies, named by their smallest page, and pairs of classes (a, b, similarity)."""
+def near_pairs(sets: DataFrame, least: float, most: int = MOST_IN_BUCKET) -> DataFrame:
+    """(a, b, similarity), a < b, of the keys of `sets` (key, runs, labels, signature) that are at least so similar.
+
+    Prefixes are shortened one minimum at a time. After each step every pair
+    found counts as one over its chance to have met by then, which estimates
+    how many there are; once the pairs found are the part RECALL of that, the
+    shorter prefixes are left. No group of bodies is ever gathered: nodes of
+    more than `most` bodies pair nothing, their bodies are joined exactly among
+    themselves. Bodies that are equal must be one row.
+    """
+    shortest, agree = shortest_prefix(least), least_agreement(least, TREES * LONGEST)
+    pairs, busy = meetings(sets, shortest, most)
+    pairs = pairs.checkpoint()
+    parts = []
+    for length in range(LONGEST, shortest - 1, -1):
+        parts.append(verified(pairs.where(F.col("depth") == length), sets, least, agree).checkpoint())
+        met = 1 - F.pow(1 - F.pow("similarity", F.lit(length)), F.lit(TREES))
+        sums = [p.agg(F.count("*"), F.sum(1 / F.greatest(met, F.lit(1e-9)))).first() for p in parts]
+        there = sum(s[1] or 0.0 for s in sums)
+        if length > shortest and there and sum(s[0] for s in sums) >= RECALL * there:
+            break
+    hot = sets.join(busy, "key", "left_semi").select("key", "runs")
+    exact = candidates(hot, hot, least).where("a < b")
+    parts.append(verified(exact, sets, least, 0))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.groupBy("a", "b").agg(F.first("similarity").alias("similarity"))
+
+
+def similar_bodies(pages: DataFrame, annotations: DataFrame, model: PageModel | None, least: float = LEAST_SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(classes, pairs): classes (page_id, key) of equal bodies, named by their smallest page, and pairs of classes (a, b, similarity).
+
+    Bodies count as equal if two 64-bit hashes of their whole sets agree, which
+    are computed in different ways: among 10^11 bodies the chance of a single
+    wrong match is below 10^-15.
+    """
     use_checkpoints(pages.sparkSession)
-    length = prefix_length(least)
-    sets = body_sets(pages, model, length).checkpoint()
-    named = sets.groupBy("body").agg(F.min("page_id").alias("key"))
-    classes = sets.select("page_id", "body").join(named, "body").select("page_id", "key")
-    ones = sets.join(named.select(F.col("key").alias("page_id")), "page_id", "left_semi").withColumnRenamed("page_id", "key")
-    return classes, near_pairs(ones, least, least_agreement(least, TREES * length))
+    sets = body_sets(pages, annotations, model).withColumn("mark", F.xxhash64("runs")).checkpoint()
+    named = sets.groupBy("body", "mark").agg(F.min("page_id").alias("key"))
+    classes = spread_join(sets.select("page_id", "body", "mark"), named, ["body", "mark"], ["page_id"]).select("page_id", "key")
+    ones = sets.join(named.select(F.col("key").alias("page_id")), "page_id", "left_semi").withColumnRenamed("page_id", "key").drop("body", "mark")
+    return classes, near_pairs(ones, least)
 
 
 def found(pages: DataFrame, annotations: DataFrame, model: PageModel | None = None) -> DataFrame:
     """(page_id_1, page_id_2), the smaller first, of every pair of different pages that are similar.
 
     The result names every pair, so pages of equal bodies are expanded from
-    their classes at the very end; all work before that is per class.
+    their classes at the very end; all work before that is per class, and the
+    rows of a large class are dealt out over several tasks.
     """
-    classes, pairs = similar_bodies(pages, model or fit_page_model(pages, annotations))
-    pairs = pairs.select("a", "b").checkpoint()
+    classes, pairs = similar_bodies(pages, annotations, model)
+    pairs, classes = pairs.select("a", "b").checkpoint(), classes.checkpoint()
     left = classes.select(F.col("key").alias("a"), F.col("page_id").alias("x"))
     right = classes.select(F.col("key").alias("b"), F.col("page_id").alias("y"))
-    across = pairs.join(left, "a").join(right, "b").select("x", "y")
-    within = left.join(right.withColumnRenamed("b", "a"), "a").where("x < y").select("x", "y")
-    return across.union(within).select(F.least("x", "y").alias("page_id_1"), F.greatest("x", "y").alias("page_id_2"))
+    meet = pairs.select("a", "b").union(left.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a", F.col("a").alias("b")))
+    both = spread_join(left.join(meet, "a"), right, ["b"], ["x"]).where("a <> b or x < y")
+    return both.select(F.least("x", "y").alias("page_id_1"), F.greatest("x", "y").alias("page_id_2"))
 
 
 def groups(pages: DataFrame, annotations: DataFrame, model: PageModel | None = None) -> DataFrame:
@@ -152,13 +243,11 @@ def groups(pages: DataFrame, annotations: DataFrame, model: PageModel | None = N
     `links` counts the other classes that the page's class is similar to. Pages
     without a similar page are groups of their own.
     """
-    classes, pairs = similar_bodies(pages, model or fit_page_model(pages, annotations))
+    classes, pairs = similar_bodies(pages, annotations, model)
     pairs = pairs.select("a", "b").checkpoint()
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key"))
     links = ends.groupBy("key").agg(F.count("*").alias("links"))
-    roots = connected_components(pairs).withColumnRenamed("node", "key")
-    return (
-        classes.join(roots, "key", "left")
-        .join(links, "key", "left")
-        .select("page_id", F.coalesce("component", "key").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    roots = connected_components(pairs).withColumnRenamed("node", "key").join(links, "key", "left")
+    return spread_join(classes, roots, ["key"], ["page_id"], "left").select(
+        "page_id", F.coalesce("component", "key").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links")
     )

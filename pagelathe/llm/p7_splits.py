@@ -19,6 +19,8 @@ from ..functions.urls import site_of
 from ..operators.components import connected_components
 from ..operators.ranking import bucketed_rank
 from ..operators.current import latest
+from ..operators.skew import spread_join
+from ..sources.tables import use_checkpoints
 
 
 def handle_of(url: Column | str) -> Column:
@@ -52,15 +54,14 @@ def related_groups(members: DataFrame) -> DataFrame:
     `members` has grp, page_id, site and handle. The graph has a node for each
     site and handle of a group and an edge for each pair that occurs, so it is
     far smaller than the pages, and a site with a third of all pages is one
-    node. A page without site and handle is its own component.
+    node, whose pages are dealt out over several tasks. A page without site and handle is its own component.
     """
     keyed = members.select("grp", "page_id", _node("site", "site").alias("s"), _node("handle", "handle").alias("h"))
     edges = keyed.select(F.coalesce("s", "h").alias("a"), F.coalesce("h", "s").alias("b")).where("a is not null").distinct()
     roots = connected_components(edges)
     own = F.coalesce("s", "h", F.xxhash64(F.lit("page"), "grp", "page_id"))
     return (
-        keyed.select("grp", "page_id", own.alias("node"))
-        .join(roots, "node", "left")
+        spread_join(keyed.select("grp", "page_id", own.alias("node")), roots, ["node"], ["page_id"], "left")
         .select("grp", "page_id", F.coalesce("component", "node").alias("component"))
     )
 
@@ -81,51 +82,29 @@ def found(pages: DataFrame, manifest: DataFrame) -> DataFrame:
     members = manifest_members(manifest)
     keyed = members.join(page_keys(pages), "page_id")
     groups = related_groups(keyed.select("grp", "page_id", "site", "handle").distinct())
-    # The sides that a component touches: one row a component, however large it is.
     sides = groups.join(members, ["grp", "page_id"])
+    # The components with a training page: one row each, however large they are.
     mixed = sides.where("side = 'train'").select("grp", "component").distinct()
-    return sides.where("side = 'test'").join(mixed, ["grp", "component"], "left_semi").select("seed", "page_id").distinct()
+    test = spread_join(sides.where("side = 'test'"), mixed, ["grp", "component"], ["page_id"], "left_semi")
+    return test.select("seed", "page_id").distinct()
 
 
 # ---------------------------------------------------------------- new splits
 
 SPLITS = ("train", "validation", "test")
 PROPORTIONS = (0.8, 0.1, 0.1)
-#: Bundles that the driver solves the quotas for; beyond it sizes are rounded.
-MOST_BUNDLES = 2000
+#: Bundles that the driver holds at a time; more of them are solved one portion after the other.
+PORTION = 20_000
 
 
 def component_profiles(members: DataFrame) -> DataFrame:
-    """(component, size, label) per component; `members` has component, page_id and label.
+    """(component, size, profile) per component; `members` has component, page_id and label.
 
-    The label is the most frequent one of the component, of equally frequent
-    ones the smallest; null labels count as a label of their own.
+    The profile is the sorted array of (label, n): how many pages of each label
+    a component has. Null labels count as a label of their own.
     """
     counts = members.groupBy("component", F.coalesce("label", F.lit("")).alias("label")).agg(F.count("*").alias("n"))
-    best = F.max(F.struct(F.col("n"), (-F.xxhash64("label")).alias("tie"), F.col("label")))
-    return counts.groupBy("component").agg(F.sum("n").alias("size"), best["label"].alias("label"))
-
-
-def _bundles(profiles: DataFrame, most: int) -> tuple[DataFrame, list]:
-    """Profiles with a bundle class, and the bundles (klass, label, size, n) on the driver: at most about `most`.
-
-    Components of one label and one size are a bundle. If there are too many
-    sizes, those that share a power of 1.02, then of coarser steps, share a
-    bundle, whose size is then the mean. What reaches the driver is bounded by
-    `most`, or at the coarsest step by about forty bundles a label.
-    """
-    step = 0.0
-    while True:
-        klass = F.col("size").cast("double") if step == 0 else F.when(
-            F.col("size") <= 8, F.col("size").cast("double")
-        ).otherwise(F.floor(F.log("size") / step) + 1000.0)
-        tagged = profiles.withColumn("klass", klass)
-        bundles = tagged.groupBy("klass", "label").agg(F.count("*").alias("n"), F.sum("size").alias("total")).orderBy("klass", "label")
-        last = step > 1  # sizes are powers of e by now: some thirty bundles a label
-        rows = (bundles if last else bundles.limit(most + 1)).collect()
-        if last or len(rows) <= most:
-            return tagged, rows
-        step = step * 4 or 0.02
+    return counts.groupBy("component").agg(F.sum("n").alias("size"), F.array_sort(F.collect_list(F.struct("label", "n"))).alias("profile"))
 
 
 def min_cost_flow(nodes: int, arcs: Sequence[tuple[int, int, int, float]], source: int, sink: int) -> list[int]:
@@ -163,56 +142,58 @@ def min_cost_flow(nodes: int, arcs: Sequence[tuple[int, int, int, float]], sourc
             room[e ^ 1] += push
 
 
-def _pieces(left: float, size: float, n: int, weight: float) -> list[tuple[int, float]]:
-    """(components, cost each): what fits into a quota costs nothing, one more costs what it exceeds, others their size."""
-    fit = min(n, max(0, int(left / size + 1e-9)))
-    out = [(fit, 0.0)]
-    over = max(0.0, size - max(0.0, left - fit * size))
-    return out + [(1, weight * over), (max(0, n - fit - 1), weight * size)]
+class Quotas:
+    """What the splits, and the labels in them, have left of their shares, while bundles are placed from the largest on."""
 
+    def __init__(self, sizes: dict[str, int], proportions: Sequence[float]):
+        self.proportions = list(proportions)
+        self.whole = [p * sum(sizes.values()) for p in proportions]
+        self.cells = {(x, k): p * n for x, n in sizes.items() for k, p in enumerate(proportions)}
 
-def solve_quotas(bundles: Sequence[tuple[str, float, int]], proportions: Sequence[float]) -> list[list[int]]:
-    """How many components of each bundle (label, size, n) go to each split.
+    def place(self, profile: Sequence[tuple[str, int]], n: int) -> list[int]:
+        """How many of `n` components of one profile go to each split, by a min-cost flow in whole components.
 
-    From the largest size to the smallest, the components of one size are
-    allocated by a min-cost flow in whole components: bundles feed cells
-    (label, split), and cells feed splits. A cell and a split take what their
-    quota has left for nothing; beyond it a component costs the deviation,
-    relative to the proportion, in a split twice that of a cell. So each size
-    is integral at once, and smaller ones even out what larger ones left.
-    """
-    splits = len(proportions)
-    labels = sorted({b[0] for b in bundles})
-    cell = {(x, k): p * sum(s * n for lab, s, n in bundles if lab == x) for x in labels for k, p in enumerate(proportions)}
-    whole = [p * sum(s * n for _, s, n in bundles) for p in proportions]
-    weight = [1 / p if p > 0 else 1e9 for p in proportions]
-    result: list[list[int]] = [[0] * splits for _ in bundles]
-    for size in sorted({s for _, s, _ in bundles}, reverse=True):
-        here = [i for i, b in enumerate(bundles) if b[1] == size]
-        names = sorted({bundles[i][0] for i in here})
-        total = sum(bundles[i][2] for i in here)
-        source, sink = 0, 1
-        node_split = {k: 2 + k for k in range(splits)}
-        node_cell = {(x, k): 2 + splits + j * splits + k for j, x in enumerate(names) for k in range(splits)}
-        node_bundle = {i: 2 + splits * (1 + len(names)) + j for j, i in enumerate(here)}
+        The bundle feeds the splits. A split takes what it and the labels'
+        cells have left for nothing; one component more costs what it exceeds,
+        each further one its size: twice the deviation of the split, relative
+        to the proportion, and once that of every cell. So what is placed is
+        integral at once, and smaller bundles even out what larger ones left.
+        """
+        size, splits = sum(c for _, c in profile), len(self.whole)
         arcs: list[tuple[int, int, int, float]] = []
-        feeds = {}
-        for i in here:
-            label, _, n = bundles[i]
-            arcs.append((source, node_bundle[i], n, 0.0))
-            for k in range(splits):
-                feeds[len(arcs)] = (i, k)
-                arcs.append((node_bundle[i], node_cell[label, k], n, 0.0))
-        for x, k in node_cell:
-            n = sum(bundles[i][2] for i in here if bundles[i][0] == x)
-            arcs += [(node_cell[x, k], node_split[k], c, p) for c, p in _pieces(cell[x, k], size, n, weight[k]) if c]
-        for k in range(splits):
-            arcs += [(node_split[k], sink, c, p) for c, p in _pieces(whole[k], size, total, 2 * weight[k]) if c]
-        flow = min_cost_flow(2 + splits * (1 + len(names)) + len(here), arcs, source, sink)
-        for e, (i, k) in feeds.items():
-            result[i][k] += flow[e]
-            cell[bundles[i][0], k] -= flow[e] * size
-            whole[k] -= flow[e] * size
+        for k, p in enumerate(self.proportions):
+            weight = 1 / p if p > 0 else 1e9
+            steps = [(self.whole[k], size, 2 * weight)] + [(self.cells[x, k], c, weight) for x, c in profile]
+            fits = sorted({min(n, max(0, int(left / part + 1e-9))) for left, part, _ in steps})
+            marks = sorted({0, *fits, *[min(n, f + 1) for f in fits], n})
+            for at, to in zip(marks, marks[1:]):
+                # Between two marks each further component costs the same.
+                price = sum(w * (max(0.0, (at + 1) * part - max(left, 0.0)) - max(0.0, at * part - max(left, 0.0))) for left, part, w in steps)
+                arcs.append((0, 2 + k, to - at, price))
+            arcs.append((2 + k, 1, n, 0.0))
+        arcs.append((2 + splits, 0, n, 0.0))
+        flow = min_cost_flow(3 + splits, arcs, 2 + splits, 1)
+        out = [0] * splits
+        for (a, b, _, _), f in zip(arcs, flow):
+            if a == 0:
+                out[b - 2] += f
+        for k, f in enumerate(out):
+            self.whole[k] -= f * size
+            for x, c in profile:
+                self.cells[x, k] -= f * c
+        return out
+
+
+def solve_quotas(bundles: Sequence[tuple[Sequence[tuple[str, int]], int]], proportions: Sequence[float]) -> list[list[int]]:
+    """How many components of each bundle (profile, n) go to each split; larger sizes are placed first, then by profile."""
+    sizes: dict[str, int] = {}
+    for profile, n in bundles:
+        for x, c in profile:
+            sizes[x] = sizes.get(x, 0) + c * n
+    quotas = Quotas(sizes, proportions)
+    result: list[list[int]] = [[]] * len(bundles)
+    for i in sorted(range(len(bundles)), key=lambda i: (-sum(c for _, c in bundles[i][0]), tuple(bundles[i][0]))):
+        result[i] = quotas.place(*bundles[i])
     return result
 
 
@@ -221,39 +202,59 @@ def assign(
     proportions: Sequence[float] = PROPORTIONS,
     names: Sequence[str] = SPLITS,
     seed: int = 0,
-    most_bundles: int = MOST_BUNDLES,
+    portion: int = PORTION,
 ) -> DataFrame:
     """(page_id, component, split) for `members` (page_id, component, label): components stay together.
 
-    Quotas are solved for bundles of components of one size and label; the
-    members of a bundle are dealt out by the order of their hashes. The hashes
-    are ranked in buckets, so a bundle with a third of all components is no
-    single task. Every page gets a split; an empty table gives none. A
-    component larger than a quota goes to the split that lacks most.
+    Components of one size and one profile of labels are a bundle. The driver
+    places all bundles, the largest first, by min-cost flows; it reads at most
+    `portion` of them at a time and keeps only what splits and labels have
+    left, so the result depends on the components alone. The members of a
+    bundle are dealt out by the order of their hashes, ranked in buckets, so a
+    bundle with a third of all components is no single task. Every page gets a
+    split; an empty table gives none. A component larger than a quota goes to
+    the split that lacks most.
     """
-    profiles = component_profiles(members)
-    tagged, rows = _bundles(profiles, most_bundles)
-    bundles = [(r.label, r.total / r.n, r.n) for r in rows]
-    quotas = solve_quotas(bundles, proportions)
     spark = members.sparkSession
-    schema = T.StructType(
-        [T.StructField("klass", T.DoubleType()), T.StructField("label", T.StringType()), T.StructField("upto", T.ArrayType(T.LongType()))]
-    )
-    upto = spark.createDataFrame([(r.klass, r.label, [int(x) for x in np.cumsum(q)]) for r, q in zip(rows, quotas)], schema)
+    use_checkpoints(spark)
+    profiles = component_profiles(members).checkpoint()
+    labels = members.groupBy(F.coalesce("label", F.lit("")).alias("label")).agg(F.count("*").alias("n")).collect()
+    quotas = Quotas({r.label: r.n for r in labels}, proportions)
+    bundles = profiles.groupBy("size", "profile").agg(F.count("*").alias("n")).orderBy(F.desc("size"), "profile")
+    schema = T.StructType([T.StructField("size", T.LongType()), bundles.schema["profile"], T.StructField("upto", T.ArrayType(T.LongType()))])
+    solved, parts = [], []
+
+    def keep() -> None:
+        table = spark.createDataFrame(solved, schema)
+        parts.append(table.checkpoint())
+        solved.clear()
+
+    for r in bundles.toLocalIterator():
+        profile = [(x.label, x.n) for x in r.profile]
+        solved.append((r.size, profile, [int(x) for x in np.cumsum(quotas.place(profile, r.n))]))
+        if len(solved) >= portion:
+            keep()
+    keep()
+    upto = parts[0]
+    for p in parts[1:]:
+        upto = upto.union(p)
     ranked = bucketed_rank(
-        tagged.withColumn("u", F.xxhash64("component", F.lit(seed))), ["klass", "label"], F.struct("u", "component"), F.shiftright("u", 54)
+        profiles.withColumn("u", F.xxhash64("component", F.lit(seed))), ["size", "profile"], F.struct("u", "component"), F.shiftright("u", 54)
     )
     names_col = F.array(*map(F.lit, names))
     place = F.size(F.filter("upto", lambda x: x < F.col("rank"))) + 1
-    split = ranked.join(F.broadcast(upto), ["klass", "label"]).select("component", F.element_at(names_col, place).alias("split"))
-    return members.select("page_id", "component").join(split, "component")
+    # The commonest bundles hold most components, so their ranks are dealt out over several tasks.
+    placed = spread_join(ranked, upto, ["size", "profile"], ["component"])
+    split = placed.select("component", F.element_at(names_col, place).alias("split"))
+    return spread_join(members.select("page_id", "component"), split, ["component"], ["page_id"])
 
 
 def new_splits(pages: DataFrame, proportions: Sequence[float] = PROPORTIONS, seed: int = 0) -> DataFrame:
     """(page_id, split) for all current successful pages; the label is the dataset, null standing for 'original'."""
+    use_checkpoints(pages.sparkSession)
     rows = latest(pages, "page_id", "scraped_at", ["status", "url", "dataset"]).where("status = 'success'")
     keyed = rows.select(
         F.lit(0).cast("bigint").alias("grp"), "page_id", site_of("url").alias("site"), handle_of("url").alias("handle"), F.coalesce("dataset", F.lit("original")).alias("label")
     )
-    members = related_groups(keyed).join(keyed.select("page_id", "label"), "page_id").select("page_id", "component", "label")
+    members = related_groups(keyed).join(keyed.select("page_id", "label"), "page_id").select("page_id", "component", "label").checkpoint()
     return assign(members, proportions, seed=seed).select("page_id", "split")

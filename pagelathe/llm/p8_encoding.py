@@ -18,8 +18,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.partitions import spread
-
 #: Where the rank file lies; a parameter of every function that reads it.
 RANK_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that belongs to the vocabulary.
@@ -134,8 +132,7 @@ def encode(documents: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
     """(doc_id, ids) for every row of `documents` (doc_id, text), repeated rows included.
 
     A null text and an empty text have the empty list. Texts are encoded whole,
-    however long. One pass in Arrow batches, without a shuffle unless the table
-    is read in fewer partitions than there are cores.
+    however long. One pass in Arrow batches, without a shuffle.
     """
     data = documents.sparkSession.sparkContext.broadcast(read_ranks(rank_file))
 
@@ -150,7 +147,7 @@ def encode(documents: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.array(offsets, np.int32)), pa.array(np.array(ids, np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "ids"])
 
-    return spread(documents.select(F.col("doc_id").cast("bigint"), "text")).mapInArrow(run, "doc_id bigint, ids array<int>")
+    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def token_counts(documents: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
@@ -165,4 +162,4 @@ def token_counts(documents: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
                 [batch.column("doc_id"), batch.column("source"), pa.array(counts, pa.int64())], names=["doc_id", "source", "tokens"]
             )
 
-    return spread(documents.select(F.col("doc_id").cast("bigint"), "source", "text")).mapInArrow(run, "doc_id bigint, source string, tokens bigint")
+    return documents.select(F.col("doc_id").cast("bigint"), "source", "text").mapInArrow(run, "doc_id bigint, source string, tokens bigint")

@@ -3,8 +3,9 @@
 The total is the largest at which every source can hold its share exactly
 within its repeats, so no source falls short unless a total is asked for. A
 source's documents get the whole copies that are certain; of the fraction that
-remains, Pareto order sampling draws documents: ranked by random odds divided
-by the odds of inclusion, the first ones that fill the source's size are taken.
+remains, Pareto order sampling draws documents with odds of inclusion that grow
+with their size: ranked by random odds divided by the odds of inclusion, the
+first ones that fill the source's size are taken.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from .p8_encoding import RANK_FILE, token_counts
 BUCKETS = 1024
 #: Up to so many sources the plan is broadcast; beyond it is joined by shuffle.
 MOST_SOURCES = 10_000
+#: A document of twice the size has 2 ** POWER times the odds of inclusion; 0 gives all of a source the same.
+POWER = 0.5
 
 
 def _uniform(seed: int) -> Column:
@@ -58,7 +61,16 @@ def source_plan(sizes: DataFrame, targets: DataFrame, total: float | None = None
     )
 
 
-def mix(sizes: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 0) -> DataFrame:
+def _size_class(tokens: Column) -> Column:
+    """Number of binary digits: documents of one class have the same odds of inclusion."""
+    return F.length(F.bin(tokens)).cast("int")
+
+
+def _weight(size_class: Column, power: float) -> Column:
+    return F.pow(F.lit(2.0 ** power), size_class)
+
+
+def mix(sizes: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 0, power: float = POWER) -> DataFrame:
     """(doc_id, source, tokens, copies) of the documents that are used at least once.
 
     `sizes` has doc_id, source and tokens and may repeat rows; each row is a
@@ -71,12 +83,16 @@ def mix(sizes: DataFrame, targets: DataFrame, total: float | None = None, seed:
     whole = F.floor(F.col("copies") + 1e-12).cast("int")
     plan = plan.withColumn("whole", whole).withColumn("chance", F.greatest(F.col("copies") - F.col("whole"), F.lit(0.0)))
     plan = plan.select("source", "whole", "chance", (F.col("goal") - F.col("whole") * F.col("tokens")).alias("rest"))
+    weight = _weight(_size_class(F.col("tokens")), power)
+    plan = plan.join(docs.groupBy("source").agg(F.avg(weight).alias("middle")), "source", "left")
     if plan.limit(MOST_SOURCES + 1).count() <= MOST_SOURCES:
         plan = F.broadcast(plan)
     each = docs.join(plan, "source").withColumn("copy", F.col("whole"))
     u = _uniform(seed)
-    # Random odds over odds of inclusion; as a share of 1 they fall into even buckets.
-    odds = (u / (1 - u)) / (F.col("chance") / (1 - F.col("chance")))
+    # Random odds over odds of inclusion. These are a document's weight times a factor of the source, which does not
+    # change the order; scaled by the mean weight instead, the keys are spread like the random numbers and fall into
+    # even buckets as shares of 1.
+    odds = (u / (1 - u)) / (weight / F.col("middle"))
     drawn = each.where("chance > 0 and rest > 0").withColumn("key", odds / (1 + odds))
     ranked = bucketed_rank(
         drawn, ["source"], F.struct("key", "doc_id"), F.floor(F.col("key") * BUCKETS), F.col("tokens")
@@ -98,7 +114,7 @@ def shares(selection: DataFrame, targets: DataFrame) -> DataFrame:
         F.count("*").alias("documents"), F.sum(F.col("tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("most_copies")
     )
     wish = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    # Sources are few beside documents; one window sums them.
+    # One row a source by now, at most MOST_SOURCES of them in a plan that is broadcast; one window sums them.
     total = F.sum("tokens").over(Window.partitionBy(F.lit(1)))
     return wish.join(used, "source", "left").fillna(0, ["documents", "tokens", "most_copies"]).select(
         "source", "target_share", "max_repeats", "documents", "tokens", "most_copies", (F.col("tokens") / total).alias("actual_share")

@@ -1,17 +1,13 @@
-"""The models that problems 1, 3, 4 and 6 share, fitted on bounded samples of pages.
+"""The body model that problems 1, 3, 4 and 6 share, fitted on labelled pages.
 
-*Body model*: weights of words and tags of lines, by logistic regression on
-labelled pages. A line's score is the sum of its weights; the place of the
-main body is the contiguous region of the largest sum.
-
-*Residue model*: a naive Bayes model of lines of error pages, placeholders and
-filler against all other lines, fitted by expectation-maximization from
-records that are trusted because they plainly are such pages.
+Words and tags of a line have weights, and a line scores their sum. A scan
+finds the contiguous regions of a page with the largest total score, each of
+which costs a fixed amount. Weights and cost are fitted together, so that the
+regions the scan prefers are the labelled ones.
 """
 
 from __future__ import annotations
 
-import re
 from array import array
 from dataclasses import dataclass, field
 
@@ -19,15 +15,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ..operators.html_tree import parse
 from ..operators.html_walk import walk
 from .lines import lines_of
 
-#: Words and tags count from this many labelled or sampled lines on.
+#: Words and tags count from this many labelled lines on.
 LEAST_LINES = 4
-#: What one line can add to or take from a region. A line of chrome inside a
-#: body (a date, an advertisement) must not split it, so it takes little.
-GAIN, LOSS = 4.0, -0.5
+#: The cost of a region before it is fitted, and what it never falls below.
+COST, LEAST_COST = 1.0, 0.1
 
 
 @dataclass
@@ -35,164 +29,139 @@ class PageModel:
     words: dict[str, float] = field(default_factory=dict)
     tags: dict[str, float] = field(default_factory=dict)
     bias: float = 0.0
-    residue: dict[str, float] = field(default_factory=dict)
-    residue_bias: float = 0.0
-    amounts: dict[str, float] = field(default_factory=dict)
+    cost: float = COST
+    fitted: bool = False
+    #: The residue model once it is fitted, None before that or without trusted records.
+    residue: object = None
+    residue_fitted: bool = False
 
     def scores(self, lines: list[tuple]) -> list[float]:
         w, t = self.words.get, self.tags.get
         bias = self.bias
         return [
-            sum([w(a, 0.0) for a in words], bias) + sum([t(a, 0.0) for a in tags]) for _, _, words, tags in lines
+            sum([w(a, 0.0) for a in words], bias) + sum([t(a, 0.0) for a in dict.fromkeys(tags)]) for _, _, words, tags in lines
         ]
 
-    def residue_odds(self, words: tuple[str, ...]) -> float:
-        """What a passage adds to the log odds of an error page, placeholder or filler."""
-        r = self.residue.get
-        return sum([r(a, 0.0) for a in words])
-
 
-def best_region(scores: list[float]) -> tuple[int, int]:
-    """First and last index of the contiguous region with the largest sum, (0, -1) if no score is above 0.
+def best_regions(scores: list[float], cost: float) -> list[tuple[int, int]]:
+    """First and last index of the contiguous regions whose scores less `cost` a region sum up highest.
 
-    One linear scan; of equal sums the first region counts.
+    One linear scan keeps the best total with and without an open region, and
+    where each came from. Lines that score below 0 are kept inside a region
+    unless leaving them out gains more than the region that begins behind them
+    costs. Of equal totals the one with fewer lines counts.
     """
-    best, found, total, start = 0.0, (0, -1), 0.0, 0
-    for i, x in enumerate(scores):
-        x = GAIN if x > GAIN else LOSS if x < LOSS else x
-        if total <= 0:
-            total, start = x, i
-        else:
-            total += x
-        if total > best:
-            best, found = total, (start, i)
-    return found
-
-
-def body_lines(lines: list[tuple], scores: list[float]) -> list[int]:
-    """Numbers of the lines of the main body: those of the best region that score above 0 themselves."""
-    first, last = best_region(scores)
-    return [lines[i][0] for i in range(first, last + 1) if scores[i] > 0]
+    outside, inside = 0.0, float("-inf")
+    opened, closed = [], []
+    for x in scores:
+        go_on, begin = inside, outside - cost
+        opened.append(begin > go_on)
+        closed.append(inside > outside)
+        outside, inside = max(outside, inside), max(go_on, begin) + x
+    regions, at, within, last = [], len(scores) - 1, inside > outside, len(scores) - 1
+    while at >= 0:
+        if within:
+            if opened[at]:
+                regions.append((at, last))
+                within = False
+        elif closed[at]:
+            within, last = True, at - 1
+        at -= 1
+    return regions[::-1]
+
+
+def body_lines(lines: list[tuple], scores: list[float], cost: float) -> list[int]:
+    """Numbers of the lines of the main body: those of the best regions."""
+    return [lines[i][0] for first, last in best_regions(scores, cost) for i in range(first, last + 1)]
 
 
 # ---------------------------------------------------------------- samples
 
-#: What a sampled page tells the driver: its different words and tags, and for each line which of them it
-#: has (`cells`, `sizes` many), whether it is a heading (1) or a notice for browsers without scripts (2), whether it
-#: alone shows an error or placeholder, how many words it has, and whether it is labelled as content.
+#: What a labelled page tells the driver: its different words and tags, for each line which of them it has
+#: (`cells`, `sizes` many), and whether it is labelled as content.
 SAMPLE = pa.schema(
     [
         pa.field("tokens", pa.list_(pa.string())),
         pa.field("cells", pa.list_(pa.int32())),
         pa.field("sizes", pa.list_(pa.int32())),
-        pa.field("kinds", pa.list_(pa.int32())),
-        pa.field("plain", pa.list_(pa.bool_())),
-        pa.field("evidence", pa.list_(pa.int32())),
         pa.field("truth", pa.list_(pa.bool_())),
     ]
 )
 _WORD = "w "  # before words, so that they differ from tags
 
 
-def sample_page(html: str, url: str, ranges: list | None, labelled: bool) -> dict[str, list | np.ndarray]:
-    """The columns of SAMPLE of one page; what only the residue model reads is left empty for labelled pages."""
+def sample_page(html: str, url: str, ranges: list | None) -> dict[str, list | np.ndarray]:
+    """The columns of SAMPLE of one page."""
     inside = [(r["start"], r["end"]) for r in ranges or [] if r["start"] is not None and r["end"] is not None]
     known: dict[str, int] = {}
-    cells, sizes, kinds, plain, evidence, truth = array("i"), [], [], [], [], []
-    for number, item, words, tags in lines_of(walk(html or "", url or "")):
+    cells, sizes, truth = array("i"), [], []
+    for number, _, words, tags in lines_of(walk(html or "", url or "")):
         # A tag may come twice (from the heading and the element's surroundings); it counts once.
         row = {known.setdefault(_WORD + w, len(known)) for w in words}
         row.update([known.setdefault(t, len(known)) for t in tags])
         cells.extend(sorted(row))
         sizes.append(len(row))
-        kinds.append(int(item[3][:1] == "#"))
-        truth.append(labelled and any(a <= number <= b for a, b in inside))
-        plain.append(not labelled and trusted_line(item[2], words))
-        evidence.append(0 if labelled else evidence_words(words))
-    for text in [] if labelled else noscript_lines(html or ""):
-        words = words_of_text(text)
-        cells.extend(sorted(known.setdefault(_WORD + w, len(known)) for w in words))
-        sizes.append(len(words))
-        kinds.append(2)
-        truth.append(False)
-        plain.append(trusted_line(text, words))
-        evidence.append(evidence_words(words))
-    own = (list(known), np.array(cells, np.int32), sizes, kinds, plain, evidence, truth)
-    return dict(zip(SAMPLE.names, own))
-
+        truth.append(any(a <= number <= b for a, b in inside))
+    return {"tokens": list(known), "cells": np.array(cells, np.int32), "sizes": sizes, "truth": truth}
 
-class _Lines:
-    """The lines of a sample as arrays: for each its page and flags, for each of its cells its line and token."""
 
-    def __init__(self, sample: pa.Table):
-        flat = {n: sample[n].combine_chunks().flatten() for n in SAMPLE.names}
-        per_page = lambda n: np.asarray(pc.list_value_length(sample[n].combine_chunks()), np.int64)
-        coded = flat["tokens"].dictionary_encode()
-        self.names: list[str] = coded.dictionary.to_pylist()
-        self.page = np.repeat(np.arange(len(sample)), per_page("sizes"))
-        self.sizes = np.asarray(flat["sizes"], np.int64)
-        begin = np.concatenate(([0], np.cumsum(per_page("tokens"))[:-1])) if len(sample) else np.zeros(0, np.int64)
-        local = np.asarray(flat["cells"], np.int64) + np.repeat(begin, per_page("cells"))
-        self.token = np.asarray(coded.indices, np.int64)[local]
-        self.line = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.kinds, self.evidence = np.asarray(flat["kinds"]), np.asarray(flat["evidence"])
-        self.plain, self.truth = (np.asarray(flat[n].to_numpy(zero_copy_only=False), bool) for n in ("plain", "truth"))
-        self.is_word = np.array([n.startswith(_WORD) for n in self.names], bool)
+def fit_body(model: PageModel, sample: pa.Table, epochs: int = 20, rate: float = 0.05) -> None:
+    """Fit weights and cost to the labelled lines of a sample; without content lines the model stays empty.
 
-
-def fit_models(sample: pa.Table, labelled: np.ndarray, unlabelled: np.ndarray) -> PageModel:
-    """Both models from the pages of a sample; the two arrays tell which pages are for the body and the residue model."""
-    model = PageModel()
+    The pages are sequences of lines that lie in a region or not; the weights
+    are those under which the labelled regions are likeliest.
+    """
+    model.fitted = True
+    sample = sample.filter(pc.greater(pc.list_value_length(sample["sizes"]), 0))
     if not len(sample):
-        return model
-    lines = _Lines(sample)
-    weights = _fit_body(model, lines, labelled[lines.page] & (lines.kinds < 2))
-    _fit_residue(model, lines, weights, unlabelled)
-    return model
-
-
-# ---------------------------------------------------------------- body model
-
-
-def _fit_body(model: PageModel, lines: _Lines, chosen: np.ndarray, epochs: int = 12, rate: float = 0.05) -> np.ndarray:
-    """Logistic regression on the chosen lines; gives the weights of all tokens as well."""
-    weights = np.zeros(len(lines.names))
-    y = lines.truth[chosen].astype(float)
-    if not y.any():
-        return weights
-    index = lines.token[chosen[lines.line]]
-    kept = np.bincount(index, minlength=len(lines.names)) >= LEAST_LINES
-    place, inside = np.cumsum(kept) - 1, kept[index]
-    starts = np.concatenate(([0], np.cumsum(inside)))[np.concatenate(([0], np.cumsum(lines.sizes[chosen])))]
-    found = _logistic(place[index[inside]], starts, y, int(kept.sum()), epochs, rate)
-    model.bias = float(found[-1])
-    weights[kept] = found[:-1]
+        return
+    column = lambda n: sample[n].combine_chunks()
+    each = lambda n: np.asarray(pc.list_value_length(column(n)), np.int64)
+    coded = column("tokens").flatten().dictionary_encode()
+    names: list[str] = coded.dictionary.to_pylist()
+    begin = np.concatenate(([0], np.cumsum(each("tokens"))[:-1]))
+    local = np.asarray(column("cells").flatten(), np.int64) + np.repeat(begin, each("cells"))
+    token, sizes = np.asarray(coded.indices, np.int64)[local], np.asarray(column("sizes").flatten(), np.int64)
+    truth = np.asarray(column("truth").flatten().to_numpy(zero_copy_only=False), float)
+    if not truth.any():
+        return
+    kept = np.bincount(token, minlength=len(names)) >= LEAST_LINES
+    place, inside = np.cumsum(kept) - 1, kept[token]
+    starts = np.concatenate(([0], np.cumsum(inside)))[np.concatenate(([0], np.cumsum(sizes)))]
+    found = _fit_chain(place[token[inside]], starts, truth, each("sizes"), int(kept.sum()), epochs, rate)
+    model.bias, model.cost = float(found[-2]), max(LEAST_COST, float(found[-1]))
     for i in np.flatnonzero(kept):
-        name = lines.names[i]
-        if lines.is_word[i]:
-            model.words[name[len(_WORD) :]] = float(weights[i])
+        name = names[i]
+        if name.startswith(_WORD):
+            model.words[name[len(_WORD) :]] = float(found[place[i]])
         else:
-            model.tags[name] = float(weights[i])
-    return weights
+            model.tags[name] = float(found[place[i]])
 
 
-def _logistic(index, starts, y, n, epochs, rate, l2=2e-5, batch=4096):
-    """Minibatch Adam over sparse 0/1 rows; the last weight is the bias."""
-    w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
-    order, lengths, step = np.arange(len(y)), np.diff(starts), 0
-    random = np.random.default_rng(0)
+def _fit_chain(index, starts, y, lengths, n, epochs, rate, l2=2e-5, batch=96):
+    """Minibatch Adam on the likelihood of the labelled regions; the last two weights are the bias and the cost."""
+    w, m, v = np.zeros(n + 2), np.zeros(n + 2), np.zeros(n + 2)
+    w[n + 1] = COST
+    first, cells_of = np.concatenate(([0], np.cumsum(lengths))), np.diff(starts)
+    random, order, step = np.random.default_rng(0), np.arange(len(lengths)), 0
     for epoch in range(epochs):
         random.shuffle(order)
         for at in range(0, len(order), batch):
-            rows = order[at : at + batch]
-            count = lengths[rows]
+            pages = order[at : at + batch]
+            rows = np.concatenate([np.arange(first[i], first[i + 1]) for i in pages])
+            count = cells_of[rows]
             begin = np.concatenate(([0], np.cumsum(count)[:-1]))
             cells = index[np.repeat(starts[rows] - begin, count) + np.arange(count.sum())]
             row = np.repeat(np.arange(len(rows)), count)
             z = np.bincount(row, w[cells], len(rows)) + w[n]
-            error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]
-            g = np.bincount(cells, error[row], n + 1) / len(rows)
-            g[n] = error.mean()
+            is_line = np.arange(lengths[pages].max()) < lengths[pages][:, None]
+            scores, truth = np.zeros(is_line.shape), np.zeros(is_line.shape)
+            scores[is_line], truth[is_line] = z, y[rows]
+            expected, regions = _expected(scores, is_line, w[n + 1])
+            before = np.concatenate((np.zeros((len(pages), 1)), truth[:, :-1]), axis=1)
+            error = (expected - truth)[is_line]
+            g = np.bincount(cells, error[row], n + 2) / len(rows)
+            g[n], g[n + 1] = error.mean(), (((truth == 1) & (before == 0)).sum() - regions) / len(rows)
             g[:n] += l2 * w[:n]
             step += 1
             m = 0.9 * m + 0.1 * g
@@ -201,164 +170,22 @@ def _logistic(index, starts, y, n, epochs, rate, l2=2e-5, batch=4096):
     return w
 
 
-# ------------------------------------------------------------- residue model
-
-# What makes a record a trusted case.
-_PLACEHOLDER = re.compile(
-    r"\{\{[^|{}]*\}\}|<\?=.*?\?>|<%=?.*?%>|\$\{[^}]*\}|\{\$[^}]*\}|@@\w[\w.]*@@|%%[A-Z_]+%%|\[\[\w+\.\w+\]\]|\b__\w+__\b"
-)
-_TROUBLE = re.compile(
-    r"\b(?:404|403|500|502|503|504)\b|not found|introuvable|nicht gefunden|no encontrad|forbidden|access denied"
-    r"|verweigert|refusé|denegado|bad gateway|service unavailable|internal server error|maintenance|wartung|javascript"
-    r"|checking your browser|not available in your region|captcha|database connection|something went wrong",
-    re.I,
-)
-_FILLER = frozenset(
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua"
-    " ullamco laboris nisi duis aute irure velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat"
-    " culpa officia mollit anim laborum".split()
-)
-_HAS_LETTERS = re.compile(r"[^\W\d_]")
-
-
-def trusted_line(text: str, words: tuple[str, ...]) -> bool:
-    """Whether a line alone shows placeholders, filler or an error."""
-    if _PLACEHOLDER.search(text):
-        return True
-    letters = [w for w in words if w.isalpha()]
-    if letters and sum(w in _FILLER for w in letters) >= 0.6 * len(letters):
-        return True
-    return len(letters) <= 12 and _TROUBLE.search(text) is not None
-
-
-def noscript_lines(html: str) -> list[str]:
-    """Texts that a page shows only where scripts are off."""
-    if "<noscript" not in html.lower():
-        return []
-    out = []
-    for node in parse(html).elements():
-        if node.name == "noscript":
-            parts = [c for n in (node, *node.elements()) for c in n.children if type(c) is str]
-            text = " ".join(" ".join(parts).split())
-            if text:
-                out.append(text)
-    return out
-
-
-def evidence_words(words: tuple[str, ...]) -> int:
-    """Different words of a line; in scripts without spaces four letters count as a word."""
-    return sum(1 + len(w) // 8 for w in words if w.isalpha())
-
-
-#: Different words that a body needs to be real content, and that a line needs to count as content.
-BODY_WORDS, LINE_WORDS = 10, 5
-#: Lines that the body model puts lower than this are chrome and no passages of a record.
-CHROME = -6.0
-#: What one passage can add to or take from a record's log odds.
-CLIP = 6.0
-#: A page whose every line has lower odds shows nothing that could be residue.
-DENIED = -2.0
-AMOUNTS = ("none", "little", "much")
-
-
-def words_of_text(text: str) -> tuple[str, ...]:
-    return tuple(set(re.findall(r"[^\W\d_]+|\d+|[^\w\s]", text.lower())))
-
-
-def passages_of(html: str, lines: list[tuple], scores: list[float]) -> list[tuple[str, tuple[str, ...], float]]:
-    """(text, words, score) of what stands in the place of the main body, notices for browsers without scripts included."""
-    found = [(x[1][2], x[2], s) for x, s in zip(lines, scores) if s > CHROME]
-    return found + [(t, words_of_text(t), 0.0) for t in noscript_lines(html)]
-
-
-def _least(score: float) -> float:
-    """A passage speaks against residue only where the body model takes it: chrome around a notice does not matter."""
-    return -CLIP if score > 0 else 0.0
-
-
-def amount_of(lines: list[tuple], scores: list[float], odds) -> str:
-    """How much real content stands in the lines that the body model takes and `odds` does not call residue."""
-    total = 0
-    for (_, item, words, _), score in zip(lines, scores):
-        if score > 0 and item[3][:1] != "#":
-            count = evidence_words(words)
-            if count >= LINE_WORDS and odds(item[2], words) <= 0:
-                total += count
-                if total >= BODY_WORDS:
-                    return "much"
-    return "little" if total else "none"
-
-
-def _fit_residue(model: PageModel, lines: _Lines, weights: np.ndarray, unlabelled: np.ndarray, rounds: int = 8) -> None:
-    """Expectation-maximization over the pages that `unlabelled` marks.
-
-    Trusted records hold no more than a little content and at least one line
-    that alone shows an error, placeholder or filler. All other records are
-    unlabelled: their class is what expectation-maximization finds, starting
-    from records with much content as probable negatives.
-    """
-    own = unlabelled[lines.page]
-    scores = np.bincount(lines.line, weights[lines.token], len(lines.sizes)) + model.bias
-    scores[lines.kinds == 2] = 0.0
-    number = np.cumsum(unlabelled) - 1  # of a page among the unlabelled ones
-    pages_n = int(unlabelled.sum())
-    content = own & (scores > 0) & (lines.kinds == 0) & (lines.evidence >= LINE_WORDS) & ~lines.plain
-    total = np.bincount(number[lines.page[content]], lines.evidence[content], pages_n)
-    amounts = np.where(total >= BODY_WORDS, 2, np.where(total > 0, 1, 0))
-    passage = own & ((scores > CHROME) | (lines.kinds == 2))
-    owner = number[lines.page[passage]]
-    shown = np.bincount(owner, lines.plain[passage], pages_n) > 0
-    sure = shown & (amounts < 2)
-    if not sure.any() or sure.all():
-        return
-    least = np.where(scores[passage] > 0, -CLIP, 0.0)
-    cell = passage[lines.line] & lines.is_word[lines.token]
-    cells, row = lines.token[cell], (np.cumsum(passage) - 1)[lines.line[cell]]
-    kept = np.bincount(cells, minlength=len(lines.names)) >= 2
-    place = np.cumsum(kept) - 1
-    row, cells, n = row[kept[cells]], place[cells[kept[cells]]], int(kept.sum())
-    belief = np.where(sure, 1.0, np.where(amounts == 2, 0.001, 0.3))
-    for _ in range(rounds):
-        each = belief[owner]
-        yes = np.bincount(cells, each[row], n) + 0.1
-        no = np.bincount(cells, 1 - each[row], n) + 0.1
-        odds = np.log(yes / (each.sum() + 1)) - np.log(no / (len(each) - each.sum() + 1))
-        have = np.bincount(amounts, belief, 3) + 0.1
-        miss = np.bincount(amounts, 1 - belief, 3) + 0.1
-        size = np.log(have / have.sum()) - np.log(miss / miss.sum())
-        prior = np.log(belief.sum() / (pages_n - belief.sum()))
-        line = np.clip(np.bincount(row, odds[cells], len(owner)), least, CLIP)
-        z = np.bincount(owner, line, pages_n) + size[amounts] + prior
-        # Chrome that only error pages happen to carry must not outweigh much content.
-        z[amounts == 2] = np.minimum(z[amounts == 2], -CLIP)
-        belief = np.where(sure, 1.0, 1 / (1 + np.exp(-np.clip(z, -30, 30))))
-    model.residue = {lines.names[i][len(_WORD) :]: float(odds[place[i]]) for i in np.flatnonzero(kept)}
-    model.residue_bias = float(prior)
-    model.amounts = {a: float(size[i]) for i, a in enumerate(AMOUNTS)}
-
-
-def residue_record_odds(model: PageModel, html: str, lines: list[tuple], scores: list[float]) -> float:
-    """Log odds that the place of the main body holds nothing but residue.
-
-    Pages with much real content are settled before their passages are scored.
-    A page without any text is no case, nor one with some words of which no line
-    might be residue; one with nothing but chrome is.
-    """
-    if not model.residue or not lines and not noscript_lines(html):
-        return -CLIP
-    amount = amount_of(lines, scores, lambda t, w: model.residue_odds(w))
-    if amount == "much":
-        return -CLIP
-    passages = passages_of(html, lines, scores)
-    if sum(evidence_words(w) for _, _, w, _ in lines) >= BODY_WORDS and max(
-        [model.residue_odds(w) for _, _, w, _ in lines] + [model.residue_odds(w) for _, w, _ in passages]
-    ) < DENIED:
-        return -CLIP
-    odds = model.residue_bias + model.amounts[amount]
-    for _, words, score in passages:
-        odds += min(CLIP, max(_least(score), model.residue_odds(words)))
-    return odds
-
-
-def is_residue_page(model: PageModel, html: str, lines: list[tuple], scores: list[float]) -> bool:
-    return residue_record_odds(model, html, lines, scores) > 0
+def _expected(scores: np.ndarray, is_line: np.ndarray, cost: float) -> tuple[np.ndarray, float]:
+    """Probability of every line to lie in a region, and the expected number of regions, over all choices of regions."""
+    pages, length = scores.shape
+    add = np.logaddexp
+    outside, inside = np.zeros((length + 1, pages)), np.full((length + 1, pages), -1e9)
+    for t in range(length):
+        k, x = is_line[:, t], scores[:, t]
+        inside[t + 1] = np.where(k, add(inside[t], outside[t] - cost) + x, inside[t])
+        outside[t + 1] = np.where(k, add(outside[t], inside[t]), outside[t])
+    whole = add(outside[length], inside[length])
+    rest_out, rest_in = np.zeros(pages), np.zeros(pages)
+    out, regions = np.zeros(scores.shape), 0.0
+    for t in range(length - 1, -1, -1):
+        k, x = is_line[:, t], scores[:, t]
+        out[:, t] = np.where(k, np.exp(np.minimum(inside[t + 1] + rest_in - whole, 0)), 0)
+        regions += np.where(k, np.exp(np.minimum(outside[t] - cost + x + rest_in - whole, 0)), 0).sum()
+        now_in, now_out = add(x + rest_in, rest_out), add(rest_out, x - cost + rest_in)
+        rest_in, rest_out = np.where(k, now_in, rest_in), np.where(k, now_out, rest_out)
+    return out, float(regions)

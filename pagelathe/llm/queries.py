@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from ..sources.tables import read_table
 from . import p1_main_body, p10_spam, p2_overlap, p3_clean_text, p4_residue, p5_repeated_lines, p6_near_pages, p7_splits, p8_encoding, p9_mixing
+from .page_model import PageModel
+
+_models: dict[tuple[str, str], PageModel] = {}
+
+
+def page_model(spark, folder) -> PageModel:
+    """The page models of the tables of a folder: fitted by the first query of a session that needs them, then shared."""
+    return _models.setdefault((spark.sparkContext.applicationId, folder), PageModel())
 
 
 def p1_found(spark, folder):
-    return p1_main_body.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+    return p1_main_body.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"), page_model(spark, folder))
 
 
 def p1_texts(spark, folder):
-    return p1_main_body.texts(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+    return p1_main_body.texts(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"), page_model(spark, folder))
 
 
 def p2_found(spark, folder):
@@ -23,19 +31,19 @@ def p2_report(spark, folder):
 
 
 def p3_found(spark, folder):
-    return p3_clean_text.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+    return p3_clean_text.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"), page_model(spark, folder))
 
 
 def p3_cleaned(spark, folder):
-    return p3_clean_text.cleaned(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+    return p3_clean_text.cleaned(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"), page_model(spark, folder))
 
 
 def p4_found(spark, folder):
-    return p4_residue.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+    return p4_residue.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"), page_model(spark, folder))
 
 
 def p4_kept(spark, folder):
-    return p4_residue.kept(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+    return p4_residue.kept(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"), page_model(spark, folder))
 
 
 def p5_found(spark, folder):
@@ -47,11 +55,11 @@ def p5_cleaned(spark, folder):
 
 
 def p6_found(spark, folder):
-    return p6_near_pages.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+    return p6_near_pages.found(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"), page_model(spark, folder))
 
 
 def p6_groups(spark, folder):
-    return p6_near_pages.groups(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"))
+    return p6_near_pages.groups(read_table(spark, folder, "pages"), read_table(spark, folder, "annotations"), page_model(spark, folder))
 
 
 def p7_found(spark, folder):
