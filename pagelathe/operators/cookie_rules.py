@@ -8,6 +8,7 @@ attribute tests without combinators.
 from __future__ import annotations
 
 import re
+from html import unescape
 
 from .html_tree import Node
 
@@ -112,7 +113,8 @@ _HINTS = (
 
 
 def may_match(html: str) -> bool:
-    low = html.lower()
+    """Whether some rule might match; letters of attributes may be written as numbers."""
+    low = (unescape(html) if "&#" in html else html).lower()
     return any(h in low for h in _HINTS)
 
 

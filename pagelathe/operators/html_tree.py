@@ -30,9 +30,13 @@ _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW_TAGS}
 
 
 class Node:
-    """An element. Children are elements and strings; attributes may be None."""
+    """An element. Children are elements and strings; attributes may be None.
 
-    __slots__ = ("name", "attrs", "parent", "children", "has_text", "has_img", "has_input", "ctx", "lines")
+    `said`, `place` and `memo` keep what was found out about the element until
+    `forget` is called on it: its text, its number in a list, and notes of features.
+    """
+
+    __slots__ = ("name", "attrs", "parent", "children", "has_text", "has_img", "has_input", "ctx", "lines", "said", "place", "memo")
 
     def __init__(self, name: str, attrs: dict | None, parent: "Node | None"):
         self.name = name
@@ -40,8 +44,18 @@ class Node:
         self.parent = parent
         self.children: list = []
         self.has_text = self.has_img = self.has_input = False
-        self.ctx = None
-        self.lines = 0
+        self.ctx = self.said = self.memo = None
+        self.lines = self.place = 0
+
+    def forget(self) -> None:
+        """To be called after the children changed: the text up to the root and the numbers of the children are found out anew."""
+        node: Node | None = self
+        while node is not None:
+            node.said = node.memo = None
+            node = node.parent
+        for child in self.children:
+            if type(child) is Node:
+                child.place = 0
 
     def get(self, key: str, default: str = "") -> str:
         return self.attrs.get(key, default) if self.attrs else default
