@@ -9,8 +9,10 @@ no prose, and a page most of whose words stand in such stretches is flagged.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,8 +82,11 @@ def tokens_of(text: str) -> list[str]:
         text = _LINK_IN_TEXT.sub(r"\1", text)
     if any(s in text for s in _MISREAD_SIGNS):
         text = _MISREAD.sub(_reread, text)
+    found = _TOKEN.findall(text)
+    if max(text, default="") < "぀":
+        return found
     out: list[str] = []
-    for t in _TOKEN.findall(text):
+    for t in found:
         if t[0] >= "぀":
             out += _UNSPACED.findall(t)
         else:
@@ -104,7 +109,7 @@ class _Kinds(dict):
 
     def clear(self) -> None:
         super().clear()
-        self.bytes, self.hashes, self.parts = bytearray(), [], bytearray()
+        self.bytes, self.hashes, self.parts = bytearray(), array("I"), bytearray()
 
     def __missing__(self, t: str) -> int:
         c, part, hashed, code = t[0], 0, 0, 0
@@ -164,10 +169,10 @@ def read_texts(texts: list[str | None]) -> Tokens:
     split = [tokens_of(t) if t else [] for t in texts]
     if len(_kinds) > MEMORY:
         _kinds.clear()
-    numbers = np.array([n for tokens in split for n in map(_kinds.__getitem__, tokens)], np.int64)
     sizes = np.array([len(t) for t in split], np.int64)
-    codes = np.frombuffer(_kinds.bytes, np.uint8)[numbers] if len(numbers) else np.zeros(0, np.uint8)
-    hashes = np.array(_kinds.hashes, np.uint32)[numbers] if len(numbers) else np.zeros(0, np.uint32)
+    numbers = np.fromiter(map(_kinds.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+    codes = np.frombuffer(bytes(_kinds.bytes), np.uint8)[numbers] if len(numbers) else np.zeros(0, np.uint8)
+    hashes = np.array(_kinds.hashes)[numbers] if len(numbers) else np.zeros(0, np.uint32)
     parts = np.frombuffer(bytes(_kinds.parts), np.uint8)[numbers] if len(numbers) else np.zeros(0, np.uint8)
     codes = codes | np.where(_recent(hashes, sizes) & (parts & _REPEATABLE > 0), np.uint8(AGAIN), np.uint8(0))
     text = np.repeat(np.arange(len(sizes)), sizes)
@@ -187,7 +192,7 @@ def read_texts(texts: list[str | None]) -> Tokens:
 def _recent(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Whether a word stands among the NEAR tokens before it in its text."""
     out = np.zeros(len(hashes), bool)
-    text = np.repeat(np.arange(len(sizes)), sizes)
+    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     for d in range(1, min(NEAR, len(hashes) - 1) + 1):
         out[d:] |= (hashes[d:] == hashes[:-d]) & (text[d:] == text[:-d])
     return out & (hashes > 0)
@@ -214,76 +219,117 @@ def class_sequence(codes: np.ndarray, hashes: np.ndarray, words: np.ndarray, pla
     return np.where(again, first + np.where(unspaced, CLASSES["again-unspaced"], CLASSES["again"]), out)
 
 
-def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(wanted))
-    at = np.searchsorted(keys, wanted)
-    at[at == len(keys)] = 0
-    return np.where(keys[at] == wanted, values[at], 0.0)
+class _Table:
+    """Where whole numbers stand in a sorted array, by a table of their hashes; -1 for those that don't."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.shift = np.uint64(64 - max(4, int(4 * len(keys)).bit_length()))
+        self.slots = np.full(1 << (64 - int(self.shift)), -1, np.int32)
+        self.slots[self._slot(keys)] = np.arange(len(keys), dtype=np.int32)
+        # Of keys with one slot the last one holds it; the others are sought.
+        self.lost = len(keys) > 0 and bool((self.slots[self._slot(keys)] != np.arange(len(keys))).any())
+
+    def _slot(self, x: np.ndarray) -> np.ndarray:
+        return ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(wanted), -1, np.int32)
+        out = self.slots[self._slot(wanted)]
+        other = np.flatnonzero((out >= 0) & (self.keys[out] != wanted))
+        if len(other):
+            at = np.minimum(np.searchsorted(self.keys, wanted[other]), len(self.keys) - 1)
+            out[other] = np.where(self.keys[at] == wanted[other], at, -1)
+        return out
+
+
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    """For every token the place of the first one of its text."""
+    return np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _means(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Mean of the values of each text; 0 for one without any."""
+    return np.bincount(np.repeat(np.arange(len(sizes)), sizes), values, len(sizes)) / np.maximum(sizes, 1)
 
 
-def stretch_means(costs: np.ndarray) -> np.ndarray:
-    """For every token the mean cost of the stretch around it; a shorter text is one stretch."""
-    n = len(costs)
-    if n <= STRETCH:
-        return np.full(n, costs.mean() if n else 0.0)
+def stretch_means(costs: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For every token the mean cost of the stretch around it in its text; a shorter text is one stretch."""
+    if not len(costs):
+        return costs
     sums = np.concatenate(([0.0], np.cumsum(costs)))
-    means = (sums[STRETCH:] - sums[:-STRETCH]) / STRETCH
-    return means[np.clip(np.arange(n) - STRETCH // 2, 0, len(means) - 1)]
+    start, size = _starts(sizes), np.repeat(sizes, sizes)
+    wide = np.minimum(size, STRETCH)
+    first = start + np.clip(np.arange(len(costs)) - start - STRETCH // 2, 0, size - wide)
+    return (sums[first + wide] - sums[first]) / wide
 
 
 @dataclass
 class ProseModel:
     words: np.ndarray  # hashes of the function words, in order
     places: np.ndarray  # their numbers, the commonest first
-    tri: tuple[np.ndarray, np.ndarray]
-    bi: tuple[np.ndarray, np.ndarray]
-    one: np.ndarray
+    keys: np.ndarray  # trigrams of prose, in order
+    tri: np.ndarray  # bits of the last class of each of them
+    bi: np.ndarray  # bits of the second class of all pairs of classes, if the trigram is none of prose
     low: float = 0.0
     high: float = np.inf
 
+    def __post_init__(self):
+        self.table = _Table(self.keys)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "table"}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.__post_init__()
+
     @property
     def size(self) -> int:
         return _size(self.words)
 
     def costs_of(self, keys: np.ndarray) -> np.ndarray:
         """Bits of the last class of every trigram."""
+        at = self.table.find(keys)
         n = self.size
-        c = keys % n
-        p = WEIGHTS[0] * _find(*self.tri, keys) + WEIGHTS[1] * _find(*self.bi, keys % (n * n))
-        return -np.log2(p + WEIGHTS[2] * self.one[c] + WEIGHTS[3] / n)
+        other = self.bi[keys % (n * n)]
+        return np.where(at >= 0, self.tri[at], other) if len(self.tri) else other
 
-    def judge_tokens(self, codes: np.ndarray, hashes: np.ndarray, in_sentences: float) -> tuple[float, float, bool]:
-        """(bits per token, part of the words in stretches that are no prose, flagged); (0, 0, False) without words."""
+    def judge_tokens(self, sizes: np.ndarray, codes: np.ndarray, hashes: np.ndarray, in_sentences: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By text: bits per token, part of the words in stretches that are no prose, flagged; 0, 0 and False without words."""
+        costs = self.costs_of(trigrams(sizes, codes, hashes, self.words, self.places))
+        means = stretch_means(costs, sizes)
         is_word = codes & ALNUM > 0
-        if not is_word.any():
-            return 0.0, 0.0, False
-        costs = self.costs_of(_trigrams(class_sequence(codes, hashes, self.words, self.places), self.size))
-        means = stretch_means(costs)
-        odd = (means > self.high) | (means < self.low)
-        share = float((odd & is_word).sum() / is_word.sum())
-        flagged = share > SURE
-        if DOUBT < share <= SURE:
-            flagged = bool(in_sentences < (0.5 if share > HALF else 0.2))
-        return float(costs.mean()), share, flagged
+        odd = ((means > self.high) | (means < self.low)) & is_word
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        words = np.bincount(text, is_word, len(sizes))
+        share = np.bincount(text, odd, len(sizes)) / np.maximum(words, 1)
+        few = in_sentences < np.where(share > HALF, 0.5, 0.2)
+        return np.where(words > 0, _means(costs, sizes), 0.0), share, (share > SURE) | (share > DOUBT) & few
 
     def judge(self, text: str) -> tuple[float, float, bool]:
         t = read_texts([text])
-        return self.judge_tokens(t.bytes, t.hashes, float(t.in_sentences[0]))
+        bits, share, flagged = self.judge_tokens(t.sizes, t.bytes, t.hashes, t.in_sentences)
+        return float(bits[0]), float(share[0]), bool(flagged[0])
 
 
 def _train(words: np.ndarray, places: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> ProseModel:
-    """Counts of class trigrams, as probabilities."""
+    """Counts of class trigrams, as bits; `keys` stay the same, whatever their counts are."""
     size = _size(words)
-    keys, counts = keys[counts > 0], counts[counts > 0]
 
-    def conditional(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def conditional(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
         pasts, at = np.unique(keys // size, return_inverse=True)
-        return keys, counts / np.bincount(at, counts, len(pasts))[at]
+        return counts / np.maximum(np.bincount(at, counts, len(pasts))[at], 1)
 
     ones = np.bincount(keys % size, counts, size)
     one = (ones + 0.5) / (ones.sum() + 0.5 * size)
-    return ProseModel(words, places, conditional(keys, counts), conditional(*_sums(keys % (size * size), counts)), one)
+    pairs, n = _sums(keys % (size * size), counts)
+    two = np.zeros(size * size)
+    two[pairs] = conditional(pairs, n)
+    p = WEIGHTS[1] * two + np.tile(WEIGHTS[2] * one + WEIGHTS[3] / size, size)
+    tri = -np.log2(p[keys % (size * size)] + WEIGHTS[0] * conditional(keys, counts))
+    return ProseModel(words, places, keys, tri, -np.log2(p))
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -304,29 +350,36 @@ def _quantile(steps: np.ndarray, counts: np.ndarray, part: float) -> int:
 def _fit(words: np.ndarray, places: np.ndarray, keys: np.ndarray, counts: np.ndarray, tally: Callable, rounds: int) -> ProseModel:
     """The model of all prose texts, of which each is a sequence of places in `keys`, the class trigrams in order.
 
-    `tally(f)` gives the different values of `f(sequence)`, in order, with their counts over all texts.
+    `tally(f)` gives the different values of `f(places, sizes)` over texts that
+    stand one after the other, in order, with their counts over all texts.
     """
-    def kept(x: np.ndarray, costs: np.ndarray, limit: int) -> bool:
-        return bool(_steps(costs[x].mean()) <= limit)
+
+    def kept(x: np.ndarray, sizes: np.ndarray, costs: np.ndarray, limit: int) -> np.ndarray:
+        return _steps(_means(costs[x], sizes)) <= limit
 
     costs, limit = np.zeros(len(keys)), 0
     for _ in range(rounds):
-        costs = _train(words, places, keys, counts).costs_of(keys)
-        limit = _quantile(*tally(lambda x: _steps(costs[x].mean(keepdims=True))), 0.95)
-        at, n = tally(lambda x: x if kept(x, costs, limit) else x[:0])
+        costs = _train(words, places, keys, counts).tri
+        limit = _quantile(*tally(lambda x, sizes: _steps(_means(costs[x], sizes))), 0.95)
+        at, n = tally(lambda x, sizes: x[np.repeat(kept(x, sizes, costs, limit), sizes)])
         counts = np.zeros(len(keys), np.int64)
         counts[at] = n
-    model = _train(words, places, keys, counts)
-    last = model.costs_of(keys)
-    steps, n = tally(lambda x: _steps(stretch_means(last[x])) if kept(x, costs, limit) else x[:0])
-    model.low, model.high = _quantile(steps, n, LOWEST) / STEPS, (_quantile(steps, n, HIGHEST) + 1) / STEPS
-    return model
+    last = _train(words, places, keys, counts)
+    steps, n = tally(lambda x, sizes: _steps(stretch_means(last.tri[x], sizes)[np.repeat(kept(x, sizes, costs, limit), sizes)]))
+    known = counts > 0
+    low, high = _quantile(steps, n, LOWEST) / STEPS, (_quantile(steps, n, HIGHEST) + 1) / STEPS
+    return ProseModel(words, places, keys[known], last.tri[known], last.bi, low, high)
 
 
-def _trigrams(x: np.ndarray, size: int) -> np.ndarray:
-    """Class trigrams of a sequence, after two classes that mark the beginning."""
-    x = np.concatenate((np.full(2, size - 1), x))
-    return (x[:-2] * size + x[1:-1]) * size + x[2:]
+def trigrams(sizes: np.ndarray, codes: np.ndarray, hashes: np.ndarray, words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Class trigrams of texts, one for each token; two classes of their own mark the beginning of a text."""
+    size = _size(words)
+    x = class_sequence(codes, hashes, words, places)
+    place = np.arange(len(x)) - _starts(sizes)
+    before = np.concatenate(([0], x[:-1])) if len(x) else x
+    last = np.where(place > 0, before, size - 1)
+    second = np.where(place > 1, np.concatenate(([0], before[:-1])) if len(x) else x, size - 1)
+    return (second * size + last) * size + x
 
 
 def _size(words: np.ndarray) -> int:
@@ -357,15 +410,12 @@ def fit(texts: list[str], rounds: int = 3) -> ProseModel | None:
     """
     t = read_texts(texts)
     words, places = _function_words(*_vocabulary(t.sizes, t.bytes, t.hashes))
-    size, ends = _size(words), np.cumsum(t.sizes)
-    prose = [
-        _trigrams(class_sequence(t.bytes[e - n : e], t.hashes[e - n : e], words, places), size) for e, n, good in zip(ends, t.sizes, t.prose) if good
-    ]
-    if not prose:
+    prose = np.repeat(t.prose, t.sizes)
+    sizes = t.sizes[t.prose]
+    if not len(sizes):
         return None
-    keys, counts = np.unique(np.concatenate(prose), return_counts=True)
-    rows = [np.searchsorted(keys, x) for x in prose]
-    return _fit(words, places, keys, counts, lambda f: np.unique(np.concatenate([f(x) for x in rows]), return_counts=True), rounds)
+    keys, rows, counts = np.unique(trigrams(sizes, t.bytes[prose], t.hashes[prose], words, places), return_inverse=True, return_counts=True)
+    return _fit(words, places, keys, counts, lambda f: np.unique(f(rows, sizes), return_counts=True), rounds)
 
 
 _READ = "doc_id bigint, codes binary, hashes binary, in_sentences double, prose boolean"
@@ -389,9 +439,11 @@ def tokens_table(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _READ)
 
 
-def _arrays(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for codes, hashes in zip(batch.column("codes").to_pylist(), batch.column("hashes").to_pylist()):
-        yield np.frombuffer(codes, np.uint8), np.frombuffer(hashes, np.uint32)
+def _tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sizes, codes, hashes) of the texts of a batch."""
+    codes = batch.column("codes").to_pylist()
+    sizes = np.array([len(c) for c in codes], np.int64)
+    return sizes, np.frombuffer(b"".join(codes), np.uint8), np.frombuffer(b"".join(batch.column("hashes").to_pylist()), np.uint32)
 
 
 def _counted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -414,41 +466,37 @@ def fit_tokens(read: DataFrame, rounds: int = 3) -> ProseModel | None:
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = list(_arrays(batch))
-            if pairs:
-                codes, hashes = (np.concatenate(x) for x in zip(*pairs))
-                yield _value_batch(*_vocabulary(np.array([len(c) for c, _ in pairs]), codes, hashes))
+            yield _value_batch(*_vocabulary(*_tokens(batch)))
 
     counts = read.mapInArrow(vocabulary, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "value").limit(FUNCTION_WORDS).toArrow()
     words, places = _function_words(np.asarray(top["value"], np.int64), np.asarray(top["n"], np.int64))
-    size = _size(words)
     prose = read.where("prose").select("codes", "hashes")
 
-    def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [_trigrams(class_sequence(c, h, words, places), size) for c, h in _arrays(batch)]
-            if got:
-                yield _value_batch(*np.unique(np.concatenate(got), return_counts=True))
+            yield _value_batch(*np.unique(trigrams(*_tokens(batch), words, places), return_counts=True))
 
-    keys, n = _counted(prose.mapInArrow(trigrams, "value bigint, n bigint"))
+    keys, n = _counted(prose.mapInArrow(count, "value bigint, n bigint"))
     if not len(keys):
         return None
     shared = read.sparkSession.sparkContext.broadcast(keys)
 
     def in_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _Table(shared.value)
         for batch in batches:
-            got = [np.searchsorted(shared.value, _trigrams(class_sequence(c, h, words, places), size)) for c, h in _arrays(batch)]
-            yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int32).tobytes() for x in got], pa.binary())], names=["x"])
+            sizes, codes, hashes = _tokens(batch)
+            found, ends = table.find(trigrams(sizes, codes, hashes, words, places)), np.cumsum(sizes)
+            yield pa.RecordBatch.from_arrays([pa.array([found[e - k : e].tobytes() for e, k in zip(ends, sizes)], pa.binary())], names=["x"])
 
     rows = prose.mapInArrow(in_places, "x binary").checkpoint()
 
     def tally(f: Callable) -> tuple[np.ndarray, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                got = [f(np.frombuffer(x, np.int32).astype(np.int64)) for x in batch.column("x").to_pylist()]
-                if got:
-                    yield _value_batch(*np.unique(np.concatenate(got), return_counts=True))
+                x = batch.column("x").to_pylist()
+                sizes = np.array([len(b) // 4 for b in x], np.int64)
+                yield _value_batch(*np.unique(f(np.frombuffer(b"".join(x), np.int32), sizes), return_counts=True))
 
         return _counted(rows.mapInArrow(run, "value bigint, n bigint"))
 
@@ -477,12 +525,10 @@ def scores(documents: DataFrame, model: ProseModel | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            told = batch.column("in_sentences").to_pylist()
-            got = [known.judge_tokens(c, h, s) if known is not None else (0.0, 0.0, False) for (c, h), s in zip(_arrays(batch), told)]
-            bits, share, flags = ([g[i] for g in got] for i in range(3))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(bits, pa.float64()), pa.array(share, pa.float64()), pa.array(flags, pa.bool_())], names=["doc_id", "bits", "odd_share", "flagged"]
-            )
+            none = np.zeros(batch.num_rows)
+            told = np.asarray(batch.column("in_sentences"), float)
+            bits, share, flags = known.judge_tokens(*_tokens(batch), told) if known is not None else (none, none, none > 0)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits), pa.array(share), pa.array(flags)], names=["doc_id", "bits", "odd_share", "flagged"])
 
     return read.mapInArrow(run, "doc_id bigint, bits double, odd_share double, flagged boolean")
 
