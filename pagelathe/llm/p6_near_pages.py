@@ -30,7 +30,7 @@ from .rare_runs import candidates
 #: Words of a run, and the share of runs that a pair must have in common.
 RUN, LEAST_SIMILARITY = 3, 0.6
 #: Trees of the forest, the longest prefix in minima, and the recall that shortening must reach.
-TREES, LONGEST, RECALL = 40, 5, 0.9999
+TREES, LONGEST, RECALL = 40, 4, 0.9999
 #: A prefix that more bodies share is too common to pair them; they are paired by their rare runs.
 MOST_IN_BUCKET = 100
 #: A candidate is set aside without its sets being read if so few minima agree
@@ -61,11 +61,11 @@ def least_agreement(similarity: float, count: int, doubt: float = DOUBT) -> int:
     return count
 
 
-_FIELDS = pa.schema([pa.field("body", pa.int64()), pa.field("runs", pa.list_(pa.int64())), pa.field("labels", pa.binary()), pa.field("signature", pa.binary())])
+_FIELDS = pa.schema([pa.field("body", pa.int64()), pa.field("runs", pa.list_(pa.int64())), pa.field("signature", pa.binary())])
 
 
 def _body_sets(model: PageModel) -> Callable:
-    none = {"body": None, "runs": None, "labels": None, "signature": None}
+    none = {"body": None, "runs": None, "signature": None}
 
     def result(html, items, lines, scores) -> dict:
         kept = set(body_lines(lines, scores, model.cost))
@@ -73,22 +73,18 @@ def _body_sets(model: PageModel) -> Callable:
         runs = np.unique(shingles.run_hashes(shingles.word_hashes(shingles.words_of(text)), RUN))
         if not len(runs):
             return none
-        minima = shingles.signature(runs, TREES * LONGEST)
-        return {
-            "body": shingles.set_hash(runs),
-            "runs": runs.astype(np.int64),
-            "labels": minima.astype("<u4").tobytes(),
-            "signature": minima.astype("<u4").view("<u2")[::2].tobytes(),
-        }
+        minima = shingles.signature(runs, TREES * LONGEST).astype("<u4").view("<u2")[::2]
+        return {"body": shingles.set_hash(runs), "runs": runs.astype(np.int64), "signature": minima.tobytes()}
 
     return result
 
 
 def body_sets(pages: DataFrame, annotations: DataFrame, model: PageModel | None) -> DataFrame:
-    """(page_id, body, runs, labels, signature) of the current successful pages with a main body that is no residue.
+    """(page_id, body, runs, signature) of the current successful pages with a main body that is no residue.
 
-    `labels` are the minima of all trees, LONGEST each. Bodies of fewer than RUN
-    words have no runs and are left out: they are similar to nothing.
+    The signature has LONGEST minima for each tree, of which the lower 16 bits
+    are kept. Bodies of fewer than RUN words have no runs and are left out:
+    they are similar to nothing.
     """
     done = page_results(pages, annotations, model, _FIELDS, _body_sets)
     return done.where("status = 'success' and not residue and runs is not null").select("page_id", *_FIELDS.names)
@@ -98,31 +94,27 @@ _ENTRY = pa.schema([pa.field("key", pa.int64()), pa.field("node", pa.int64()), p
 
 
 def forest(sets: DataFrame, shortest: int) -> DataFrame:
-    """(key, node, rest): for every body and tree the node at depth `shortest`, and the minima below it as one number.
+    """(key, node, rest): for every body and tree the node at depth `shortest`, and the minima below it, the first one highest.
 
-    `sets` has key and labels.
+    `sets` has key and signature.
     """
     power = shingles.mix(np.arange(1, shortest + 1, dtype=np.uint64)) | np.uint64(1)
-    below = LONGEST - shortest
 
     def run(batches):
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            labels = np.frombuffer(b"".join(batch.column("labels").to_pylist()), "<u4").reshape(n, TREES, LONGEST)
-            top = labels[:, :, :shortest].astype(np.uint64)
-            node = shingles.mix((shingles.mix(top + np.uint64(1)) * power).sum(axis=2, dtype=np.uint64) + np.arange(TREES, dtype=np.uint64))
-            # Sixty-four bits are shared out between the minima below the node, the first ones in the highest bits.
+            labels = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(n, TREES, LONGEST).astype(np.uint64)
+            top = shingles.mix(labels[:, :, :shortest] + np.uint64(1)) * power
+            node = shingles.mix(top.sum(axis=2, dtype=np.uint64) + np.arange(TREES, dtype=np.uint64))
             rest = np.zeros((n, TREES), np.uint64)
-            width = 64 // max(below, 1)
-            for i in range(below):
-                part = labels[:, :, shortest + i].astype(np.uint64) & np.uint64((1 << min(width, 32)) - 1)
-                rest |= part << np.uint64(64 - width * (i + 1))
+            for i in range(shortest, LONGEST):
+                rest = (rest << np.uint64(16)) | labels[:, :, i]
             keys = np.repeat(np.asarray(batch.column("key"), np.int64), TREES)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node.ravel().astype(np.int64)), pa.array(rest.ravel().astype(np.int64))], schema=_ENTRY)
 
-    return sets.select("key", "labels").mapInArrow(run, "key bigint, node bigint, rest bigint")
+    return sets.select("key", "signature").mapInArrow(run, "key bigint, node bigint, rest bigint")
 
 
 def meetings(sets: DataFrame, shortest: int, most: int = MOST_IN_BUCKET) -> tuple[DataFrame, DataFrame]:
@@ -132,13 +124,12 @@ def meetings(sets: DataFrame, shortest: int, most: int = MOST_IN_BUCKET) -> tupl
     """
     entries = forest(sets, shortest)
     sizes = entries.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").checkpoint()
-    shared = entries.join(sizes.where(F.col("n") <= most).select("node"), "node", "left_semi").checkpoint()
+    shared = entries.join(sizes.where(F.col("n") <= most).select("node"), "node", "left_semi")
     busy = spread_join(entries, sizes.where(F.col("n") > most).select("node"), ["node"], ["key"], "left_semi").select("key").distinct()
-    below, width = LONGEST - shortest, 64 // max(LONGEST - shortest, 1)
     depth = F.lit(shortest)
-    for i in range(below):
-        same = F.shiftrightunsigned(F.col("ra").bitwiseXOR(F.col("rb")), 64 - width * (i + 1)) == 0
-        depth = F.when(same, shortest + i + 1).otherwise(depth) if i == 0 else F.when(same & (depth == shortest + i), shortest + i + 1).otherwise(depth)
+    for i in range(shortest, LONGEST):
+        # The minima from the node down to this one are equal: nothing is left of their difference.
+        depth = F.when(F.shiftrightunsigned(F.col("ra").bitwiseXOR(F.col("rb")), 16 * (LONGEST - 1 - i)) == 0, i + 1).otherwise(depth)
     pairs = (
         shared.select(F.col("key").alias("a"), "node", F.col("rest").alias("ra"))
         .join(shared.select(F.col("key").alias("b"), "node", F.col("rest").alias("rb")), "node")
@@ -149,14 +140,19 @@ def meetings(sets: DataFrame, shortest: int, most: int = MOST_IN_BUCKET) -> tupl
     return pairs, busy
 
 
-def verified(pairs: DataFrame, sets: DataFrame, least: float, agree: int) -> DataFrame:
+def likely(pairs: DataFrame, signatures: DataFrame, agree: int) -> DataFrame:
+    """The pairs (a, b, depth) of whose minima at least `agree` are equal."""
+    signed = lambda name: signatures.select(F.col("key").alias(name), F.col("signature").alias(f"s{name}"))
+    return pairs.join(signed("a"), "a").join(signed("b"), "b").mapInArrow(_agreeing(agree), "a bigint, b bigint, depth int")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """(a, b, similarity) of the pairs (a, b) whose whole sets are at least so similar."""
-    signed = lambda name: sets.select(F.col("key").alias(name), F.col("signature").alias(f"s{name}"))
-    likely = pairs.select("a", "b").join(signed("a"), "a").join(signed("b"), "b").mapInArrow(_agreeing(agree), "a bigint, b bigint")
     own = lambda name: sets.select(F.col("key").alias(name), F.col("runs").alias(f"r{name}"))
     common = F.size(F.array_intersect("ra", "rb"))
     return (
-        likely.join(own("a"), "a")
+        pairs.select("a", "b")
+        .join(own("a"), "a")
         .join(own("b"), "b")
         .select("a", "b", (common / (F.size("ra") + F.size("rb") - common)).alias("similarity"))
         .where(F.col("similarity") >= least)
@@ -171,35 +167,37 @@ def _agreeing(agree: int):
                 a = np.frombuffer(b"".join(batch.column("sa").to_pylist()), "<u2").reshape(n, -1)
                 b = np.frombuffer(b"".join(batch.column("sb").to_pylist()), "<u2").reshape(n, -1)
                 keep = pa.array((a == b).sum(axis=1) >= agree)
-                yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "depth")], names=["a", "b", "depth"])
 
     return run
 
 
-def near_pairs(sets: DataFrame, least: float, most: int = MOST_IN_BUCKET) -> DataFrame:
-    """(a, b, similarity), a < b, of the keys of `sets` (key, runs, labels, signature) that are at least so similar.
+def near_pairs(signatures: DataFrame, sets: DataFrame, least: float, most: int = MOST_IN_BUCKET) -> DataFrame:
+    """(a, b, similarity), a < b, of the keys of `signatures` (key, signature) and `sets` (key, runs) that are at least so similar.
 
     Prefixes are shortened one minimum at a time. After each step every pair
     found counts as one over its chance to have met by then, which estimates
     how many there are; once the pairs found are the part RECALL of that, the
     shorter prefixes are left. No group of bodies is ever gathered: nodes of
     more than `most` bodies pair nothing, their bodies are joined exactly among
-    themselves. Bodies that are equal must be one row.
+    themselves. Bodies that are equal must be one row. Only the sets of bodies
+    that some candidate needs are read.
     """
     shortest, agree = shortest_prefix(least), least_agreement(least, TREES * LONGEST)
-    pairs, busy = meetings(sets, shortest, most)
-    pairs = pairs.checkpoint()
-    parts = []
+    pairs, busy = meetings(signatures, shortest, most)
+    pairs, busy = likely(pairs, signatures, agree).checkpoint(), busy.checkpoint()
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).union(busy).distinct()
+    sets = sets.join(needed, "key", "left_semi").checkpoint()
+    parts, found, there = [], 0, 0.0
     for length in range(LONGEST, shortest - 1, -1):
-        parts.append(verified(pairs.where(F.col("depth") == length), sets, least, agree).checkpoint())
+        parts.append(verified(pairs.where(F.col("depth") == length), sets, least).checkpoint())
         met = 1 - F.pow(1 - F.pow("similarity", F.lit(length)), F.lit(TREES))
         sums = [p.agg(F.count("*"), F.sum(1 / F.greatest(met, F.lit(1e-9)))).first() for p in parts]
-        there = sum(s[1] or 0.0 for s in sums)
-        if length > shortest and there and sum(s[0] for s in sums) >= RECALL * there:
+        found, there = sum(s[0] for s in sums), sum(s[1] or 0.0 for s in sums)
+        if there and found >= RECALL * there:
             break
     hot = sets.join(busy, "key", "left_semi").select("key", "runs")
-    exact = candidates(hot, hot, least).where("a < b")
-    parts.append(verified(exact, sets, least, 0))
+    parts.append(verified(candidates(hot, hot, least).where("a < b"), sets, least))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
@@ -214,11 +212,13 @@ def similar_bodies(pages: DataFrame, annotations: DataFrame, model: PageModel |
     wrong match is below 10^-15.
     """
     use_checkpoints(pages.sparkSession)
-    sets = body_sets(pages, annotations, model).withColumn("mark", F.xxhash64("runs")).checkpoint()
-    named = sets.groupBy("body", "mark").agg(F.min("page_id").alias("key"))
-    classes = spread_join(sets.select("page_id", "body", "mark"), named, ["body", "mark"], ["page_id"]).select("page_id", "key")
-    ones = sets.join(named.select(F.col("key").alias("page_id")), "page_id", "left_semi").withColumnRenamed("page_id", "key").drop("body", "mark")
-    return classes, near_pairs(ones, least)
+    sets = body_sets(pages, annotations, model)
+    small = sets.select("page_id", "body", F.xxhash64("runs").alias("mark"), "signature").checkpoint()
+    named = small.groupBy("body", "mark").agg(F.min("page_id").alias("key"))
+    classes = spread_join(small.select("page_id", "body", "mark"), named, ["body", "mark"], ["page_id"]).select("page_id", "key").checkpoint()
+    heads = classes.where("page_id = key").select("key")
+    signatures = small.select(F.col("page_id").alias("key"), "signature").join(heads, "key", "left_semi").checkpoint()
+    return classes, near_pairs(signatures, sets.select(F.col("page_id").alias("key"), "runs"), least)
 
 
 def found(pages: DataFrame, annotations: DataFrame, model: PageModel | None = None) -> DataFrame:
@@ -229,7 +229,7 @@ def found(pages: DataFrame, annotations: DataFrame, model: PageModel | None = No
     rows of a large class are dealt out over several tasks.
     """
     classes, pairs = similar_bodies(pages, annotations, model)
-    pairs, classes = pairs.select("a", "b").checkpoint(), classes.checkpoint()
+    pairs = pairs.select("a", "b").checkpoint()
     left = classes.select(F.col("key").alias("a"), F.col("page_id").alias("x"))
     right = classes.select(F.col("key").alias("b"), F.col("page_id").alias("y"))
     meet = pairs.select("a", "b").union(left.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a", F.col("a").alias("b")))

@@ -123,24 +123,25 @@ def page_results(pages: DataFrame, annotations: DataFrame, model: PageModel | No
 
     `result(model)` gives the function for `map_pages`. What is not fitted yet
     in `model` is fitted, and stays in it for other queries. The html is walked
-    once: the residue model is fitted on what the walk left of every record.
+    once: the residue model is fitted on what the walk left of the current rows,
+    which is kept for that.
     """
     model = model if model is not None else PageModel()
     if not model.fitted:
         fit_body_model(pages, annotations, model=model)
-    mapped = map_pages(pages, model, fields, result(model), carry)
+    mapped = latest(map_pages(pages, model, fields, result(model), carry), "page_id", "scraped_at")
     if not model.residue_fitted:
         use_checkpoints(pages.sparkSession)
         mapped = mapped.checkpoint()
         model.residue = fit_residue(mapped)
         model.residue_fitted = True
-    return latest(with_residue(mapped, model.residue), "page_id", "scraped_at")
+    return with_residue(mapped, model.residue)
 
 
 def fit_page_model(pages: DataFrame, annotations: DataFrame, labelled: int = LABELLED) -> PageModel:
     """Both models, fitted ahead of the queries that share them."""
     use_checkpoints(pages.sparkSession)
     model = fit_body_model(pages, annotations, labelled)
-    kept = map_pages(pages, model, pa.schema([]), lambda *_: {}).checkpoint()
+    kept = latest(map_pages(pages, model, pa.schema([]), lambda *_: {}), "page_id", "scraped_at").checkpoint()
     model.residue, model.residue_fitted = fit_residue(kept), True
     return model

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from html import unescape
 from math import exp
 
 import numpy as np
@@ -21,8 +22,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.html_tree import parse
-
 #: Slots that words are counted in.
 SLOTS = 1 << 18
 #: Lines that score lower are no passages.
@@ -40,6 +39,7 @@ _PLACEHOLDER = re.compile(
     r"\{\{[^|{}]*\}\}|<\?=.*?\?>|<%=?.*?%>|\$\{[^}]*\}|\{\$[^}]*\}|@@\w[\w.]*@@|%%[A-Z_]+%%|\[\[\w+\.\w+\]\]|\b__\w+__\b"
 )
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
+_NOTICE, _MARKUP = re.compile(r"<noscript\b[^>]*>(.*?)(?:</noscript\s*>|\Z)", re.I | re.S), re.compile(r"<[^>]*>")
 _slots: dict[str, int] = {}
 
 EVIDENCE = pa.schema(
@@ -56,16 +56,10 @@ EVIDENCE_DDL = "cells binary, sizes binary, weights binary, amount double, trust
 
 def noscript_texts(html: str) -> list[str]:
     """Texts that a page shows only where scripts are off."""
-    if "<noscript" not in html.lower():
+    if "<noscript" not in html and "<noscript" not in html.lower():
         return []
-    out = []
-    for node in parse(html).elements():
-        if node.name == "noscript":
-            parts = [c for n in (node, *node.elements()) for c in n.children if type(c) is str]
-            text = " ".join(" ".join(parts).split())
-            if text:
-                out.append(text)
-    return out
+    found = [" ".join(unescape(_MARKUP.sub(" ", x)).split()) for x in _NOTICE.findall(html)]
+    return [x for x in found if x]
 
 
 def _slot(word: str) -> int:
@@ -96,8 +90,8 @@ def evidence_of(html: str | None, status: str | None, lines: list[tuple], scores
             amount += _share(score)
         if score <= NEAR_BODY:
             continue
-        own = {_slot("#" + w) for w in words} if head else {_slot(w) for w in words}
-        cells += sorted(own)
+        own = [_slot("#" + w) for w in words] if head else [_slot(w) for w in words]
+        cells += own
         sizes.append(len(own))
         weights.append(0.0 if head else _share(score))
         marked = marked or _PLACEHOLDER.search(item[2]) is not None
