@@ -32,16 +32,17 @@ def selected_lines(lines: DataFrame, selections: DataFrame) -> DataFrame:
     size = F.when(F.col("words") != "", F.length("words") + 1).otherwise(0)
     before = F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = spoken.withColumn("begin", F.greatest(before - 1, F.lit(0)))
+    # A page's lines are one row; what they say is joined once a page, however many selections it has.
     pages = placed.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("line_num", "begin", "words"))).alias("rows"))
+    all_words = F.array_join(F.transform(F.filter("rows", lambda r: r["words"] != ""), lambda r: r["words"]), " ")
+    pages = pages.select("page_id", F.transform("rows", lambda r: F.struct(r["line_num"].alias("line_num"), r["begin"].alias("begin"))).alias("rows"), all_words.alias("all_words"))
     said = selection_words(F.col("selected"))
     head = F.array_join(F.slice(said, 1, ENDS), " ")
     tail = F.array_join(F.slice(said, F.greatest(F.size(said) - (ENDS - 1), F.lit(1)), ENDS), " ")
-    all_words = F.array_join(F.transform(F.filter("rows", lambda r: r["words"] != ""), lambda r: r["words"]), " ")
     joined = (
         selections.where(F.size(said) > 0)
         .select("page_id", "selection", head.alias("head"), tail.alias("tail"))
         .join(pages, "page_id")
-        .withColumn("all_words", all_words)
         .withColumn("start", F.instr("all_words", F.col("head")))
         .withColumn("finish", F.when(F.col("head") == F.col("tail"), F.col("start")).otherwise(_last(F.col("all_words"), F.col("tail"))))
         .where("start > 0 and finish > 0")

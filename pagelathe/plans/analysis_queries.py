@@ -8,6 +8,7 @@ from ..functions import ranges as R
 from ..functions import text as T
 from ..functions import training
 from ..operators import analysis, features, items
+from ..operators.skew import sifted
 from ..sources.tables import read_table, use_checkpoints
 from .base import CA, CP, MEASURED, current_annotations, current_pages, lines, measured, query, with_
 
@@ -77,8 +78,9 @@ def feature_frequency(spark, folder):
 # ------------------------------------------------------------ queries whose html walk SQL cannot express
 
 
-def _html(spark, folder):
-    return current_pages(spark, folder, "url", "html").where("status = 'success'")
+def _html(spark, folder, *more):
+    """All scrapes; the operators choose the current ones among what they made of the html."""
+    return read_table(spark, folder, "pages").select("page_id", "scraped_at", "status", "url", "html", *more)
 
 
 @query("WITH cp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY scraped_at DESC NULLS LAST) AS rn FROM (SELECT DISTINCT * FROM pages)) WHERE rn = 1) SELECT page_id, markdown FROM cp WHERE status = 'success' AND html IS NOT NULL")
@@ -103,9 +105,9 @@ WHERE messages IS NOT NULL AND t.url IS NOT NULL AND cp.status = 'success' AND c
 )
 def light_of_train(spark, folder):
     """The light view of the pages of the training rows against the content of those rows."""
-    rows = read_table(spark, folder, "train").where("messages is not null and url is not null").select("page_id", "url").distinct()
-    html = current_pages(spark, folder, "html").where("status = 'success' and html is not null").select("page_id", "html")
-    return items.rendered(rows.join(html, "page_id")).select("page_id", "light")
+    rows = read_table(spark, folder, "train").where("messages is not null and url is not null").select("page_id", F.col("url").alias("own")).distinct()
+    views = items.rendered(sifted(_html(spark, folder), rows, "page_id"))
+    return views.join(rows, "page_id").select("page_id", "light")
 
 
 @query(with_(MEASURED) + r", tw AS (SELECT page_id, line_num, text, md_prefix FROM tl) SELECT page_id, line_num, text, md_prefix FROM tw WHERE NOT regexp_matches(text, '^\[cookies\] - [0-9]+ lines?$')")
@@ -127,16 +129,19 @@ def consent_audit(spark, folder):
     return items.consent_audit(_html(spark, folder))
 
 
+def _feature_parts(spark, folder):
+    """(lines, labels) of the validated pages: the walk is done once and kept, since several parts of the table read it."""
+    use_checkpoints(spark)
+    labels = current_annotations(spark, folder).where("validated").select("page_id", "ranges")
+    pages = sifted(_html(spark, folder, "dataset"), labels, "page_id")
+    walked = items.walked_lines(pages, carry=("dataset",)).join(labels, "page_id").checkpoint()
+    return items.unrolled(walked), walked.select("page_id", "dataset", "ranges")
+
+
 @query()
 def page_features_85(spark, folder):
     """The whole feature table of annotated pages."""
-    labels = current_annotations(spark, folder).where("validated").select("page_id", "ranges")
-    pages = current_pages(spark, folder, "url", "html", "dataset").where("status = 'success' and html is not null")
-    chosen = pages.join(labels, "page_id", "left_semi")
-    named = pages.select("page_id", "dataset").join(labels, "page_id")
-    # Three parts of the table read the lines, so the walk is done once and kept.
-    use_checkpoints(spark)
-    return features.feature_table(items.page_lines(chosen).checkpoint(), named)
+    return features.feature_table(*_feature_parts(spark, folder))
 
 
 @query()

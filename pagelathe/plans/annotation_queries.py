@@ -9,7 +9,9 @@ from ..functions import ranges as R
 from ..functions import scores as S
 from ..functions import text as T
 from ..operators import analysis, export, features, predictors, review, store, vote
+from ..operators.current import latest
 from ..operators.selection import selected_lines
+from ..operators.skew import sifted
 from ..sources.tables import read_table
 from ..streaming import scrape
 from .base import BLOCKS, CA, CP, LINES, MEASURED, current_annotations, current_pages, lines, measured, query, with_
@@ -340,7 +342,8 @@ def rate_limit_schedule(spark, folder):
 @query(with_(LINES) + r", dk AS (SELECT page_id, list_distinct(list_transform(regexp_extract_all(html, '[a-zA-Z0-9À-ɏ]{3,}'), lambda w: lower(w))) AS dk FROM cp WHERE status = 'success' AND page_id IN (SELECT page_id FROM annotations)), lk AS (SELECT page_id, line_num, list_distinct(list_transform(regexp_extract_all(text, '[a-zA-Z0-9À-ɏ]{3,}'), lambda w: lower(w))) AS kw FROM tl), j AS (SELECT page_id, line_num, len(list_intersect(kw, dk)) / len(kw) AS share FROM lk JOIN dk USING (page_id) WHERE len(kw) > 0) SELECT page_id, line_num, round(share, 6) AS share FROM j WHERE share >= 0.5")
 def keyword_containment(spark, folder):
     known = read_table(spark, folder, "annotations").select("page_id").distinct()
-    docs = current_pages(spark, folder, "html").where("status = 'success'").join(known, "page_id", "left_semi").select("page_id", T.keywords(F.col("html")).alias("kw"))
+    scrapes = sifted(read_table(spark, folder, "pages"), known, "page_id").select("page_id", "scraped_at", "status", T.keywords(F.col("html")).alias("kw"))
+    docs = latest(scrapes, "page_id", "scraped_at").where("status = 'success'").join(known, "page_id", "left_semi").select("page_id", "kw")
     rows = lines(spark, folder).select("page_id", "line_num", T.keywords(F.col("text")).alias("kw"))
     return analysis.keyword_lines(rows, docs).select("page_id", "line_num", F.round("share", 6).alias("share"))
 
@@ -354,16 +357,16 @@ _NORM = r"array_to_string(list_filter(string_split(trim(regexp_replace(regexp_re
 sw AS (SELECT page_id, line_num, {_NORM} AS words FROM tl),
 bg AS (SELECT *, greatest(coalesce(sum(CASE WHEN words <> '' THEN length(words) + 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY line_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - 1, 0) AS begins FROM sw),
 pg AS (SELECT page_id, string_agg(words, ' ' ORDER BY line_num) FILTER (WHERE words <> '') AS aw FROM sw GROUP BY page_id),
-se AS (SELECT page_id, line_num AS selection, string_split(words, ' ') AS w FROM sw WHERE line_num % 5 = 0 AND words <> ''),
+se AS (SELECT page_id, line_num AS selection, string_split(words, ' ') AS w FROM sw WHERE words <> ''),
 ht AS (SELECT page_id, selection, array_to_string(w[1:5], ' ') AS head, array_to_string(w[greatest(len(w) - 4, 1):len(w)], ' ') AS tail FROM se),
 fp AS (SELECT page_id, selection, tail, instr(aw, head) AS s, CASE WHEN head = tail THEN instr(aw, head) ELSE length(aw) - instr(reverse(aw), reverse(tail)) - length(tail) + 2 END AS f FROM ht JOIN pg USING (page_id)),
 ab AS (SELECT fp.page_id, selection, max(line_num) FILTER (WHERE begins <= s - 1) AS a, max(line_num) FILTER (WHERE begins <= f - 1 + length(tail)) AS b FROM fp JOIN bg USING (page_id) GROUP BY fp.page_id, selection, s, f, tail)
 SELECT page_id, selection, least(a, b) AS first_line, greatest(a, b) AS last_line FROM ab"""
 )
 def selection_lines(spark, folder):
-    """Every fifth line of a page, taken as a selected text, is found again."""
+    """Every line of a page, taken as a selected text, is found again."""
     rows = lines(spark, folder)
-    picked = rows.where("line_num % 5 = 0").select("page_id", F.col("line_num").alias("selection"), F.col("text").alias("selected"))
+    picked = rows.select("page_id", F.col("line_num").alias("selection"), F.col("text").alias("selected"))
     return selected_lines(rows, picked)
 
 
