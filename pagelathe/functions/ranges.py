@@ -124,3 +124,9 @@ def moved(ranges: DataFrame, last_line: str) -> DataFrame:
     return ranges.withColumn("lowest_start", F.coalesce(F.lag("end").over(order), F.lit(0)) + 1).withColumn(
         "highest_end", F.coalesce(F.lead("start").over(order) - 1, F.col(last_line))
     )
+
+
+def ranges_json(ranges: Column) -> Column:
+    """Ranges as JSON text with a blank behind colons and commas; null for null."""
+    one = lambda r: F.format_string('{"start": %s, "end": %s}', F.coalesce(r["start"].cast("string"), F.lit("null")), F.coalesce(r["end"].cast("string"), F.lit("null")))
+    return F.when(ranges.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(ranges, one), ", "), F.lit("]")))

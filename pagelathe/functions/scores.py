@@ -30,6 +30,16 @@ def recall(found: Column, truth: Column) -> Column:
     return F.when(found.isNull() | truth.isNull(), None).when((a == 0) & (b == 0), 1.0).otherwise(_part(both, b))
 
 
+def cut_to_lines(truth: Column, lines: Column) -> Column:
+    """The truth without numbers that no line has; null for null."""
+    return F.when(truth.isNull() | lines.isNull(), None).otherwise(F.array_intersect(truth, lines))
+
+
+def missed(found: Column, truth: Column) -> Column:
+    """Lines of the truth that were not found, in ascending order; null if either is null."""
+    return F.when(found.isNull() | truth.isNull(), None).otherwise(F.array_sort(F.array_except(truth, found)))
+
+
 def f_beta(found: Column, truth: Column, beta: float = 2.0) -> Column:
     """Weighted harmonic mean of precision and recall; 0 for an answer that could not be read (null)."""
     p, r = precision(found, truth), recall(found, truth)

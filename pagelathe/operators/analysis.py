@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scores import iou
+
 
 def normalisation(features: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, mean, std): population statistics; a deviation of 0 becomes 1 so that dividing by it is safe."""
@@ -129,6 +133,54 @@ def link_runs(lines: DataFrame, least: int = 3) -> DataFrame:
     )
 
 
+def permutation_importance(rows: DataFrame, columns: list[str], found: Callable[[DataFrame], DataFrame], truth: DataFrame, seed: int = 0) -> DataFrame:
+    """(feature, score, drop): mean agreement of a predictor with each column shuffled within pages, and how far it falls.
+
+    `found(rows)` gives (page_id, found), arrays of line numbers; `truth` has
+    page_id and truth. The row of a null feature holds the score of the rows as
+    they are. One pass for each column, all summed up by page before anything
+    is compared.
+    """
+
+    def mean(kind: DataFrame, name: str | None) -> DataFrame:
+        met = found(kind).join(truth, "page_id")
+        return met.agg(F.avg(iou(F.col("found"), F.col("truth"))).alias("score")).select(F.lit(name).cast("string").alias("feature"), "score")
+
+    base = mean(rows, None)
+    out = base
+    for i, c in enumerate(columns):
+        out = out.union(mean(shuffled_within_pages(rows, c, seed + i), c))
+    plain = base.first()["score"]
+    return out.withColumn("drop", F.lit(plain) - F.col("score"))
+
+
+def extreme_pairs(pairs: DataFrame, k: int = 15) -> DataFrame:
+    """(end, f, g, synergy): the `k` pairs of `synergy` that gain most and the `k` that lose most; ties by f and g."""
+    top = pairs.orderBy(F.desc("synergy"), "f", "g").limit(k).select(F.lit("top").alias("end"), "f", "g", "synergy")
+    return top.union(pairs.orderBy("synergy", "f", "g").limit(k).select(F.lit("bottom").alias("end"), "f", "g", "synergy"))
+
+
+def linear_scores(rows: DataFrame, weights: dict[str, float], bias: float = 0.0) -> DataFrame:
+    """`rows` with logit and probability of a linear model over feature columns; null features count as 0."""
+    logit = sum((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * F.lit(float(w)) for c, w in weights.items()), F.lit(float(bias)))
+    return rows.withColumn("logit", logit).withColumn("probability", 1 / (1 + F.exp(-F.col("logit"))))
+
+
+def soft_loss(rows: DataFrame, weight: float = 1.0) -> DataFrame:
+    """One row (bce, iou_loss, loss) of rows with page_id, logit and truth (0 or 1).
+
+    Cross-entropy, content lines weighing `weight` times as much, averaged over
+    rows, and 1 less the pages' mean of the smoothed overlap of probabilities
+    with the truth.
+    """
+    x, y = F.col("logit"), F.col("truth").cast("double")
+    p = 1 / (1 + F.exp(-x))
+    each = (F.greatest(x, F.lit(0.0)) - x * y + F.log1p(F.exp(-F.abs(x)))) * F.when(y == 1, weight).otherwise(1.0)
+    pages = rows.groupBy("page_id").agg(F.sum(each).alias("bce"), F.count("*").alias("n"), F.sum(p * y).alias("both"), F.sum(p + y - p * y).alias("either"))
+    out = pages.agg((F.sum("bce") / F.sum("n")).alias("bce"), (1 - F.avg((F.col("both") + 1) / (F.col("either") + 1))).alias("iou_loss"))
+    return out.withColumn("loss", F.col("bce") + F.col("iou_loss"))
+
+
 def keyword_lines(lines: DataFrame, documents: DataFrame, least: float = 0.5) -> DataFrame:
     """(page_id, line_num, share): lines of which at least a part of the keywords stands in the page's document.
 

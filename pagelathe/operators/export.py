@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +38,42 @@ def not_in_manifest(rows: DataFrame, manifest: DataFrame, key: str = "page_id")
     return rows.join(ids, key, "left_anti")
 
 
+def next_manifest(ids: DataFrame, earlier: DataFrame | None, seed: int = 42, train_share: float = 0.8) -> DataFrame:
+    """One row (seed, total, train_page_ids, test_page_ids) for the pages `ids` (page_id), the ids in ascending order.
+
+    Pages that are test pages of an earlier manifest stay there and all others
+    are for training; without an earlier one a hash of the id decides.
+    """
+    known = ids.select("page_id").distinct()
+    if earlier is not None:
+        test = earlier.select(F.explode("test_page_ids").alias("page_id")).distinct().withColumn("test", F.lit(True))
+        sided = known.join(test, "page_id", "left").withColumn("test", F.coalesce("test", F.lit(False)))
+    else:
+        sided = hash_split(known, "page_id", train_share, seed).withColumn("test", F.col("split") == "test")
+    side = lambda on: F.array_sort(F.collect_list(F.when(on, F.col("page_id"))))
+    return sided.agg(
+        F.lit(seed).cast("bigint").alias("seed"), F.count("*").alias("total"), side(~F.col("test")).alias("train_page_ids"), side(F.col("test")).alias("test_page_ids")
+    )
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """The manifest as JSON; `read_manifest` gives it back."""
+    write_jsonl(manifest.select("seed", "total", "train_page_ids", "test_page_ids"), path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return read_jsonl(spark, path, "seed bigint, total bigint, train_page_ids array<bigint>, test_page_ids array<bigint>")
+
+
+def write_idf(idf: DataFrame, path: str) -> None:
+    """(word, idf) as JSON lines in the order of the words; `read_idf` gives them back."""
+    write_jsonl(idf.select("word", "idf").orderBy("word"), path)
+
+
+def read_idf(spark: SparkSession, path: str) -> DataFrame:
+    return read_jsonl(spark, path, "word string, idf double")
+
+
 def chat_rows(pages: DataFrame, system: str = SYSTEM, empty: str | None = "1:1") -> DataFrame:
     """(messages, page_id, url) from page_id, url, light markdown and ranges; no ranges are written as `empty`."""
     said = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
@@ -51,9 +87,13 @@ def prompt(template: str, markdown: Column, slot: str = "{structured_markdown}")
     return F.concat(F.lit(before), markdown, F.lit(after))
 
 
-def fits(text: Column, most_tokens: int) -> Column:
-    """Whether a text has at most so many words separated by white space: a stand-in for a tokenizer's count."""
-    return F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")) <= most_tokens
+def fits(text: Column, most_tokens: int, count: Callable[[Column], Column] | None = None) -> Column:
+    """Whether a text has at most `most_tokens` tokens by `count`, an expression or vectorized function of the text.
+
+    Without one, words separated by white space stand in for a tokenizer's tokens. A null text does not fit.
+    """
+    words = lambda x: F.size(F.filter(F.split(x, r"\s+"), lambda w: w != ""))
+    return F.coalesce((count or words)(text) <= most_tokens, F.lit(False))
 
 
 def write_jsonl(rows: DataFrame, path: str) -> None:

@@ -40,6 +40,18 @@ def line_features(lines: DataFrame) -> DataFrame:
     return out.select("*", *[c.alias(n) for n, c in T.class_features(F.col("class_chain")).items()])
 
 
+# Numbers of the labels that a line may stand in; any other label counts as the body.
+TAG_NUMBERS = {"body": 0, "header": 1, "nav": 2, "main": 3, "article": 4, "section": 5, "footer": 6, "aside": 7, "form": 8}
+
+
+def tag_number(tag: Column) -> Column:
+    """Number of a parent tag; 0 for unknown and null ones."""
+    found = F.lit(0)
+    for name, number in TAG_NUMBERS.items():
+        found = F.when(tag == name, number).otherwise(found)
+    return found
+
+
 def with_position(lines: DataFrame) -> DataFrame:
     """total_lines, position_pct and cumulative_text_pct of lines with line_num, span_lines and text_length."""
     page, run = page_window(), page_window().orderBy("line_num").rowsBetween(Window.unboundedPreceding, 0)
@@ -235,7 +247,13 @@ COLUMNS.update(
 
 
 def feature_table(lines: DataFrame, labels: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
-    """All feature columns of `items.page_lines` rows and their label, rounded as the table is written.
+    """All feature columns of `items.page_lines` rows and their label, rounded as the table is written."""
+    full = features_of(lines, labels, fit_on)
+    return full.select(*[(F.round(c, d) if d is not None else F.col(c)).alias(c) for c, d in COLUMNS.items()])
+
+
+def features_of(lines: DataFrame, labels: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
+    """All features of `items.page_lines` rows and their label, beside the columns of the lines.
 
     `labels` has page_id, dataset and ranges; pages without a row there are left
     out. A line is labelled 1 if it touches a range.
@@ -245,5 +263,4 @@ def feature_table(lines: DataFrame, labels: DataFrame, fit_on: DataFrame | None
     base = with_style_groups(with_content_region(base))
     base = base.withColumn("label", overlaps(F.col("ranges"), F.col("line_num"), F.col("line_num") + F.col("span_lines") - 1))
     keys = ["page_id", "line_num"]
-    full = base.join(word_scores(lines), keys).join(line_frequency(lines, fit_on), keys)
-    return full.select(*[(F.round(c, d) if d is not None else F.col(c)).alias(c) for c, d in COLUMNS.items()])
+    return base.join(word_scores(lines), keys).join(line_frequency(lines, fit_on), keys)

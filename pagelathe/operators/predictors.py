@@ -7,11 +7,13 @@ an array of line numbers, or null where it failed on a page.
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.answers import json_ranges
 from ..functions.scores import iou, precision, recall
 
 Predictor = Callable[[DataFrame], DataFrame]
@@ -53,6 +55,28 @@ def compare(lines: DataFrame, truth: DataFrame, names: Sequence[str] | None = No
     )
 
 
+def answers(pages: DataFrame, ask: Callable[[str, int], str | None], models: int = 3) -> DataFrame:
+    """(page_id, model_idx, response, ranges): what `ask(markdown, model_idx)` says of pages (page_id, markdown), asked on the executors.
+
+    An answer that fails or cannot be read has null ranges; whatever `ask`
+    raises fails that answer only. Pages with null markdown are not asked about.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for page, markdown in zip(frame["page_id"], frame["markdown"]):
+                for model in range(models):
+                    try:
+                        rows.append((page, model, ask(markdown, model)))
+                    except Exception:
+                        rows.append((page, model, None))
+            yield pd.DataFrame(rows, columns=["page_id", "model_idx", "response"])
+
+    asked = pages.where("markdown is not null").select("page_id", "markdown").mapInPandas(run, "page_id bigint, model_idx int, response string")
+    return asked.withColumn("ranges", json_ranges(F.col("response")))
+
+
 def remaining(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What a run that was stopped has still to do: rows whose key has no result yet."""
     return todo.join(done.select(key).distinct(), key, "left_anti")

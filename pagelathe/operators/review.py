@@ -72,10 +72,33 @@ def unannotated(pages: DataFrame, annotations: DataFrame, urgent_only: bool = Fa
     return rows.select("page_id", "url").join(annotations.select("page_id"), "page_id", "left_anti")
 
 
-def annotated(pages: DataFrame, annotations: DataFrame, source: str | None = None) -> DataFrame:
-    """(page_id, url, dataset, ranges) of successful pages with a validated annotation; a null dataset is 'original'."""
+def looked_up(pages: DataFrame, annotations: DataFrame, wanted: Column) -> DataFrame:
+    """The successful pages that `wanted` (a condition on page_id) names, with their annotation and its defaults.
+
+    Without an annotation ranges, source and flags are null, but has_cookies is
+    false; a page that is missing or no success gives no row. `acceptable`
+    tells whether there are ranges to accept.
+    """
+    own = annotations.where(wanted).select("page_id", "ranges", "source", "validated", "skipped", "has_cookies")
+    rows = pages.where(wanted & (F.col("status") == "success")).join(own, "page_id", "left")
+    return rows.withColumn("has_cookies", F.coalesce("has_cookies", F.lit(False))).withColumn("acceptable", F.col("ranges").isNotNull())
+
+
+def scan(rows: DataFrame, limit: int | None = None, after: int | None = None) -> DataFrame:
+    """Rows by page_id, from behind `after` on, all or the first `limit`."""
+    ordered = (rows.where(F.col("page_id") > after) if after is not None else rows).orderBy("page_id")
+    return ordered.limit(limit) if limit is not None else ordered
+
+
+def annotated(pages: DataFrame, annotations: DataFrame, source: str | None = None, dataset: str | None = None) -> DataFrame:
+    """(page_id, url, dataset, ranges) of successful pages with a validated annotation; a null dataset is 'original'.
+
+    `source` and `dataset` keep only pages of that source or dataset.
+    """
     own = annotations.where("validated")
     if source is not None:
         own = own.where(F.col("source") == source)
     rows = pages.where("status = 'success'").select("page_id", "url", F.coalesce("dataset", F.lit("original")).alias("dataset"))
+    if dataset is not None:
+        rows = rows.where(F.col("dataset") == dataset)
     return rows.join(own.select("page_id", "ranges"), "page_id")

@@ -86,6 +86,13 @@ def record_scrapes(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     return joined.select(*[F.when(change[c], take[c]).otherwise(F.col(c)).alias(c) if c in take else F.col(c) for c in pages.columns])
 
 
+def regeneration_counts(pages: DataFrame, annotations: DataFrame, keep_annotations: bool = False) -> DataFrame:
+    """One row (pages, annotations): what a run of `regenerate` would render anew, and which annotations it would delete."""
+    todo = pages.where("status = 'success' and html is not null").agg(F.count("*").alias("pages"))
+    gone = F.lit(0).cast("bigint") if keep_annotations else F.lit(annotations.count()).cast("bigint")
+    return todo.select("pages", gone.alias("annotations"))
+
+
 def regenerate(pages: DataFrame, rendered: DataFrame) -> DataFrame:
     """Pages with the markdown of `rendered` (page_id, markdown) where they are a success with html."""
     new = rendered.select("page_id", F.col("markdown").alias("new_markdown"))

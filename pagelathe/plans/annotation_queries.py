@@ -249,10 +249,19 @@ def json_ranges(spark, folder):
     return rows.select("page_id", "model_idx", RT(A.json_ranges(F.col("response"))).alias("ranges"))
 
 
-@query("WITH t AS (SELECT DISTINCT list_filter(messages, lambda m: m.role = 'assistant')[1].content AS answer FROM train WHERE messages IS NOT NULL) SELECT answer, regexp_matches(answer, '^[0-9]+:[0-9]+(,[0-9]+:[0-9]+)*$') AS accepted, CASE WHEN regexp_matches(answer, '^[0-9]+:[0-9]+(,[0-9]+:[0-9]+)*$') THEN 3 ELSE -1 END AS state FROM t WHERE answer IS NOT NULL AND regexp_matches(answer, '^[0-9]')")
+_N = "[0-9]+:[0-9]+"
+
+
+@query(
+    "WITH t AS (SELECT list_filter(messages, lambda m: m.role = 'assistant')[1].content AS answer FROM train WHERE messages IS NOT NULL UNION SELECT response FROM predictions)"
+    f" SELECT answer, regexp_full_match(answer, '{_N}(,{_N})*') AS accepted, CASE WHEN answer = '' THEN 0 WHEN regexp_full_match(answer, '({_N},)*[0-9]+') THEN 1 WHEN regexp_full_match(answer, '({_N},)*[0-9]+:') THEN 2"
+    f" WHEN regexp_full_match(answer, '{_N}(,{_N})*') THEN 3 WHEN regexp_full_match(answer, '({_N},)+') THEN 4 ELSE -1 END AS state FROM t WHERE answer IS NOT NULL"
+)
 def grammar_accept(spark, folder):
+    """Every different answer of the training rows and of the models."""
     answer = F.try_element_at(F.filter("messages", lambda m: m["role"] == "assistant"), F.lit(1))["content"]
-    rows = read_table(spark, folder, "train").where("messages is not null").select(answer.alias("answer")).distinct().where("answer is not null and answer rlike '^[0-9]'")
+    said = read_table(spark, folder, "train").where("messages is not null").select(answer.alias("answer"))
+    rows = said.union(read_table(spark, folder, "predictions").select("response")).where("answer is not null").distinct()
     return rows.select("answer", A.accepted(F.col("answer")).alias("accepted"), A.grammar_state(F.col("answer")).alias("state"))
 
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from urllib.robotparser import RobotFileParser
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators.ranking import bucketed_rank
 from ..operators.review import unannotated
+from ..operators.skew import spread_join
 
 
 def schedule(arrivals: DataFrame, delay: float, key: str = "domain", at: str = "arrival", span: float = 3600.0) -> DataFrame:
@@ -54,17 +57,19 @@ def schedule_stream(arrivals: DataFrame, delay: float) -> DataFrame:
     return arrivals.groupBy("domain").applyInPandasWithState(step, out, held, "append", "NoTimeout")
 
 
-def watch(pages_stream: DataFrame, annotations: Callable[[], DataFrame], handle: Callable[[DataFrame, int], None], checkpoint: str, every: str = "30 seconds"):
+def watch(pages_stream: DataFrame, annotations: Callable[[], DataFrame], handle: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = "30 seconds"):
     """Start a query that hands each batch of new successful pages without annotation to `handle`.
 
     `annotations` is called for every batch, so pages annotated meanwhile are
     left out. The checkpoint folder makes the query go on where it stopped.
+    Without `every` the query takes what there is and ends.
     """
 
     def batch(rows: DataFrame, epoch: int) -> None:
         handle(unannotated(rows, annotations()), epoch)
 
-    return pages_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+    when = {"processingTime": every} if every else {"availableNow": True}
+    return pages_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**when).start()
 
 
 def allowed(pages: DataFrame, robots: DataFrame) -> DataFrame:
@@ -81,6 +86,49 @@ def allowed(pages: DataFrame, robots: DataFrame) -> DataFrame:
     return joined.where(F.coalesce(hit["allow"], F.lit(True))).drop("origin", "path", "rules")
 
 
+def allowed_by_files(pages: DataFrame, files: DataFrame, agent: str = "*") -> DataFrame:
+    """Pages that the robots file of their origin lets `agent` fetch.
+
+    `files` has origin, status and text, one row an origin; an origin without a
+    file, with another status than 200 or with null text lets everything. The
+    rules of an origin are read once a worker, whatever the number of its pages.
+    """
+    origin = F.lower(F.regexp_extract("url", r"^([a-zA-Z]+://[^/?#]+)", 1))
+    rules = files.where("status = 200").groupBy(F.lower("origin").alias("__origin")).agg(F.max("text").alias("__rules"))
+
+    @F.pandas_udf("boolean")
+    def may(url: pd.Series, text: pd.Series) -> pd.Series:
+        known: dict[str, RobotFileParser] = {}
+        out = []
+        for u, t in zip(url, text):
+            if t not in known:
+                known[t] = RobotFileParser()
+                known[t].parse(t.splitlines())
+            out.append(known[t].can_fetch(agent, u))
+        return pd.Series(out)
+
+    joined = spread_join(pages.withColumn("__origin", origin), rules, ["__origin"], ["url"], "left")
+    free = joined.where("__rules is null").drop("__origin", "__rules")
+    return free.unionByName(joined.where("__rules is not null").where(may("url", "__rules")).drop("__origin", "__rules"))
+
+
+class Progress(StreamingQueryListener):
+    """Keeps what the batches of all streams of a session took in: (name or id, batch, rows, rows a second)."""
+
+    def __init__(self):
+        self.batches: list[tuple] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.batches.append((p.name or str(p.id), p.batchId, p.numInputRows, p.processedRowsPerSecond))
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def with_retries(fetch: Callable[[str], str], retries: int = 2) -> Callable[[str], tuple[str | None, str | None]]:
     """`fetch` tried up to retries + 1 times: (text, None), or (None, the last error)."""
 
@@ -96,8 +144,13 @@ def with_retries(fetch: Callable[[str], str], retries: int = 2) -> Callable[[str
     return tried
 
 
-def scrape(pages: DataFrame, fetch: Callable[[str], str], retries: int = 2) -> DataFrame:
-    """(page_id, status, error, html, markdown) for pages (page_id, url): what a fetcher that runs on the executors returns."""
+def scrape(pages: DataFrame, fetch: Callable[[str], str], retries: int = 2, runners: int | None = None) -> DataFrame:
+    """(page_id, status, error, html, markdown) for pages (page_id, url): what a fetcher that runs on the executors returns.
+
+    With `runners`, at most so many pages are fetched at a time: each task
+    fetches one page after the other, and there are no more tasks. Pages of one
+    host share a task, so that its delay can be kept there.
+    """
     from ..operators.html_walk import to_markdown
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,7 +162,10 @@ def scrape(pages: DataFrame, fetch: Callable[[str], str], retries: int = 2) -> D
                 rows.append((page, "failed" if html is None else "success", error, html, to_markdown(html, url) if html is not None else None))
             yield pd.DataFrame(rows, columns=["page_id", "status", "error", "html", "markdown"])
 
-    return pages.select("page_id", "url").mapInPandas(run, "page_id bigint, status string, error string, html string, markdown string")
+    todo = pages.select("page_id", "url")
+    if runners is not None:
+        todo = todo.repartition(runners, F.lower(F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#]+)", 1)))
+    return todo.mapInPandas(run, "page_id bigint, status string, error string, html string, markdown string")
 
 
 def scrape_counts(outcomes: DataFrame) -> DataFrame:
