@@ -26,7 +26,7 @@ def candidates(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     runs = flat(left, 0).union(flat(right, 1))
     sides = runs.groupBy("run").agg(F.sum(1 - F.col("side")).alias("in_left"), F.sum("side").alias("in_right"))
     # Only runs that occur on both sides can be shared; one that stands in all sets is dealt out over several tasks.
-    common = spread_join(runs, sides.where("in_left > 0 and in_right > 0"), ["run"], ["side", "key"])
+    common = spread_join(runs, sides.where("in_left > 0 and in_right > 0"), ["run"], ["side", "key"], parts=4)
     order = Window.partitionBy("side", "key").orderBy((F.col("in_left") * F.col("in_right")).desc(), "run")
     prefix = common.withColumn("place", F.row_number().over(order)).where(F.col("place") / F.col("size") >= least)
     side = lambda n, x: prefix.where(F.col("side") == n).select("run", F.col("key").alias(x), F.col("size").alias(f"size_{x}"), F.col("place").alias(f"place_{x}"))

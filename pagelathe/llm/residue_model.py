@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 SLOTS = 1 << 18
 #: Lines that score lower are no passages.
 NEAR_BODY = -3.0
-#: Edges of the amounts of body: expected lines of body that are no headings.
-EDGES = np.array([0.02, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 4.0, 8.0])
+#: Edges of the amounts of body: expected letters of lines of the body that are no headings.
+EDGES = np.array([1, 3, 10, 30, 60, 120, 250, 500, 1000], float)
 #: Trusted records hold less body than this, and so do the unlabelled ones that begin as doubtful.
-LITTLE, DOUBTFUL = 2.0, 0.3
+LITTLE, DOUBTFUL = 120.0, 0.3
 #: What one passage can add to or take from a record's log odds; rounds of expectation-maximization; beliefs below FLOOR are none.
 CLIP, ROUNDS, FLOOR = 6.0, 6, 1e-6
 MEMORY = 200_000
@@ -87,7 +87,7 @@ def evidence_of(html: str | None, status: str | None, lines: list[tuple], scores
     for (_, item, words, _), score in zip(lines, scores):
         head = item[3][:1] == "#"
         if not head:
-            amount += _share(score)
+            amount += _share(score) * len(item[2])
         if score <= NEAR_BODY:
             continue
         own = [_slot("#" + w) for w in words] if head else [_slot(w) for w in words]
