@@ -1,14 +1,20 @@
 import datetime as dt
+import time
+from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from pagelathe.operators import analysis, export, features, items, review, store, vote
+from pagelathe.functions import training
+from pagelathe.operators import analysis, export, features, items, predictors, review, store, vote
 from pagelathe.operators.components import connected_components
 from pagelathe.operators.current import latest
 from pagelathe.operators.html_walk import to_markdown
 from pagelathe.operators.ranking import bucketed_rank
 from pagelathe.operators.sampling import smallest_hashes
+from pagelathe.operators.skew import sifted, spread_join
+from pagelathe.sources.tables import use_checkpoints
 from pagelathe.streaming import scrape
 
 RT = "array<struct<start:int,end:int>>"
@@ -263,3 +269,167 @@ def test_predictors_and_resuming(spark):
     todo = predictors.random_subsets(spark, 56, 20)
     assert all(15 <= sum(r["mask"]) <= 45 and len(r["mask"]) == 56 for r in todo.collect())
     assert predictors.remaining(todo, todo.where("trial < 15"), "trial").count() == 5
+
+
+# ------------------------------------------------------------ hot keys
+
+
+def test_spread_join_is_a_join(spark):
+    """With a third of all rows on one key and without adaptive plans, no task gets them all, and the rows are those of a join."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")).repartition(5)
+        right = spark.createDataFrame([(7, "hot"), (1, "a"), (2, None), (9999, "none")], "k bigint, w string")
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            assert rows(spread_join(left, right, ["k"], ["v"], how)) == rows(left.join(right, "k", how))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        parts = Counter(r.p for r in spread_join(left, right, ["k"], ["v"]).withColumn("p", F.spark_partition_id()).collect() if r.k == 7)
+        assert len(parts) > 1 and max(parts.values()) < 800 and sum(parts.values()) == 1001
+        assert spread_join(left.limit(0), right, ["k"], ["v"]).count() == 0 and spread_join(left, right.limit(0), ["k"], ["v"], "left").count() == 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sifted(spark):
+    wide, keys = spark.range(100).withColumnRenamed("id", "k"), spark.createDataFrame([(3,), (3,), (5,), (None,)], "k bigint")
+    assert rows(sifted(wide, keys, "k")) == [(3,), (5,)]
+    assert sifted(wide, keys, "k", most=1).count() == 100  # too many keys: the caller joins later
+
+
+def test_components_of_a_hub(spark):
+    edges = [(0, i) for i in range(1, 400)] + [(400, 401), (401, 402)]
+    got = dict(rows(connected_components(spark.createDataFrame(edges, "a bigint, b bigint"))))
+    assert all(got[i] == 0 for i in range(400)) and {got[i] for i in (400, 401, 402)} == {400}
+
+
+def test_line_frequency_of_a_text_on_every_page(spark):
+    df = spark.createDataFrame([(p, n, "Home" if n == 1 else f"own {p}" if n == 2 else " ") for p in range(30) for n in (1, 2, 3)], "page_id int, line_num int, text string")
+    got = {(r.page_id, r.line_num): r.line_frequency for r in features.line_frequency(df).collect()}
+    assert all(got[p, 1] == 1.0 and got[p, 2] == pytest.approx(1 / 30) and got[p, 3] == 0 for p in range(30))
+    few = features.line_frequency(df, df.where("page_id < 3")).where("page_id = 20").collect()
+    assert sorted((r.line_num, r.line_frequency) for r in few) == [(1, 1.0), (2, 0.0), (3, 0.0)]
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster(monkeypatch):
+    def session(master, shared):
+        context = SimpleNamespace(master=master, folder=None, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False))))
+        context.setCheckpointDir = lambda x: setattr(context, "folder", x)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: shared))
+
+    with pytest.raises(RuntimeError):
+        use_checkpoints(session("spark://host:7077", None))
+    for master, shared in (("spark://host:7077", "hdfs://x/y"), ("local[4]", None), ("local[4]", "/shared")):
+        s = session(master, shared)
+        use_checkpoints(s)
+        assert s.sparkContext.folder == shared if shared else s.sparkContext.folder
+
+
+# ------------------------------------------------------------ current rows, lookups, files and seams
+
+
+def test_current_scrapes_are_chosen_after_the_walk(spark):
+    html = "<body><p>{0}</p></body>"
+    data = [(1, T1, "success", "http://a/", html.format("new")), (1, T0, "success", "http://a/", html.format("old")), (1, T1, "success", "http://a/", html.format("new")), (2, T1, "failed", None, html.format("x")), (2, T0, "success", None, html.format("y")), (3, T1, "success", None, None), (3, None, "success", None, html.format("z"))]
+    df = spark.createDataFrame(data, "page_id bigint, scraped_at timestamp, status string, url string, html string")
+    assert [(r.page_id, r.text) for r in items.page_lines(df).collect()] == [(1, "new")]
+    plan = items.page_lines(df)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [x for x in plan.split("\n") if "Exchange" in x or "SortAggregate" in x]
+    assert shuffled and not any("html" in x for x in shuffled)
+
+
+def test_lookup(spark):
+    pages = spark.createDataFrame([(1, "u", "success"), (2, "v", "success"), (3, "w", None)], "page_id bigint, url string, status string")
+    ann = spark.createDataFrame([(1, [(1, 2)], "manual", True, False, None, T0, T0)], ANN)
+    got = {r.page_id: (r.source, r.has_cookies, r.acceptable) for i in (1, 2, 3, 9) for r in review.looked_up(pages, ann, F.col("page_id") == i).collect()}
+    assert got == {1: ("manual", False, True), 2: (None, False, False)}
+    assert [r.page_id for r in review.scan(pages, 2, 1).collect()] == [2, 3]
+
+
+def test_manifest_and_idf_files(spark, tmp_path):
+    ids = spark.createDataFrame([(i,) for i in [5, 3, 1, 3]], "page_id bigint")
+    earlier = spark.createDataFrame([(42, 2, [1], [3, 77])], "seed bigint, total bigint, train_page_ids array<bigint>, test_page_ids array<bigint>")
+    made = export.next_manifest(ids, earlier)
+    assert [tuple(r) for r in made.collect()] == [(42, 3, [1, 5], [3])]
+    export.write_manifest(made, str(tmp_path / "m"))
+    assert [tuple(r) for r in export.read_manifest(spark, str(tmp_path / "m")).collect()] == [(42, 3, [1, 5], [3])]
+    fresh = export.next_manifest(spark.range(500).withColumnRenamed("id", "page_id"), None).first()
+    assert len(fresh.train_page_ids) + len(fresh.test_page_ids) == 500 and 340 < len(fresh.train_page_ids) < 460
+    assert export.next_manifest(ids.limit(0), None).first().total == 0
+    idf = spark.createDataFrame([("b", 0.1 + 0.2), ("a", 1.0), ('"', 0.0)], "word string, idf double")
+    export.write_idf(idf, str(tmp_path / "i"))
+    assert rows(export.read_idf(spark, str(tmp_path / "i"))) == rows(idf)
+
+
+def test_prompts_that_fit(spark):
+    df = spark.createDataFrame([("a b c",), (None,), ("",)], "t string")
+    assert [r.v for r in df.select(export.fits(F.col("t"), 2).alias("v")).collect()] == [False, False, True]
+    assert [r.v for r in df.select(export.fits(F.col("t"), 5, F.length).alias("v")).collect()] == [True, False, True]
+
+
+def test_permutation_importance(spark):
+    data = [(p, n, 100 if n < 4 else 1, 7) for p in range(6) for n in range(1, 9)]
+    df = spark.createDataFrame(data, "page_id int, line_num int, text_length int, other int")
+    truth = spark.createDataFrame([(p, [1, 2, 3]) for p in range(6)], "page_id int, truth array<int>")
+    found = lambda x: x.groupBy("page_id").agg(F.collect_list(F.when(F.col("text_length") > 50, F.col("line_num"))).alias("found"))
+    got = {r.feature: (r.score, r.drop) for r in analysis.permutation_importance(df, ["text_length", "other"], found, truth).collect()}
+    assert got[None] == (1.0, 0.0) and got["other"] == (1.0, 0.0) and got["text_length"][1] > 0.3
+    shuffled = found(analysis.shuffled_within_pages(df, "text_length", 0)).join(truth, "page_id").collect()
+    want = sum(len(set(r.found) & set(r.truth)) / len(set(r.found) | set(r.truth)) for r in shuffled) / 6
+    assert got["text_length"][0] == pytest.approx(want)
+
+
+def test_answers_are_asked_on_the_executors(spark):
+    def ask(markdown, model):
+        if model == 2:
+            raise ValueError("busy")
+        return f'[{{"start": {len(markdown)}, "end": 9}}]' if model == 0 else "nothing"
+
+    df = spark.createDataFrame([(1, "abc"), (2, None)], "page_id bigint, markdown string")
+    got = {r.model_idx: None if r.ranges is None else [tuple(x) for x in r.ranges] for r in predictors.answers(df, ask).collect()}
+    assert got == {0: [(3, 9)], 1: None, 2: None}
+
+
+def test_tag_numbers(spark):
+    df = spark.createDataFrame([("nav",), ("div",), (None,), ("form",), ("body",)], "t string")
+    assert [r.v for r in df.select(features.tag_number(F.col("t")).alias("v")).collect()] == [2, 0, 0, 8, 0]
+
+
+def test_robots_files(spark):
+    files = [("http://a.b", 200, "User-agent: *\nDisallow: /x\nAllow: /\n\nUser-agent: own\nDisallow: /"), ("http://c.d", 404, "User-agent: *\nDisallow: /"), ("http://e.f", 200, None)]
+    robots = spark.createDataFrame(files, "origin string, status int, text string")
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(["http://a.b/x/1", "http://A.b/y", "http://c.d/x", "http://e.f/", "http://g.h/x", None])], "page_id int, url string")
+    ids = lambda df: sorted(r.page_id for r in df.collect())
+    assert ids(scrape.allowed_by_files(pages, robots)) == [1, 2, 3, 4, 5]
+    assert ids(scrape.allowed_by_files(pages, robots, "own")) == [2, 3, 4, 5]
+
+
+def test_runners_bound_the_fetches(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i % 7}.x/{i}") for i in range(40)], "page_id bigint, url string").repartition(8)
+    got = scrape.scrape(pages, lambda url: f"<p>{url}</p>", runners=2)
+    assert got.rdd.getNumPartitions() <= 2 and got.where("status = 'success'").count() == 40
+
+
+def test_settings():
+    good = {"run_name": "a-1", "model": "0.5B", "phases": "sft", "max_seq_len": 8192, "max_runtime": "6h", "hf_dataset_revision": "0a1b2c3", "gpu_type": "NVIDIA GeForce RTX 4090"}
+    assert training.setting_problems(good) == ([], [])
+    errors, warnings = training.setting_problems({**good, "model": "7B", "max_runtime": "6d", "sft_epoch": 3, "lora_r": 12, "sft_lr": 1.0, "max_seq_len": 10, "phases": "sft,x"})
+    assert [e.split(":")[0] for e in errors] == ["sft_epoch", "model", "phases", "max_seq_len", "max_runtime", "lora_r", "sft_lr"] and warnings == []
+    assert [w.split(":")[0] for w in training.setting_problems({**good, "model": "3B", "hf_dataset_revision": "main"})[1]] == ["hf_dataset_revision", "gpu_type"]
+    assert training.setting_problems({**good, "phases": "sft,grpo", "sft_max_steps": 5})[0] and training.setting_problems({})[0]
+
+
+def test_progress_of_streams(spark, tmp_path):
+    listener = scrape.Progress()
+    spark.streams.addListener(listener)
+    try:
+        spark.range(5).write.parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
+        stream.writeStream.format("noop").queryName("count").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "log")).start().awaitTermination()
+        for _ in range(50):
+            if any(n == "count" and r == 5 for n, _, r, _ in listener.batches):
+                break
+            time.sleep(0.2)
+        assert any(n == "count" and r == 5 for n, _, r, _ in listener.batches)
+    finally:
+        spark.streams.removeListener(listener)
