@@ -196,8 +196,9 @@ def near_pairs(signatures: DataFrame, sets: DataFrame, least: float, most: int =
         found, there = sum(s[0] for s in sums), sum(s[1] or 0.0 for s in sums)
         if there and found >= RECALL * there:
             break
-    hot = sets.join(busy, "key", "left_semi").select("key", "runs")
-    parts.append(verified(candidates(hot, hot, least).where("a < b"), sets, least))
+    if busy.take(1):
+        hot = sets.join(busy, "key", "left_semi").select("key", "runs")
+        parts.append(verified(candidates(hot, hot, least).where("a < b"), sets, least))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
