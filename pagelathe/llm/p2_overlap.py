@@ -1,10 +1,12 @@
 """Problem 2: records of the training split that recur in the test split.
 
-Records are joined exactly, through the rarer of the runs of words that both
-splits have, and verified by all their runs. How much of a pair's text recurs
-in whole passages is told by content-defined chunks: a rolling hash over the
-words of a body cuts it where the hash says so, so equal passages give equal
-chunks whatever surrounds them, and the lengths of the shared ones are summed.
+Content-defined chunks: a rolling hash over the words of a body cuts it where
+the hash says so, so equal passages give equal chunks whatever surrounds them.
+Chunk digests are joined across the splits, and the lengths of the shared ones
+are summed into the overlap of a pair; pairs that overlap enough are verified by
+all their runs of words. Edits can be spread so evenly that few chunks stay
+whole; what the chunks leave out is joined exactly, through the rarer of the
+runs of words that both splits have.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import site_of
@@ -25,6 +27,8 @@ from .rare_runs import candidates
 
 #: Words of a run, and the share of runs that a pair must have in common.
 RUN, LEAST_SIMILARITY = 3, 0.6
+#: Shared part of the longer record's chunks, by length, from which a pair is verified at once.
+LEAST_OVERLAP = 0.2
 #: The rolling hash looks at so many words, and one of CUT hashes ends a chunk; chunks have at least LEAST_CHUNK words.
 WINDOW, CUT, LEAST_CHUNK = 2, 4, 2
 
@@ -107,20 +111,46 @@ def records(split: DataFrame) -> DataFrame:
     return done.groupBy("page_id", "body").agg(*[F.first(c).alias(c) for c in ("runs", "chunks")], F.min("url").alias("url"))
 
 
+def _length(digest: Column) -> Column:
+    return digest.bitwiseAND(F.lit(255)).cast("int")
+
+
+def _total(chunks: Column) -> Column:
+    return F.aggregate(chunks, F.lit(0), lambda s, c: s + _length(c))
+
+
 def _overlap() -> Column:
     """Lengths of the shared chunks over those of all different chunks of the record that has more."""
-    total = lambda chunks: F.aggregate(chunks, F.lit(0), lambda s, c: s + _length(c))
-    return total(F.array_intersect("chunks_a", "chunks_b")) / F.greatest(total(F.col("chunks_a")), total(F.col("chunks_b")))
+    return _total(F.array_intersect("chunks_a", "chunks_b")) / F.greatest(_total(F.col("chunks_a")), _total(F.col("chunks_b")))
 
 
-def _length(digest: Column) -> Column:
-    return digest.bitwiseAND(F.lit(255)).cast("int")
+def overlaps(train: DataFrame, test: DataFrame, least: float = LEAST_OVERLAP) -> DataFrame:
+    """(a, b): pairs of a training and a test record, by key, whose overlap is at least `least`.
+
+    Both sides have key and chunks. A record's chunks that occur on both sides
+    are taken from the rarest on; without the commonest ones that together are
+    shorter than the part `least` of the record, a pair that overlaps enough
+    still shares a chunk. So only the others are joined on: phrases that
+    everything shares are counted, but pair nothing.
+    """
+    flat = lambda df, side: df.select(F.lit(side).alias("side"), "key", _total(F.col("chunks")).alias("size"), F.explode("chunks").alias("digest"))
+    chunks = flat(train, 0).union(flat(test, 1))
+    sides = chunks.groupBy("digest").agg(F.sum(1 - F.col("side")).alias("in_train"), F.sum("side").alias("in_test"))
+    common = spread_join(chunks, sides.where("in_train > 0 and in_test > 0"), ["digest"], ["side", "key"], parts=4)
+    order = Window.partitionBy("side", "key").orderBy((F.col("in_train") * F.col("in_test")).desc(), "digest")
+    behind = F.sum(_length(F.col("digest"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    prefix = common.withColumn("behind", behind).where(F.col("behind") >= least * F.col("size"))
+    side = lambda n, x: prefix.where(F.col("side") == n).select("digest", F.col("key").alias(x), F.col("size").alias(f"size_{x}"))
+    near = side(0, "a").join(side(1, "b"), "digest").where(F.least("size_a", "size_b") >= least * F.greatest("size_a", "size_b")).select("a", "b").distinct()
+    own = lambda df, x: df.select(F.col("key").alias(x), F.col("chunks").alias(f"chunks_{x}"))
+    return near.join(own(train, "a"), "a").join(own(test, "b"), "b").where(_overlap() >= least).select("a", "b")
 
 
 def class_pairs(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(close, a, b): pairs of bodies (a, b, overlap, similarity) of at least LEAST_SIMILARITY, and the records of both splits.
 
-    Records of equal bodies are one class on each side while pairs are sought.
+    Pairs come from their shared chunks, and those that share too few of them
+    from an exact join. Records of equal bodies are one class on each side while pairs are sought.
     """
     use_checkpoints(train.sparkSession)
     a, b = records(train).checkpoint(), records(test).checkpoint()
@@ -128,8 +158,10 @@ def class_pairs(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame
     left, right = one(a), one(b)
     side = lambda df, x: df.select(F.col("key").alias(x), F.col("runs").alias(f"runs_{x}"), F.col("chunks").alias(f"chunks_{x}"))
     common = F.size(F.array_intersect("runs_a", "runs_b"))
+    near = overlaps(left, right).checkpoint()
+    rest = candidates(left, right, LEAST_SIMILARITY).join(near, ["a", "b"], "left_anti")
     close = (
-        candidates(left, right, LEAST_SIMILARITY)
+        near.union(rest)
         .join(side(left, "a"), "a")
         .join(side(right, "b"), "b")
         .withColumn("similarity", common / (F.size("runs_a") + F.size("runs_b") - common))

@@ -152,6 +152,10 @@ def test_overlap_of_repeated_texts(spark):
 
     assert close(w * 12, w) and close(x, evenly) and not close(w, x)
     assert set(got) == {(1, 11), (1, 12), (2, 13)}
+    p2_overlap.use_checkpoints(spark)
+    side = lambda df: p2_overlap.records(df).select(F.col("page_id").alias("key"), "chunks")
+    chunked = {tuple(r) for r in p2_overlap.overlaps(side(a), side(b)).collect()}
+    assert (1, 11) in chunked and chunked <= {(1, 11), (1, 12), (2, 13)}  # the chunks alone find what is whole
     assert got[1, 11] == 1.0 and got[1, 12] > 0.5
 
 
