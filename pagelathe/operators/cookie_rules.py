@@ -74,6 +74,15 @@ _BY_CLASS = {
 _OTHERS = [i for i in range(len(RULES)) if i not in {*_BY_ID.values(), *_BY_CLASS.values()}]
 
 
+#: Every rule needs one of these parts: the cheap test before the tree is searched.
+_HINTS = (
+    "cookie consent gdpr cky- wcc- cmplz onetrust moove cassie dialog ch2 clisettings simple-banner outershell termly"
+    .split()
+)
+#: The same in names and values of attributes, whose letters count as they are.
+_SIGNS = re.compile("|".join(map(re.escape, _HINTS)), re.I)
+
+
 def _holds(node: Node, test: tuple) -> bool:
     name, op, value = test
     if not node.attrs or name not in node.attrs:
@@ -98,6 +107,8 @@ def matching_rules(node: Node) -> list[int]:
         found.append(_BY_ID[own])
     if "class" in attrs:
         found += [_BY_CLASS[c] for c in set(attrs["class"].split()) if c in _BY_CLASS]
+    if node.name != "dialog" and not _SIGNS.search(" ".join([f"{k} {v}" for k, v in attrs.items()])):
+        return sorted(found)
     for i in _OTHERS:
         _, _, tag, tests = RULES[i]
         if (tag is None or tag == node.name) and all(_holds(node, t) for t in tests):
@@ -105,13 +116,6 @@ def matching_rules(node: Node) -> list[int]:
     return sorted(found)
 
 
-#: Every rule needs one of these parts: the cheap test before the tree is searched.
-_HINTS = (
-    "cookie consent gdpr cky- wcc- cmplz onetrust moove cassie dialog ch2 clisettings simple-banner outershell termly"
-    .split()
-)
-
-
 def may_match(html: str) -> bool:
     """Whether some rule might match; letters of attributes may be written as numbers."""
     low = (unescape(html) if "&#" in html else html).lower()
