@@ -10,6 +10,7 @@ from ..operators.html_walk import TEXT, is_link_only, span_of
 
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
 _TARGET = re.compile(r"\]\([^)]*\)")
+_NUMBER = re.compile(r"\d+")
 #: Lines of this length class and longer (2 ** 10 letters) are alike.
 LONGEST = 11
 #: Remembered lines of a Python worker; the memory is emptied when full.
@@ -25,7 +26,7 @@ def words_of(text: str) -> tuple[tuple[str, ...], int, str, bool]:
         return known
     links = "](" in text
     plain = _TARGET.sub("]", text) if links else text
-    words = tuple({"0" if w.isdigit() else w for w in set(_WORD.findall(plain.lower()))})
+    words = tuple(set(_WORD.findall(_NUMBER.sub("0", plain.lower()))))
     kind = ("k" if is_link_only(text) else "l") if links else ""
     if len(_seen) >= MEMORY:
         _seen.clear()

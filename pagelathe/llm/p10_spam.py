@@ -16,6 +16,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +33,10 @@ NEAR = 12
 STRETCH, LOWEST, HIGHEST = 20, 0.0005, 0.995
 #: Perplexities are counted in steps of one bit over STEPS, so that their quantiles need no sorting of all texts.
 STEPS = 1000
-#: A page is flagged if more than half of its words stand outside prose. Up to SURE, sentences must be few as well
-#: (under half of the words, addresses included), and from DOUBT on it is flagged too if there are next to none (under a
-#: fifth).
-HALF, SURE, DOUBT = 0.5, 0.75, 0.4
+#: Bytes of texts, and tokens, that are worked on at a time; one longer text is taken alone.
+BYTES, TOKENS = 4_000_000, 1_000_000
+#: A page is flagged if more than this part of its words stands outside prose.
+HALF = 0.5
 #: A text is taken for prose if so many of its words stand in sentences of five words or more.
 PROSE_SHARE = 0.6
 #: Weights of the trigram, bigram, unigram and uniform parts.
@@ -156,8 +157,7 @@ class Tokens:
     sizes: np.ndarray
     bytes: np.ndarray
     hashes: np.ndarray
-    in_sentences: np.ndarray  # by text: the part of its words that stand in sentences of at least five words
-    prose: np.ndarray  # by text: most words stand in sentences, and it has no bare address
+    prose: np.ndarray  # by text: most words stand in sentences of at least five words, and it has no bare address
 
 
 def read_texts(texts: list[str | None]) -> Tokens:
@@ -186,7 +186,7 @@ def read_texts(texts: list[str | None]) -> Tokens:
     good = np.bincount(text[stops], np.where(here >= 5, here, 0), len(sizes))
     share = good / np.maximum(total, 1)
     bare = np.bincount(text, parts & _HTTP > 0, len(sizes)) > 0
-    return Tokens(sizes, codes, hashes, share, (sizes > 0) & (share >= PROSE_SHARE) & ~bare)
+    return Tokens(sizes, codes, hashes, (sizes > 0) & (share >= PROSE_SHARE) & ~bare)
 
 
 def _recent(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -198,11 +198,6 @@ def _recent(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out & (hashes > 0)
 
 
-def prose_share(text: str) -> float:
-    """Part of the words that stand in sentences of at least five words."""
-    return float(read_texts([text]).in_sentences[0])
-
-
 def class_sequence(codes: np.ndarray, hashes: np.ndarray, words: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Numbers of function words and word classes of tokens; `words` are the function words' hashes in order, `places` their numbers."""
     first = len(words)
@@ -296,7 +291,7 @@ class ProseModel:
         other = self.bi[keys % (n * n)]
         return np.where(at >= 0, self.tri[at], other) if len(self.tri) else other
 
-    def judge_tokens(self, sizes: np.ndarray, codes: np.ndarray, hashes: np.ndarray, in_sentences: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def judge_tokens(self, sizes: np.ndarray, codes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """By text: bits per token, part of the words in stretches that are no prose, flagged; 0, 0 and False without words."""
         costs = self.costs_of(trigrams(sizes, codes, hashes, self.words, self.places))
         means = stretch_means(costs, sizes)
@@ -305,12 +300,11 @@ class ProseModel:
         text = np.repeat(np.arange(len(sizes)), sizes)
         words = np.bincount(text, is_word, len(sizes))
         share = np.bincount(text, odd, len(sizes)) / np.maximum(words, 1)
-        few = in_sentences < np.where(share > HALF, 0.5, 0.2)
-        return np.where(words > 0, _means(costs, sizes), 0.0), share, (share > SURE) | (share > DOUBT) & few
+        return np.where(words > 0, _means(costs, sizes), 0.0), share, share > HALF
 
     def judge(self, text: str) -> tuple[float, float, bool]:
         t = read_texts([text])
-        bits, share, flagged = self.judge_tokens(t.sizes, t.bytes, t.hashes, t.in_sentences)
+        bits, share, flagged = self.judge_tokens(t.sizes, t.bytes, t.hashes)
         return float(bits[0]), float(share[0]), bool(flagged[0])
 
 
@@ -418,22 +412,32 @@ def fit(texts: list[str], rounds: int = 3) -> ProseModel | None:
     return _fit(words, places, keys, counts, lambda f: np.unique(f(rows, sizes), return_counts=True), rounds)
 
 
-_READ = "doc_id bigint, codes binary, hashes binary, in_sentences double, prose boolean"
+_READ = "doc_id bigint, codes binary, hashes binary, prose boolean"
+
+
+def _parts(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut where a column reaches `most` bytes, so that memory stays bounded whatever the texts' lengths are."""
+    for batch in batches:
+        place = np.cumsum(np.asarray(pc.binary_length(batch.column(column)).fill_null(0), np.int64)) // most
+        cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
 
 
 def tokens_table(documents: DataFrame) -> DataFrame:
-    """(doc_id, codes, hashes, in_sentences, prose) for every row: its tokens as five bytes each, whatever the function words are.
+    """(doc_id, codes, hashes, prose) for every row: its tokens as five bytes each, whatever the function words are.
 
     Texts are cut into tokens once; all that follows works on these numbers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, "text", BYTES):
             t = read_texts(batch.column("text").to_pylist())
             ends = np.cumsum(t.sizes)
             own = lambda x: pa.array([x[e - n : e].tobytes() for e, n in zip(ends, t.sizes)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), own(t.bytes), own(t.hashes), pa.array(t.in_sentences), pa.array(t.prose)], names=["doc_id", "codes", "hashes", "in_sentences", "prose"]
+                [batch.column("doc_id"), own(t.bytes), own(t.hashes), pa.array(t.prose)], names=["doc_id", "codes", "hashes", "prose"]
             )
 
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _READ)
@@ -465,7 +469,7 @@ def fit_tokens(read: DataFrame, rounds: int = 3) -> ProseModel | None:
     """
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, "codes", TOKENS):
             yield _value_batch(*_vocabulary(*_tokens(batch)))
 
     counts = read.mapInArrow(vocabulary, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n"))
@@ -474,7 +478,7 @@ def fit_tokens(read: DataFrame, rounds: int = 3) -> ProseModel | None:
     prose = read.where("prose").select("codes", "hashes")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, "codes", TOKENS):
             yield _value_batch(*np.unique(trigrams(*_tokens(batch), words, places), return_counts=True))
 
     keys, n = _counted(prose.mapInArrow(count, "value bigint, n bigint"))
@@ -484,7 +488,7 @@ def fit_tokens(read: DataFrame, rounds: int = 3) -> ProseModel | None:
 
     def in_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _Table(shared.value)
-        for batch in batches:
+        for batch in _parts(batches, "codes", TOKENS):
             sizes, codes, hashes = _tokens(batch)
             found, ends = table.find(trigrams(sizes, codes, hashes, words, places)), np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays([pa.array([found[e - k : e].tobytes() for e, k in zip(ends, sizes)], pa.binary())], names=["x"])
@@ -493,7 +497,7 @@ def fit_tokens(read: DataFrame, rounds: int = 3) -> ProseModel | None:
 
     def tally(f: Callable) -> tuple[np.ndarray, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _parts(batches, "x", 4 * TOKENS):
                 x = batch.column("x").to_pylist()
                 sizes = np.array([len(b) // 4 for b in x], np.int64)
                 yield _value_batch(*np.unique(f(np.frombuffer(b"".join(x), np.int32), sizes), return_counts=True))
@@ -524,18 +528,14 @@ def scores(documents: DataFrame, model: ProseModel | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in _parts(batches, "codes", TOKENS):
             none = np.zeros(batch.num_rows)
-            told = np.asarray(batch.column("in_sentences"), float)
-            bits, share, flags = known.judge_tokens(*_tokens(batch), told) if known is not None else (none, none, none > 0)
+            bits, share, flags = known.judge_tokens(*_tokens(batch)) if known is not None else (none, none, none > 0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits), pa.array(share), pa.array(flags)], names=["doc_id", "bits", "odd_share", "flagged"])
 
     return read.mapInArrow(run, "doc_id bigint, bits double, odd_share double, flagged boolean")
 
 
 def found(documents: DataFrame, model: ProseModel | None = None) -> DataFrame:
-    """(doc_id) of every document most of whose words stand outside prose; each once.
-
-    Between DOUBT and SURE the part of words in sentences decides as well.
-    """
+    """(doc_id) of every document most of whose words stand outside prose; each once."""
     return scores(documents, model).where("flagged").select("doc_id").distinct()

@@ -24,8 +24,9 @@ from ..operators.skew import spread_join
 from ..sources.tables import use_checkpoints
 from . import shingles
 from .page_model import PageModel, body_lines
-from .pages import page_results
+from .pages import walked
 from .rare_runs import candidates
+from .residue_model import with_residue
 
 #: Words of a run, and the share of runs that a pair must have in common.
 RUN, LEAST_SIMILARITY = 3, 0.6
@@ -79,15 +80,19 @@ def _body_sets(model: PageModel) -> Callable:
     return result
 
 
-def body_sets(pages: DataFrame, annotations: DataFrame, model: PageModel | None) -> DataFrame:
-    """(page_id, body, runs, signature) of the current successful pages with a main body that is no residue.
+def body_sets(pages: DataFrame, annotations: DataFrame, model: PageModel | None) -> tuple[DataFrame, DataFrame]:
+    """(bodies, sets): bodies (page_id, body, mark, signature) of the current successful pages with a main body that is no residue, and runs (page_id, runs).
 
-    The signature has LONGEST minima for each tree, of which the lower 16 bits
-    are kept. Bodies of fewer than RUN words have no runs and are left out:
-    they are similar to nothing.
+    `body` and `mark` are two hashes of the whole set of runs. The signature
+    has LONGEST minima for each tree, of which the lower 16 bits are kept.
+    Bodies of fewer than RUN words have no runs and are left out: they are
+    similar to nothing. The second table has all pages, so it is to be joined.
     """
-    done = page_results(pages, annotations, model, _FIELDS, _body_sets)
-    return done.where("status = 'success' and not residue and runs is not null").select("page_id", *_FIELDS.names)
+    model = model if model is not None else PageModel()
+    done = walked(pages, annotations, model, _FIELDS, _body_sets)
+    own = done.where("status = 'success' and runs is not null").withColumn("mark", F.xxhash64("runs")).drop("runs", "scraped_at", "status")
+    bodies = with_residue(own, model.residue).where("not residue").select("page_id", "body", "mark", "signature")
+    return bodies, done.select("page_id", "runs")
 
 
 _ENTRY = pa.schema([pa.field("key", pa.int64()), pa.field("node", pa.int64()), pa.field("rest", pa.int64())])
@@ -213,13 +218,13 @@ def similar_bodies(pages: DataFrame, annotations: DataFrame, model: PageModel |
     wrong match is below 10^-15.
     """
     use_checkpoints(pages.sparkSession)
-    sets = body_sets(pages, annotations, model)
-    small = sets.select("page_id", "body", F.xxhash64("runs").alias("mark"), "signature").checkpoint()
+    bodies, sets = body_sets(pages, annotations, model)
+    small = bodies.checkpoint()
     named = small.groupBy("body", "mark").agg(F.min("page_id").alias("key"))
     classes = spread_join(small.select("page_id", "body", "mark"), named, ["body", "mark"], ["page_id"]).select("page_id", "key").checkpoint()
     heads = classes.where("page_id = key").select("key")
     signatures = small.select(F.col("page_id").alias("key"), "signature").join(heads, "key", "left_semi").checkpoint()
-    return classes, near_pairs(signatures, sets.select(F.col("page_id").alias("key"), "runs"), least)
+    return classes, near_pairs(signatures, sets.withColumnRenamed("page_id", "key"), least)
 
 
 def found(pages: DataFrame, annotations: DataFrame, model: PageModel | None = None) -> DataFrame:

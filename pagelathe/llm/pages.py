@@ -118,15 +118,14 @@ def _ddl_of(fields: pa.Schema) -> str:
     return "".join(f", {f.name} {_DDL[str(f.type)]}" for f in fields)
 
 
-def page_results(pages: DataFrame, annotations: DataFrame, model: PageModel | None, fields: pa.Schema, result: Callable[[PageModel], Callable], carry: tuple[str, ...] = ()) -> DataFrame:
-    """(page_id, scraped_at, status, *carry, *fields, residue) of the current rows, whatever their status.
+def walked(pages: DataFrame, annotations: DataFrame, model: PageModel, fields: pa.Schema, result: Callable[[PageModel], Callable], carry: tuple[str, ...] = ()) -> DataFrame:
+    """(page_id, scraped_at, status, *carry, *fields, evidence) of the current rows, whatever their status.
 
     `result(model)` gives the function for `map_pages`. What is not fitted yet
     in `model` is fitted, and stays in it for other queries. The html is walked
     once: the residue model is fitted on what the walk left of the current rows,
     which is kept for that.
     """
-    model = model if model is not None else PageModel()
     if not model.fitted:
         fit_body_model(pages, annotations, model=model)
     mapped = latest(map_pages(pages, model, fields, result(model), carry), "page_id", "scraped_at")
@@ -135,7 +134,13 @@ def page_results(pages: DataFrame, annotations: DataFrame, model: PageModel | No
         mapped = mapped.checkpoint()
         model.residue = fit_residue(mapped)
         model.residue_fitted = True
-    return with_residue(mapped, model.residue)
+    return mapped
+
+
+def page_results(pages: DataFrame, annotations: DataFrame, model: PageModel | None, fields: pa.Schema, result: Callable[[PageModel], Callable], carry: tuple[str, ...] = ()) -> DataFrame:
+    """(page_id, scraped_at, status, *carry, *fields, residue): `walked` with the decision in place of the evidence."""
+    model = model if model is not None else PageModel()
+    return with_residue(walked(pages, annotations, model, fields, result, carry), model.residue)
 
 
 def fit_page_model(pages: DataFrame, annotations: DataFrame, labelled: int = LABELLED) -> PageModel:

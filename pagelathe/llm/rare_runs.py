@@ -2,10 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import spread_join
+#: Runs that stand in so many pairs of sets are common; the commonest of them, at most MOST_COMMON (8 MB), are put first
+#: in the order of runs. Which ones these are changes what has to be compared, never the result.
+COMMON, MOST_COMMON = 100, 1_000_000
+
+
+def common_runs(left: DataFrame, right: DataFrame) -> np.ndarray:
+    """The commonest runs of both sides, the commonest first; counted with partial sums, and bounded before they reach the driver."""
+    flat = lambda df, side: df.select(F.lit(side).alias("side"), F.explode("runs").alias("run"))
+    counts = flat(left, 0).union(flat(right, 1)).groupBy("run").agg(F.sum(1 - F.col("side")).alias("in_left"), F.sum("side").alias("in_right"))
+    many = counts.select("run", (F.col("in_left") * F.col("in_right")).alias("n")).where(F.col("n") > COMMON)
+    return np.asarray(many.orderBy(F.desc("n"), "run").limit(MOST_COMMON).select("run").toArrow()["run"], np.int64)
+
+
+_TAIL = pa.schema([pa.field("key", pa.int64()), pa.field("run", pa.int64()), pa.field("size", pa.int32()), pa.field("place", pa.int32())])
+
+
+def tails(sets: DataFrame, common: np.ndarray, least: float) -> DataFrame:
+    """(key, run, size, place) of the runs of each set (key, runs) that stand at the part `least` of it or behind.
+
+    The runs of all sets are in one order: common ones first, the others by their numbers.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast((np.sort(common), np.argsort(common)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rank = shared.value
+        for batch in batches:
+            keys = np.asarray(batch.column("key"), np.int64)
+            flat = np.asarray(batch.column("runs").flatten(), np.int64)
+            sizes = np.asarray(batch.column("runs").value_lengths().fill_null(0), np.int64)
+            own = np.repeat(np.arange(len(sizes)), sizes)
+            first = np.full(len(flat), len(known), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+                first = np.where(known[at] == flat, rank[at], first)
+            order = np.lexsort((flat, first, own))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+            size = np.repeat(sizes, sizes)
+            kept = place >= least * size
+            arrays = [pa.array(keys[own][kept]), pa.array(flat[order][kept]), pa.array(size[kept].astype(np.int32)), pa.array(place[kept].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_TAIL)
+
+    return sets.select("key", "runs").mapInArrow(run, "key bigint, run bigint, size int, place int")
 
 
 def candidates(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
@@ -13,26 +58,19 @@ def candidates(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
 
     Both sides have key and runs, an array of different numbers. Of such a pair
     each set has at least the part `least` of its runs in common with the
-    other. A set's runs that occur on both sides are ordered from the most
-    common to the rarest, in one order for all sets: the rarest run that a pair
-    shares stands no earlier than the others it shares, so at that part of the
-    set's runs or behind. Only runs that stand there are joined on: phrases
-    that everything shares pair nothing, and no pair is lost. Nor does a run
-    pair sets that cannot be similar enough if it is the rarest they share, for
-    then they share no more runs than stand up to it in either. Sets that are
-    equal should be one on each side before this is called.
+    other. With the runs of all sets in one order, the last run that a pair
+    shares stands no earlier than the others it shares, so at that part of
+    either set or behind. Only runs that stand there are joined on: phrases
+    that everything shares come first and pair nothing, and no pair is lost.
+    Nor does a run pair sets that cannot be similar enough if it is the last
+    they share, for then they share no more runs than stand up to it in either.
+    Sets that are equal should be one on each side before this is called.
     """
-    flat = lambda df, side: df.select(F.lit(side).alias("side"), "key", F.size("runs").alias("size"), F.explode("runs").alias("run"))
-    runs = flat(left, 0).union(flat(right, 1))
-    sides = runs.groupBy("run").agg(F.sum(1 - F.col("side")).alias("in_left"), F.sum("side").alias("in_right"))
-    # Only runs that occur on both sides can be shared; one that stands in all sets is dealt out over several tasks.
-    common = spread_join(runs, sides.where("in_left > 0 and in_right > 0"), ["run"], ["side", "key"], parts=4)
-    order = Window.partitionBy("side", "key").orderBy((F.col("in_left") * F.col("in_right")).desc(), "run")
-    prefix = common.withColumn("place", F.row_number().over(order)).where(F.col("place") / F.col("size") >= least)
-    side = lambda n, x: prefix.where(F.col("side") == n).select("run", F.col("key").alias(x), F.col("size").alias(f"size_{x}"), F.col("place").alias(f"place_{x}"))
+    common = common_runs(left, right)
+    side = lambda df, x: tails(df, common, least).select("run", F.col("key").alias(x), F.col("size").alias(f"size_{x}"), F.col("place").alias(f"place_{x}"))
     most = F.least("place_a", "place_b")
     return (
-        side(0, "a").join(side(1, "b"), "run")
+        side(left, "a").join(side(right, "b"), "run")
         .where(most / (F.col("size_a") + F.col("size_b") - most) >= least)
         .select("a", "b")
         .distinct()

@@ -71,6 +71,11 @@ def _slot(word: str) -> int:
     return found
 
 
+def _has_placeholder(text: str) -> bool:
+    likely = "{" in text or "<" in text or "%" in text or "@@" in text or "[[" in text or "__" in text
+    return likely and _PLACEHOLDER.search(text) is not None
+
+
 def _share(score: float) -> float:
     return 1 / (1 + exp(-score)) if score > -30 else 0.0
 
@@ -94,7 +99,7 @@ def evidence_of(html: str | None, status: str | None, lines: list[tuple], scores
         cells += own
         sizes.append(len(own))
         weights.append(0.0 if head else _share(score))
-        marked = marked or _PLACEHOLDER.search(item[2]) is not None
+        marked = marked or _has_placeholder(item[2])
     notices = noscript_texts(html) if html else []
     for text in notices:
         own = {_slot("!" + ("0" if w.isdigit() else w)) for w in _WORD.findall(text.lower())}
