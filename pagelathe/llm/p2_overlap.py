@@ -16,14 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import site_of
 from ..operators.skew import spread_join
 from ..sources.tables import use_checkpoints
 from . import shingles
-from .rare_runs import candidates
+from .rare_runs import candidates, joined_tails
 
 #: Words of a run, and the share of runs that a pair must have in common.
 RUN, LEAST_SIMILARITY = 3, 0.6
@@ -87,8 +87,8 @@ def records(split: DataFrame) -> DataFrame:
     """(page_id, url, body, runs, chunks) of the records of a split that name lines of their own.
 
     Records with null messages, without user content or without an answer that
-    names lines are left out. The last message of a role counts. Rows that
-    repeat a page_id with the same body count once.
+    names lines are left out. The last message of a role counts. Repeated rows
+    stay.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,8 +107,7 @@ def records(split: DataFrame) -> DataFrame:
             names = ("page_id", "url", "body", "runs", "chunks")
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=list(names))
 
-    done = split.select(F.col("page_id").cast("bigint"), "url", "messages").mapInArrow(run, _FIELDS)
-    return done.groupBy("page_id", "body").agg(*[F.first(c).alias(c) for c in ("runs", "chunks")], F.min("url").alias("url"))
+    return split.select(F.col("page_id").cast("bigint"), "url", "messages").mapInArrow(run, _FIELDS)
 
 
 def _length(digest: Column) -> Column:
@@ -127,21 +126,13 @@ def _overlap() -> Column:
 def overlaps(train: DataFrame, test: DataFrame, least: float = LEAST_OVERLAP) -> DataFrame:
     """(a, b): pairs of a training and a test record, by key, whose overlap is at least `least`.
 
-    Both sides have key and chunks. A record's chunks that occur on both sides
-    are taken from the rarest on; without the commonest ones that together are
-    shorter than the part `least` of the record, a pair that overlaps enough
-    still shares a chunk. So only the others are joined on: phrases that
-    everything shares are counted, but pair nothing.
+    Both sides have key and chunks. Digests are joined but for the commonest of
+    a record that together are shorter than the part `least` of it: a pair that
+    overlaps enough still shares another. So phrases that everything shares are
+    counted, but pair nothing. The lengths of all shared chunks are then summed.
     """
-    flat = lambda df, side: df.select(F.lit(side).alias("side"), "key", _total(F.col("chunks")).alias("size"), F.explode("chunks").alias("digest"))
-    chunks = flat(train, 0).union(flat(test, 1))
-    sides = chunks.groupBy("digest").agg(F.sum(1 - F.col("side")).alias("in_train"), F.sum("side").alias("in_test"))
-    common = spread_join(chunks, sides.where("in_train > 0 and in_test > 0"), ["digest"], ["side", "key"], parts=4)
-    order = Window.partitionBy("side", "key").orderBy((F.col("in_train") * F.col("in_test")).desc(), "digest")
-    behind = F.sum(_length(F.col("digest"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    prefix = common.withColumn("behind", behind).where(F.col("behind") >= least * F.col("size"))
-    side = lambda n, x: prefix.where(F.col("side") == n).select("digest", F.col("key").alias(x), F.col("size").alias(f"size_{x}"))
-    near = side(0, "a").join(side(1, "b"), "digest").where(F.least("size_a", "size_b") >= least * F.greatest("size_a", "size_b")).select("a", "b").distinct()
+    near = joined_tails(train, test, least, "chunks", lambda digests: digests & 255)
+    near = near.where(F.least("size_a", "size_b") >= least * F.greatest("size_a", "size_b")).select("a", "b").distinct()
     own = lambda df, x: df.select(F.col("key").alias(x), F.col("chunks").alias(f"chunks_{x}"))
     return near.join(own(train, "a"), "a").join(own(test, "b"), "b").where(_overlap() >= least).select("a", "b")
 
@@ -155,8 +146,9 @@ def class_pairs(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame
     use_checkpoints(train.sparkSession)
     a, b = records(train).checkpoint(), records(test).checkpoint()
     one = lambda df: df.where(F.size("runs") > 0).groupBy(F.col("body").alias("key")).agg(*[F.first(c).alias(c) for c in ("runs", "chunks")])
-    left, right = one(a), one(b)
+    left, right = one(a).checkpoint(), one(b).checkpoint()
     side = lambda df, x: df.select(F.col("key").alias(x), F.col("runs").alias(f"runs_{x}"), F.col("chunks").alias(f"chunks_{x}"))
+    once = lambda df: df.groupBy("page_id", "body").agg(F.min("url").alias("url"))
     common = F.size(F.array_intersect("runs_a", "runs_b"))
     near = overlaps(left, right).checkpoint()
     rest = candidates(left, right, LEAST_SIMILARITY).join(near, ["a", "b"], "left_anti")
@@ -168,7 +160,7 @@ def class_pairs(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame
         .where(F.col("similarity") >= LEAST_SIMILARITY)
         .select("a", "b", _overlap().alias("overlap"), "similarity")
     )
-    return close.checkpoint(), a, b
+    return close.checkpoint(), once(a), once(b)
 
 
 def pairs(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -180,7 +172,8 @@ def pairs(train: DataFrame, test: DataFrame) -> DataFrame:
     close, a, b = class_pairs(train, test)
     own = lambda df, x, name: df.select(F.col("body").alias(x), F.col("page_id").alias(f"{name}_page"), F.col("url").alias(f"{name}_url"))
     half = spread_join(own(a, "a", "train"), close, ["a"], ["train_page"])
-    return spread_join(half, own(b, "b", "test"), ["b"], ["train_page"]).select("train_page", "test_page", "train_url", "test_url", "overlap", "similarity")
+    there = own(b, "b", "test").join(close.select("b").distinct(), "b", "left_semi")
+    return spread_join(half, there, ["b"], ["train_page"]).select("train_page", "test_page", "train_url", "test_url", "overlap", "similarity")
 
 
 def found(train: DataFrame, test: DataFrame) -> DataFrame:

@@ -127,10 +127,11 @@ def meetings(sets: DataFrame, shortest: int, most: int = MOST_IN_BUCKET) -> tupl
 
     `depth` is the longest prefix that a pair shares in some tree.
     """
-    entries = forest(sets, shortest)
-    sizes = entries.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").checkpoint()
-    shared = entries.join(sizes.where(F.col("n") <= most).select("node"), "node", "left_semi")
-    busy = spread_join(entries, sizes.where(F.col("n") > most).select("node"), ["node"], ["key"], "left_semi").select("key").distinct()
+    entries = shared = forest(sets, shortest)
+    large = entries.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > most).select("node").checkpoint()
+    busy = spread_join(entries, large, ["node"], ["key"], "left_semi").select("key").distinct()
+    if large.take(1):
+        shared = spread_join(entries, large, ["node"], ["key"], "left_anti")
     depth = F.lit(shortest)
     for i in range(shortest, LONGEST):
         # The minima from the node down to this one are equal: nothing is left of their difference.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,21 +14,23 @@ from pyspark.sql import functions as F
 COMMON, MOST_COMMON = 100, 1_000_000
 
 
-def common_runs(left: DataFrame, right: DataFrame) -> np.ndarray:
-    """The commonest runs of both sides, the commonest first; counted with partial sums, and bounded before they reach the driver."""
-    flat = lambda df, side: df.select(F.lit(side).alias("side"), F.explode("runs").alias("run"))
+def common_runs(left: DataFrame, right: DataFrame, column: str = "runs") -> np.ndarray:
+    """The commonest elements of both sides, the commonest first; counted with partial sums, and bounded before they reach the driver."""
+    flat = lambda df, side: df.select(F.lit(side).alias("side"), F.explode(column).alias("run"))
     counts = flat(left, 0).union(flat(right, 1)).groupBy("run").agg(F.sum(1 - F.col("side")).alias("in_left"), F.sum("side").alias("in_right"))
     many = counts.select("run", (F.col("in_left") * F.col("in_right")).alias("n")).where(F.col("n") > COMMON)
     return np.asarray(many.orderBy(F.desc("n"), "run").limit(MOST_COMMON).select("run").toArrow()["run"], np.int64)
 
 
-_TAIL = pa.schema([pa.field("key", pa.int64()), pa.field("run", pa.int64()), pa.field("size", pa.int32()), pa.field("place", pa.int32())])
+_TAIL = pa.schema([pa.field("key", pa.int64()), pa.field("run", pa.int64()), pa.field("size", pa.int64()), pa.field("place", pa.int64())])
 
 
-def tails(sets: DataFrame, common: np.ndarray, least: float) -> DataFrame:
-    """(key, run, size, place) of the runs of each set (key, runs) that stand at the part `least` of it or behind.
+def tails(sets: DataFrame, common: np.ndarray, least: float, column: str = "runs", weigh: Callable[[np.ndarray], np.ndarray] = np.ones_like) -> DataFrame:
+    """(key, run, size, place) of the elements of each set (key, `column`) that stand at the part `least` of it or behind.
 
-    The runs of all sets are in one order: common ones first, the others by their numbers.
+    The elements of all sets are in one order: common ones first, the others by
+    their numbers. `place` is the weight up to and with an element, `size` that
+    of the whole set.
     """
     shared = sets.sparkSession.sparkContext.broadcast((np.sort(common), np.argsort(common)))
 
@@ -36,21 +38,29 @@ def tails(sets: DataFrame, common: np.ndarray, least: float) -> DataFrame:
         known, rank = shared.value
         for batch in batches:
             keys = np.asarray(batch.column("key"), np.int64)
-            flat = np.asarray(batch.column("runs").flatten(), np.int64)
-            sizes = np.asarray(batch.column("runs").value_lengths().fill_null(0), np.int64)
-            own = np.repeat(np.arange(len(sizes)), sizes)
+            flat = np.asarray(batch.column(column).flatten(), np.int64)
+            counts = np.asarray(batch.column(column).value_lengths().fill_null(0), np.int64)
+            own = np.repeat(np.arange(len(counts)), counts)
             first = np.full(len(flat), len(known), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
                 first = np.where(known[at] == flat, rank[at], first)
-            order = np.lexsort((flat, first, own))
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
-            size = np.repeat(sizes, sizes)
+            flat = flat[np.lexsort((flat, first, own))]
+            upto = np.concatenate(([0], np.cumsum(weigh(flat))))
+            end = np.cumsum(counts)
+            before, size = np.repeat(upto[end - counts], counts), np.repeat(upto[end] - upto[end - counts], counts)
+            place = upto[1:] - before
             kept = place >= least * size
-            arrays = [pa.array(keys[own][kept]), pa.array(flat[order][kept]), pa.array(size[kept].astype(np.int32)), pa.array(place[kept].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(arrays, schema=_TAIL)
+            yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (keys[own], flat, size, place)], schema=_TAIL)
 
-    return sets.select("key", "runs").mapInArrow(run, "key bigint, run bigint, size int, place int")
+    return sets.select("key", column).mapInArrow(run, "key bigint, run bigint, size bigint, place bigint")
+
+
+def joined_tails(left: DataFrame, right: DataFrame, least: float, column: str = "runs", weigh: Callable[[np.ndarray], np.ndarray] = np.ones_like) -> DataFrame:
+    """(run, a, b, size_a, size_b, place_a, place_b): the sets of both sides whose tails share an element, a row for each of these."""
+    common = common_runs(left, right, column)
+    side = lambda df, x: tails(df, common, least, column, weigh).select("run", F.col("key").alias(x), F.col("size").alias(f"size_{x}"), F.col("place").alias(f"place_{x}"))
+    return side(left, "a").join(side(right, "b"), "run")
 
 
 def candidates(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
@@ -66,12 +76,5 @@ def candidates(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     they share, for then they share no more runs than stand up to it in either.
     Sets that are equal should be one on each side before this is called.
     """
-    common = common_runs(left, right)
-    side = lambda df, x: tails(df, common, least).select("run", F.col("key").alias(x), F.col("size").alias(f"size_{x}"), F.col("place").alias(f"place_{x}"))
     most = F.least("place_a", "place_b")
-    return (
-        side(left, "a").join(side(right, "b"), "run")
-        .where(most / (F.col("size_a") + F.col("size_b") - most) >= least)
-        .select("a", "b")
-        .distinct()
-    )
+    return joined_tails(left, right, least).where(most / (F.col("size_a") + F.col("size_b") - most) >= least).select("a", "b").distinct()
