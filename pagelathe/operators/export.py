@@ -106,11 +106,13 @@ def read_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").csv(path, header=True)
+    """CSV with a header; quotes inside values are doubled, nulls are empty fields and empty texts quoted ones."""
+    rows.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schema)
+    """What `write_csv` wrote, line breaks inside values included."""
+    return spark.read.csv(path, header=True, schema=schema, escape='"', multiLine=True)
 
 
 def debug_html(html: Column, base: Column, script: str = "") -> Column:

@@ -173,9 +173,9 @@ def test_export(spark, tmp_path):
     assert [m.content for m in chat.where("page_id = 2").first().messages] == [export.SYSTEM, "l2", "1:1"]
     export.write_jsonl(chat, str(tmp_path / "j"))
     assert rows(export.read_jsonl(spark, str(tmp_path / "j"), chat.schema)) == rows(chat)
-    flat = pages.select("page_id", "url")
+    flat = spark.createDataFrame([(1, 'say "x", or\ny', 0.1 + 0.2), (2, None, None), (3, "", -1e-300), (4, "\\", 1e20)], "page_id bigint, text string, x double")
     export.write_csv(flat, str(tmp_path / "c"))
-    assert export.read_csv(spark, str(tmp_path / "c"), flat.schema).count() == 2
+    assert rows(export.read_csv(spark, str(tmp_path / "c"), flat.schema)) == rows(flat)
     split = export.hash_split(spark.range(20000).withColumnRenamed("id", "page_id"))
     assert split.where("split = 'train'").count() / 20000 == pytest.approx(0.8, abs=0.02)
     train, test = export.shuffled_split(range(10))
