@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Runs that stand in so many pairs of sets are common; the commonest of them, at most MOST_COMMON (8 MB), are put first
+#: Runs that stand in more pairs of sets are common; the commonest of them, at most MOST_COMMON (8 MB), are put first
 #: in the order of runs. Which ones these are changes what has to be compared, never the result.
-COMMON, MOST_COMMON = 100, 1_000_000
+COMMON, MOST_COMMON = 1, 1_000_000
 
 
 def common_runs(left: DataFrame, right: DataFrame, column: str = "runs") -> np.ndarray:
