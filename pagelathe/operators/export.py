@@ -106,7 +106,7 @@ def read_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
-    """CSV with a header; quotes inside values are doubled, nulls are empty fields and empty texts quoted ones."""
+    """CSV with a header; quotes inside values are doubled. Nulls and empty texts both come back as nulls."""
     rows.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
