@@ -89,7 +89,7 @@ def body_sets(pages: DataFrame, annotations: DataFrame, model: PageModel | None)
     similar to nothing. The second table has all pages, so it is to be joined.
     """
     model = model if model is not None else PageModel()
-    done = walked(pages, annotations, model, _FIELDS, _body_sets)
+    done = walked(pages, annotations, model, _FIELDS, _body_sets, keep=True)
     own = done.where("status = 'success' and runs is not null").withColumn("mark", F.xxhash64("runs")).drop("runs", "scraped_at", "status")
     bodies = with_residue(own, model.residue).where("not residue").select("page_id", "body", "mark", "signature")
     return bodies, done.select("page_id", "runs")

@@ -118,20 +118,24 @@ def _ddl_of(fields: pa.Schema) -> str:
     return "".join(f", {f.name} {_DDL[str(f.type)]}" for f in fields)
 
 
-def walked(pages: DataFrame, annotations: DataFrame, model: PageModel, fields: pa.Schema, result: Callable[[PageModel], Callable], carry: tuple[str, ...] = ()) -> DataFrame:
+def walked(
+    pages: DataFrame, annotations: DataFrame, model: PageModel, fields: pa.Schema, result: Callable[[PageModel], Callable], carry: tuple[str, ...] = (), keep: bool = False
+) -> DataFrame:
     """(page_id, scraped_at, status, *carry, *fields, evidence) of the current rows, whatever their status.
 
     `result(model)` gives the function for `map_pages`. What is not fitted yet
     in `model` is fitted, and stays in it for other queries. The html is walked
     once: the residue model is fitted on what the walk left of the current rows,
-    which is kept for that.
+    which is kept for that; with `keep` it is kept in any case, for callers that
+    read it more than once.
     """
     if not model.fitted:
         fit_body_model(pages, annotations, model=model)
     mapped = latest(map_pages(pages, model, fields, result(model), carry), "page_id", "scraped_at")
-    if not model.residue_fitted:
+    if keep or not model.residue_fitted:
         use_checkpoints(pages.sparkSession)
         mapped = mapped.checkpoint()
+    if not model.residue_fitted:
         model.residue = fit_residue(mapped)
         model.residue_fitted = True
     return mapped
