@@ -10,7 +10,7 @@ from ..functions import training
 from ..operators import analysis, features, items
 from ..operators.skew import sifted
 from ..sources.tables import read_table, use_checkpoints
-from .base import CA, CP, MEASURED, current_annotations, current_pages, lines, measured, query, with_
+from .base import CA, CP, MEASURED, current_annotations, lines, measured, query, with_
 
 Z = ("text_length", "word_count", "link_ratio", "is_heading")
 
