@@ -212,6 +212,35 @@ def test_assignment_keeps_together(spark):
     assert p7_splits.assign(df.limit(0)).count() == 0
 
 
+@pytest.fixture
+def fixed_plans(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_site_with_a_third_of_all_pages(spark, fixed_plans):
+    """One site has a third of the pages, and one author links another site to it."""
+    urls = [f"http://big.x/{i}" for i in range(200)] + [f"http://s{i % 90}.x/{i}" for i in range(398)] + ["http://big.x/@jo/1", "http://s7.x/users/Jo/2"]
+    df = spark.createDataFrame([(i, u, "success", T0, None, None) for i, u in enumerate(urls)], URL)
+    train, test = [0, 205], list(range(1, 204)) + list(range(206, len(urls)))
+    manifest = spark.createDataFrame([(1, len(urls), train, test)], "seed bigint, total bigint, train_page_ids array<bigint>, test_page_ids array<bigint>")
+    site = lambda u: u.split("/")[2]
+    reached = {"big.x", "s7.x", site(urls[205])}
+    want = {i for i in test if site(urls[i]) in reached}
+    assert {r.page_id for r in p7_splits.found(df, manifest).collect()} == want and len(want) > 200
+
+
+def test_record_with_a_third_of_all_copies(spark, fixed_plans):
+    same, near = " ".join(words(31)), " ".join([*words(31)[:70], *words(32)[:10]])
+    train = [record(i, [same], url="http://a.b/") for i in range(60)] + [record(100 + i, [" ".join(words(100 + i))]) for i in range(60)]
+    test = [record(1000 + i, [same]) for i in range(5)] + [record(2000, [near], url="http://c.d/"), record(2001, [" ".join(words(900))])]
+    a, b = spark.createDataFrame(train, RECORD), spark.createDataFrame(test, RECORD)
+    assert {tuple(r) for r in p2_overlap.found(a, b).collect()} == {(i, j) for i in range(60) for j in (*range(1000, 1005), 2000)}
+    report = {(r.split, r.site): (r.pairs, r.records) for r in p2_overlap.report(a, b).collect()}
+    assert report == {("train", "a.b"): (360, 60), ("test", None): (300, 5), ("test", "c.d"): (60, 1)}
+
+
 def test_assignment_of_the_small_tables(spark):
     """No key in two splits, and every split and dataset near its share, on the registered query."""
     rows = read_table(spark, SMALL, "pages")
