@@ -32,6 +32,7 @@ EDGES = np.array([1, 3, 10, 30, 60, 120, 250, 500, 1000], float)
 LITTLE, DOUBTFUL = 120.0, 0.3
 #: What one passage can add to or take from a record's log odds; rounds of expectation-maximization; beliefs below FLOOR are none.
 CLIP, ROUNDS, FLOOR = 6.0, 6, 1e-6
+#: Words that a Python worker remembers the slots of; the memory is emptied between pages when full.
 MEMORY = 200_000
 
 # Marks of templates that were not filled.
@@ -40,7 +41,6 @@ _PLACEHOLDER = re.compile(
 )
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
 _NOTICE, _MARKUP = re.compile(r"<noscript\b[^>]*>(.*?)(?:</noscript\s*>|\Z)", re.I | re.S), re.compile(r"<[^>]*>")
-_slots: dict[str, int] = {}
 
 EVIDENCE = pa.schema(
     [
@@ -62,13 +62,13 @@ def noscript_texts(html: str) -> list[str]:
     return [x for x in found if x]
 
 
-def _slot(word: str) -> int:
-    found = _slots.get(word)
-    if found is None:
-        if len(_slots) >= MEMORY:
-            _slots.clear()
-        found = _slots[word] = xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % SLOTS
-    return found
+class _Slots(dict):
+    def __missing__(self, word: str) -> int:
+        found = self[word] = xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")) % SLOTS
+        return found
+
+
+_slots = _Slots()
 
 
 def _has_placeholder(text: str) -> bool:
@@ -87,6 +87,8 @@ def evidence_of(html: str | None, status: str | None, lines: list[tuple], scores
     A passage may speak against residue as far as it is likely to be body; a
     heading may not, since a title alone is no body.
     """
+    if len(_slots) > MEMORY:
+        _slots.clear()
     cells: list[int] = []
     sizes, weights, amount, marked = [], [], 0.0, False
     for (_, item, words, _), score in zip(lines, scores):
@@ -95,15 +97,14 @@ def evidence_of(html: str | None, status: str | None, lines: list[tuple], scores
             amount += _share(score) * len(item[2])
         if score <= NEAR_BODY:
             continue
-        own = [_slot("#" + w) for w in words] if head else [_slot(w) for w in words]
-        cells += own
-        sizes.append(len(own))
+        cells += map(_slots.__getitem__, ["#" + w for w in words] if head else words)
+        sizes.append(len(words))
         weights.append(0.0 if head else _share(score))
         marked = marked or _has_placeholder(item[2])
     notices = noscript_texts(html) if html else []
     for text in notices:
-        own = {_slot("!" + ("0" if w.isdigit() else w)) for w in _WORD.findall(text.lower())}
-        cells += sorted(own)
+        own = {"!" + ("0" if w.isdigit() else w) for w in _WORD.findall(text.lower())}
+        cells += map(_slots.__getitem__, sorted(own))
         sizes.append(len(own))
         weights.append(0.0)
     trusted = amount < LITTLE and (marked or status == "failed") and bool(lines or notices)

@@ -9,9 +9,8 @@ import xxhash
 
 _WORD = re.compile(r"[^\W_]+")
 _TARGET = re.compile(r"\]\([^)]*\)")
-#: Words that a Python worker remembers the hashes of; the memory is emptied when full.
+#: Words that a Python worker remembers the hashes of; the memory is emptied between texts when full.
 MEMORY = 200_000
-_hashes: dict[str, int] = {}
 _A, _C, STEP = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0x165667B19E3779F9, 0xC2B2AE3D27D4EB4F))
 
 
@@ -20,17 +19,19 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall((_TARGET.sub("]", text) if "](" in text else text).lower())
 
 
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return found
+
+
+_hashes = _Hashes()
+
+
 def word_hashes(words: list[str]) -> np.ndarray:
-    known = _hashes
-    out = []
-    for w in words:
-        h = known.get(w)
-        if h is None:
-            if len(known) >= MEMORY:
-                known.clear()
-            h = known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        out.append(h)
-    return np.array(out, np.uint64)
+    if len(_hashes) > MEMORY:
+        _hashes.clear()
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
