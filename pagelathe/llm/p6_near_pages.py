@@ -129,8 +129,9 @@ def meetings(sets: DataFrame, shortest: int, most: int = MOST_IN_BUCKET) -> tupl
     """
     entries = shared = forest(sets, shortest)
     large = entries.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > most).select("node").checkpoint()
-    busy = spread_join(entries, large, ["node"], ["key"], "left_semi").select("key").distinct()
+    busy = sets.sparkSession.createDataFrame([], "key bigint")
     if large.take(1):
+        busy = spread_join(entries, large, ["node"], ["key"], "left_semi").select("key").distinct()
         shared = spread_join(entries, large, ["node"], ["key"], "left_anti")
     depth = F.lit(shortest)
     for i in range(shortest, LONGEST):
