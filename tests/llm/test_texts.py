@@ -64,6 +64,25 @@ def test_repeated_lines(spark):
     assert p5_repeated_lines.found(df.limit(0)).count() == 0
 
 
+def test_lines_of_equal_hash(spark):
+    """Whole lines are compared: two words of the same 64 bits on two pages each are no line on four pages."""
+    one, other = "harbourlanternsx", "uobtxwglhaoxzehf"
+    assert len({r[0] for r in spark.createDataFrame([(one,), (other,)], "w string").select(F.xxhash64("w")).collect()}) == 1
+    df = spark.createDataFrame([page(i, [one if i < 2 else other, "the line of all pages"]) for i in range(4)], PAGES)
+    assert sorted(tuple(r) for r in p5_repeated_lines.found(df).collect()) == [(i, 2) for i in range(4)]
+    lines = spark.createDataFrame([(1, i, 1, one if i < 2 else other) for i in range(4)], "site int, page_id int, line_num int, text string")
+    assert p5_repeated_lines.repeated(lines, lines.select("site", "page_id")).count() == 0
+
+
+def test_exact_lines_are_not_clustered(spark):
+    """The mask alone is the key of a line, and no hash of minima is computed for it."""
+    lines, members = p5_repeated_lines.keyed_lines(spark.createDataFrame([page(i, ["the line of all pages"]) for i in range(4)], PAGES))
+    assert lines.columns == ["site", "page_id", "line_num", "mask"]
+    hot = p5_repeated_lines.repeated_keys(lines, members)
+    assert hot.columns == ["site", "mask"] and hot.count() == 1
+    assert "array_min" not in hot._jdf.queryExecution().toString()
+
+
 def test_near_lines(spark):
     """With `near`, lines that differ in names, dates and a word count as one; without, they don't."""
     names = "Mira Tolvane Berk Asku Runa Felk Osto Dalv".split()
